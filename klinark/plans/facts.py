@@ -1,8 +1,9 @@
 """Builders of the four facts: rules, cleaning, derivation and numbering.
 
-Each source has a `*_rules` list (reject reasons in order of precedence), a `clean_*`
-function (valid, unique rows with gold columns and the columns that order them) and a
-`number_*` function that adds the surrogate key and drops what must not be published.
+Each source has a `*_rules` list (reject reasons in order of precedence), a `shape_*`
+function (from valid rows to unique rows with gold columns and the columns that order
+them), a `clean_*` function (both at once) and a `number_*` function that adds the
+surrogate key and drops what must not be published.
 """
 
 from __future__ import annotations
@@ -24,9 +25,6 @@ from klinark.operators.joins import lookup
 from klinark.operators.rows import accepted, classify, keep_first, surrogate_key
 from klinark.schemas import FACTS, enforce_schema
 
-DUPLICATE = "DOUBLON"
-
-
 # Consultations -----------------------------------------------------------------------
 CONSULTATION_KEY = ["num_consultation"]
 
@@ -49,8 +47,13 @@ def consultation_rules(first_year: int, last_year: int):
 
 def clean_consultations(typed: DataFrame, master: str, seed: str, first_year: int, last_year: int,
                         keys=CONSULTATION_KEY, order=("jour",)) -> DataFrame:
-    """Valid consultations, one per key, with the pseudonym computed in place."""
     valid = accepted(classify(typed, consultation_rules(first_year, last_year)))
+    return shape_consultations(valid, master, seed, keys, order)
+
+
+def shape_consultations(valid: DataFrame, master: str, seed: str, keys=CONSULTATION_KEY,
+                        order=("jour",)) -> DataFrame:
+    """One row per key, with the pseudonym computed in place."""
     return keep_first(valid, list(keys), list(order)).select(
         *keys, date_id(F.col("jour")).alias("date_id"),
         pseudonym(F.col("id_patient"), master, seed).alias("patient_id"),
@@ -86,8 +89,13 @@ def stay_rules(first_year: int, last_year: int):
 
 def clean_stays(typed: DataFrame, master: str, seed: str, first_year: int, last_year: int,
                 order=("identifiant_organisation", "code_diagnostic", "jours")) -> DataFrame:
-    """Valid stays, one per (patient, stay number, admission text)."""
     valid = accepted(classify(typed, stay_rules(first_year, last_year)))
+    return shape_stays(valid, master, seed, order)
+
+
+def shape_stays(valid: DataFrame, master: str, seed: str,
+                order=("identifiant_organisation", "code_diagnostic", "jours")) -> DataFrame:
+    """One row per (patient, stay number, admission text)."""
     return keep_first(valid, STAY_KEY, list(order)).select(
         "date_entree_typee", "num_hospitalisation", "date_entree",
         date_id(F.col("date_entree_typee")).alias("date_id"),
@@ -135,8 +143,13 @@ def resolve_region(df: DataFrame, geographies: DataFrame, label: str) -> DataFra
 
 def clean_surveys(typed: DataFrame, establishments: DataFrame, geographies: DataFrame,
                   campaign: int, order=("score", "region")) -> DataFrame:
-    """Valid marks of one campaign, one per site; a site's valid row wins over a bad one."""
     valid = accepted(classify(flag_known_sites(typed, establishments), survey_rules()))
+    return shape_surveys(valid, geographies, campaign, order)
+
+
+def shape_surveys(valid: DataFrame, geographies: DataFrame, campaign: int,
+                  order=("score", "region")) -> DataFrame:
+    """Marks of one campaign, one per site; only valid rows compete for a site."""
     one_per_site = keep_first(valid, ["finess_geo"], list(order))
     return resolve_region(one_per_site, geographies, "region").select(
         F.lit(campaign * 10000 + 101).alias("date_id"), F.col("finess_geo").alias("etab_id"), "geo_id",
@@ -157,12 +170,15 @@ def death_rules(first_year: int):
 
 
 def clean_deaths(raw: DataFrame, departments: DataFrame, first_year: int) -> DataFrame:
-    """Valid deaths with their region key, sex and age band; no direct identifier.
+    return shape_deaths(accepted(classify(raw, death_rules(first_year))), departments)
+
+
+def shape_deaths(valid: DataFrame, departments: DataFrame) -> DataFrame:
+    """Deaths with their region key, sex and age band; no name.
 
     `departments` holds one row per department code; it is broadcast after a check of
     its size, so the deaths are not shuffled.
     """
-    valid = accepted(classify(raw, death_rules(first_year)))
     regions = departments.select(F.col("code_departement").alias("_dept"), "code_region")
     located = lookup(valid.withColumn("_dept", department_code(F.col("code_lieu_deces"))), regions, "_dept")
     day = parse_iso(F.col("date_deces"))

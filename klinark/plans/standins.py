@@ -154,3 +154,19 @@ def sites(spark, folder) -> DataFrame:
             .join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
             .select(F.col("s_suppkey").cast("string").alias("etab_id"), F.col("r_name").alias("region"),
                     F.col("n_name").alias("pays")))
+
+
+def load_inputs(spark, folder, root: str, batch: str = "lot-1"):
+    """Sources and settings of a complete load over the stand-ins."""
+    from klinark.plans.facts import type_stays, type_surveys
+    from klinark.plans.warehouse import Settings, Sources
+    sources = Sources(
+        consultations=visits(spark, folder), stays=type_stays(stays(spark, folder)),
+        surveys=type_surveys(surveys(spark, folder)), deaths=deaths(spark, folder),
+        departments=departments(spark, folder), patients=patients(spark, folder),
+        professionals=professionals(spark, folder), specialties=specialties(spark, folder))
+    settings = Settings(
+        root=root, master=MASTER, seed=SEED, first_year=FIRST_YEAR, last_year=LAST_YEAR,
+        first_death_year=FIRST_YEAR, campaign=YEAR, batch=batch, consultation_key=VISIT_KEY,
+        consultation_order=VISIT_ORDER, stay_order=STAY_TIE)
+    return sources, settings

@@ -23,7 +23,9 @@ def read_delimited(spark: SparkSession, path, schema: T.StructType, sep: str = "
                    multiline: bool = False, header: bool = True) -> DataFrame:
     """Read header-first text with an all-declared schema.
 
-    Column names come from the schema, the header line is only skipped.
+    Column names come from the schema, the header line is only skipped. Every line is
+    parsed in full even when few columns are used, since a pruned parse would not
+    notice missing or extra fields.
     Lines that do not fit the schema are kept with their text in `_corrupt_record`
     (see `split_malformed`), or left out when `skip_malformed` is set. `pattern`
     selects files by name below `path`, at any depth. Hive-style folders
@@ -33,7 +35,7 @@ def read_delimited(spark: SparkSession, path, schema: T.StructType, sep: str = "
         allow_legacy_encodings(spark)
     reader = spark.read.options(
         header=header, sep=sep, encoding=encoding, quote=quote, escape=escape,
-        multiLine=multiline, enforceSchema=True)
+        multiLine=multiline, enforceSchema=True, columnPruning=False)
     if pattern:
         reader = reader.options(recursiveFileLookup=True, pathGlobFilter=pattern)
     if skip_malformed:
