@@ -34,5 +34,8 @@ def has_mojibake(text: Column) -> Column:
     return text.rlike(MOJIBAKE_PATTERN)
 
 
-def count_matches(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
+def count_matches(text: Column, pattern: str, needed: str | None = None) -> Column:
+    """Matches of a pattern; texts without a substring it needs skip the regex."""
+    count = F.regexp_count(text, F.lit(pattern))
+    return count if needed is None else F.when(F.contains(text, F.lit(needed)), count).otherwise(
+        F.when(text.isNotNull(), 0))

@@ -71,7 +71,7 @@ def unknown_share(df: DataFrame, column: str, unknown: str, weight: Column | Non
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, key: str) -> DataFrame:
     """Rows whose foreign key is not in the dimension (missing keys included)."""
-    return lookup(fact, dim.select(F.col(key).alias(fk)), fk, "left_anti")
+    return lookup(fact, dim.select(F.col(key).alias(fk)), fk, "left_anti", sized_by=dim)
 
 
 def orphan_counts(checks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
@@ -89,7 +89,7 @@ def match_rate(fact: DataFrame, fk: str, dim: DataFrame, key: str, name: str) ->
     per_key = fact.groupBy(fk).agg(F.count("*").alias("n"))
     known = dim.select(F.col(key).alias(fk)).distinct().withColumn("_hit", F.lit(1))
     hits = F.coalesce(F.sum(F.when(F.col("_hit") == 1, F.col("n"))), F.lit(0))
-    return (lookup(per_key, known, fk)
+    return (per_key.join(known, fk, "left")
             .agg(hits.cast("long").alias("n_resolus"), F.sum("n").cast("long").alias("total"))
             .select(F.lit(name).alias("dimension"), "n_resolus", "total")
             .withColumn("taux_pct", percent(F.col("n_resolus"), F.col("total"), 2)))

@@ -10,19 +10,26 @@ BROADCAST_ROWS = 200_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most `max_rows` rows (one job that reads no column)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a frame has at most `max_rows` rows.
+
+    Reads no column and stops at the partition that exceeds the bound.
+    """
+    return df.select().offset(max_rows).isEmpty()
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a dimension that holds one row per key.
+           sized_by: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join many rows with a dimension that holds one row per key.
 
     A dimension of checked small size is broadcast, so the large side is not moved.
     Beyond that both sides are shuffled on the key and adaptive execution splits the
-    partitions of a key that holds many rows of the large side.
+    partitions of a key that holds many rows of the large side. `sized_by` is a frame
+    with at least as many rows as the dimension and cheaper to count.
+
+    Frames that were first summed per key need no lookup: both sides then have one row
+    per key, and a plain join leaves the choice to Spark.
     """
-    return df.join(F.broadcast(dim) if is_small(dim, max_rows) else dim, on, how)
+    return df.join(F.broadcast(dim) if is_small(dim if sized_by is None else sized_by, max_rows) else dim, on, how)
 
 
 def resolve_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -33,7 +40,7 @@ def resolve_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Dat
     for fk, (dim, key) in dims.items():
         flag = f"{fk}_connu"
         known = dim.select(F.col(key).alias(fk)).filter(F.col(fk).isNotNull()).distinct()
-        fact = lookup(fact, known.withColumn(flag, F.lit(True)), fk)
+        fact = lookup(fact, known.withColumn(flag, F.lit(True)), fk, sized_by=dim)
         fact = fact.withColumn(flag, F.coalesce(flag, F.lit(False)))
     return fact
 

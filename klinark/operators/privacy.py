@@ -40,7 +40,7 @@ def attach_pseudonym(df: DataFrame, column: str, mapping: DataFrame) -> DataFram
     """
     named = mapping.select(F.col("id_patient_original").alias("_id"),
                            F.col("id_patient_pseudo").alias("patient_id"))
-    return (lookup(df.withColumn("_id", canonical_id(F.col(column))), named, "_id", "inner")
+    return (lookup(df.withColumn("_id", canonical_id(F.col(column))), named, "_id", "inner", sized_by=mapping)
             .drop("_id", column))
 
 
@@ -54,7 +54,7 @@ def minimise(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def scan_text(df: DataFrame, key: str, text: str) -> DataFrame:
     """E-mail addresses and phone numbers found in each text."""
-    return df.select(key, count_matches(F.col(text), EMAIL_PATTERN).alias("n_emails"),
+    return df.select(key, count_matches(F.col(text), EMAIL_PATTERN, "@").alias("n_emails"),
                      count_matches(F.col(text), PHONE_PATTERN).alias("n_telephones"))
 
 
@@ -73,9 +73,10 @@ def view_for_role(df: DataFrame, role: str, scope: Column | None = None,
 
 def erase(df: DataFrame, column: str, erased: DataFrame) -> DataFrame:
     """Remove every row of the patients in `erased` (same column name)."""
-    return lookup(df, erased.select(column).distinct(), column, "left_anti")
+    return lookup(df, erased.select(column).distinct(), column, "left_anti", sized_by=erased)
 
 
 def touched_partitions(df: DataFrame, column: str, erased: DataFrame, partition: str) -> DataFrame:
     """Partitions that hold rows of the erased patients: the only ones to rewrite."""
-    return lookup(df, erased.select(column).distinct(), column, "left_semi").select(partition).distinct()
+    concerned = lookup(df, erased.select(column).distinct(), column, "left_semi", sized_by=erased)
+    return concerned.select(partition).distinct()

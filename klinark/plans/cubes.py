@@ -26,7 +26,7 @@ def cube(df: DataFrame, dims: list[str]) -> DataFrame:
 def deaths_cube(deaths: DataFrame, geography: DataFrame) -> DataFrame:
     """Deaths per year, region name, sex and age band."""
     per_key = deaths.groupBy("annee", "geo_id", "sexe", "tranche_age").agg(F.sum("nb_deces").alias("n"))
-    named = lookup(per_key, geography.select("geo_id", "region"), "geo_id")
+    named = per_key.join(geography.select("geo_id", "region"), "geo_id", "left")
     region = F.when(F.col("geo_id") == UNKNOWN_GEO, ABROAD_LABEL).otherwise(
         F.coalesce("region", F.lit(ABROAD_LABEL)))
     return (named.withColumn("region", region).groupBy("annee", "region", "sexe", "tranche_age")
@@ -43,7 +43,7 @@ def stays_cube(stays: DataFrame, patients: DataFrame) -> DataFrame:
                    .groupBy("annee", "chapitre", "id_patient").agg(F.count("*").alias("n")))
     known = patients.select("id_patient", sex_code(F.col("sexe")).alias("sexe"),
                             band_of_age(F.col("age").try_cast("int")).alias("tranche_age"))
-    return (lookup(per_patient, known, "id_patient")
+    return (per_patient.join(known, "id_patient", "left")
             .withColumn("sexe", F.coalesce("sexe", F.lit(UNKNOWN_SEX)))
             .withColumn("tranche_age", F.coalesce("tranche_age", F.lit(UNKNOWN_BAND)))
             .groupBy("annee", "chapitre", "sexe", "tranche_age").agg(F.sum("n").cast("long").alias("n")))
@@ -62,8 +62,8 @@ def consultations_cube(visits: DataFrame, specialties: DataFrame, patients: Data
     by_specialty = (labelled.groupBy("annee", "specialite", "id_patient", "chapitre")
                     .agg(F.count("*").alias("n")))
     sexes = patients.select("id_patient", sex_code(F.col("sexe")).alias("sexe"))
-    named = (lookup(by_specialty, sexes, "id_patient", "inner")
-             .groupBy("annee", "specialite", "sexe", "chapitre").agg(F.sum("n").alias("n")))
+    named = (by_specialty.join(sexes, "id_patient").groupBy("annee", "specialite", "sexe", "chapitre")
+             .agg(F.sum("n").alias("n")))
     return (lump_other(named, "specialite", kept, weight="n")
             .groupBy("annee", "specialite", "sexe", "chapitre").agg(F.sum("n").cast("long").alias("n")))
 

@@ -129,7 +129,7 @@ def survey_rules():
 
 def flag_known_sites(typed: DataFrame, establishments: DataFrame) -> DataFrame:
     known = establishments.select(F.col("etab_id").alias("finess_geo"), F.lit(True).alias("site_connu"))
-    return lookup(typed, known, "finess_geo").withColumn(
+    return typed.join(known, "finess_geo", "left").withColumn(
         "site_connu", F.coalesce("site_connu", F.lit(False)))
 
 
@@ -137,7 +137,8 @@ def resolve_region(df: DataFrame, geographies: DataFrame, label: str) -> DataFra
     """Region key of a free label, whatever its case, accents or punctuation."""
     regions = (geographies.select("geo_id", fold_label(F.col("region")).alias("_folded"))
                .groupBy("_folded").agg(F.min("geo_id").alias("geo_id")))
-    return (lookup(df.withColumn("_folded", fold_label(standard_region(F.col(label)))), regions, "_folded")
+    return (lookup(df.withColumn("_folded", fold_label(standard_region(F.col(label)))), regions, "_folded",
+                   sized_by=geographies)
             .withColumn("geo_id", F.coalesce("geo_id", F.lit(UNKNOWN_GEO))).drop("_folded"))
 
 
@@ -180,7 +181,8 @@ def shape_deaths(valid: DataFrame, departments: DataFrame) -> DataFrame:
     its size, so the deaths are not shuffled.
     """
     regions = departments.select(F.col("code_departement").alias("_dept"), "code_region")
-    located = lookup(valid.withColumn("_dept", department_code(F.col("code_lieu_deces"))), regions, "_dept")
+    located = lookup(valid.withColumn("_dept", department_code(F.col("code_lieu_deces"))), regions, "_dept",
+                     sized_by=departments)
     day = parse_iso(F.col("date_deces"))
     return located.select(
         "date_deces", "code_lieu_deces", "numero_acte_deces", date_id(day).alias("date_id"),

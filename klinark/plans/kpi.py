@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from klinark.functions.bands import band_rank
 from klinark.functions.values import percent
-from klinark.operators.joins import lookup
 from klinark.operators.rankings import top_n, top_n_per_group
 
 
@@ -37,7 +36,7 @@ def top_by_axis(fact: DataFrame, axis: str, measure: str, year: int | None, n: i
 def deaths_by_region(deaths: DataFrame, geography: DataFrame, year: int, n: int = 5) -> DataFrame:
     """B7: deaths per region name of one year, top n."""
     per_key = by_axis(deaths, "geo_id", "nb_deces", year)
-    named = lookup(per_key, geography.select("geo_id", "region"), "geo_id", "inner")
+    named = per_key.join(geography.select("geo_id", "region"), "geo_id")
     per_region = named.groupBy("region").agg(F.sum("nb").cast("long").alias("nb_deces"))
     return top_n(per_region, "nb_deces", "region", n)
 
@@ -72,7 +71,7 @@ def top_labels_per_year(events: DataFrame, key: str, labels: DataFrame, label: s
     Events are counted per year and key, then named through `labels` (key -> label).
     """
     per_key = events.groupBy("annee", key).agg(F.count("*").alias("n"))
-    per_label = (lookup(per_key, labels, key, "inner").groupBy("annee", label)
+    per_label = (per_key.join(labels, key).groupBy("annee", label)
                  .agg(F.sum("n").cast("long").alias("n")))
     return top_n_per_group(per_label, "annee", "n", label, n)
 
@@ -81,7 +80,7 @@ def stays_by_establishment(stays: DataFrame, establishments: DataFrame, year: in
     """Stays and mean length per known site of one year, top n."""
     per_site = one_year(stays, year).groupBy("etab_id").agg(
         F.sum("nb_hospitalisation").cast("long").alias("nb"), F.avg("duree_sejour").alias("dms"))
-    known = lookup(per_site, establishments.select("etab_id"), "etab_id", "left_semi")
+    known = per_site.join(establishments.select("etab_id"), "etab_id", "left_semi")
     return top_n(known, "nb", "etab_id", n)
 
 
@@ -100,7 +99,7 @@ def mean_mark(marks: DataFrame, axis: str) -> DataFrame:
 
 def mean_mark_by_region(marks: DataFrame, establishments: DataFrame, year: int) -> DataFrame:
     """B8: mean mark per region of the establishment, one campaign."""
-    named = lookup(one_year(marks, year), establishments.select("etab_id", "region"), "etab_id", "inner")
+    named = one_year(marks, year).join(establishments.select("etab_id", "region"), "etab_id")
     return mean_mark(named, "region")
 
 
@@ -115,7 +114,7 @@ def rate(df: DataFrame, axis: str, hits, name: str) -> DataFrame:
 def bed_occupancy(stays: DataFrame, capacity: DataFrame, year: int, days_in_year: int = 365) -> DataFrame:
     """Days of stay over the bed days a site offers in a year (`capacity`: etab_id, lits)."""
     used = one_year(stays, year).groupBy("etab_id").agg(F.sum("duree_sejour").cast("long").alias("jours"))
-    return (lookup(used, capacity, "etab_id", "inner")
+    return (used.join(capacity, "etab_id")
             .withColumn("taux_pct", percent(F.col("jours"), F.col("lits") * days_in_year, 2)))
 
 
@@ -127,6 +126,6 @@ def drilldown(stays: DataFrame, sites: DataFrame, levels: list[str]) -> DataFram
     per_site = stays.groupBy("etab_id", "annee").agg(
         F.sum("nb_hospitalisation").alias("nb"), F.sum("duree_sejour").alias("jours"),
         F.count("duree_sejour").alias("n_duree"))
-    return (lookup(per_site, sites, "etab_id", "inner").rollup(*levels)
+    return (per_site.join(sites, "etab_id").rollup(*levels)
             .agg(F.grouping_id().cast("int").alias("niveau"), F.sum("nb").cast("long").alias("nb"),
                  (F.sum("jours") / F.sum("n_duree")).alias("dms")))
