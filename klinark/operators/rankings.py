@@ -37,9 +37,12 @@ def lump_other(df: DataFrame, column: str, n: int, weight: str | None = None,
 
 
 def share_of_total(totals: DataFrame, measure: str, digits: int, name: str = "part_pct") -> DataFrame:
-    """Share of each row in the sum of an aggregated frame (one row per axis value)."""
-    whole = F.sum(measure).over(Window.partitionBy())
-    return totals.withColumn(name, F.round(100.0 * F.col(measure) / whole, digits))
+    """Share of each row in the sum of an aggregated frame (one row per axis value).
+
+    The sum is a scalar subquery: the rows stay spread over their partitions.
+    """
+    whole = totals.agg(F.sum(measure)).scalar()
+    return totals.withColumn(name, F.round(100.0 * F.col(measure) / whole, digits).cast("double"))
 
 
 def year_on_year(totals: DataFrame, year: str, measure: str) -> DataFrame:

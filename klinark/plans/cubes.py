@@ -153,13 +153,10 @@ def sub_scores(surveys: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def satisfaction_gaps(summary: DataFrame) -> DataFrame:
     """Gap of each region to the national mean, and which regions are best and worst."""
-    national = summary.filter(F.col("region") == ALL_REGIONS).select(
-        F.lit(1).alias("_one"), F.col("moyenne").alias("nationale"))
-    regions = summary.filter(F.col("region") != ALL_REGIONS).withColumn("_one", F.lit(1))
-    ends = regions.groupBy("_one").agg(first_by("region", "moyenne").alias("meilleure"),
-                                       last_by("region", "moyenne").alias("moins_bonne"))
-    # Both broadcast frames have exactly one row.
-    return (regions.join(F.broadcast(national), "_one").join(F.broadcast(ends), "_one")
-            .select("region", "moyenne", F.round(F.col("moyenne") - F.col("nationale"), 6).alias("ecart"),
-                    (F.col("region") == F.col("meilleure")).alias("est_meilleure"),
-                    (F.col("region") == F.col("moins_bonne")).alias("est_moins_bonne")))
+    national = summary.filter(F.col("region") == ALL_REGIONS).select("moyenne").scalar()
+    regions = summary.filter(F.col("region") != ALL_REGIONS)
+    ends = regions.agg(F.struct(first_by("region", "moyenne").alias("best"),
+                                last_by("region", "moyenne").alias("worst"))).scalar()
+    return regions.select("region", "moyenne", F.round(F.col("moyenne") - national, 6).alias("ecart"),
+                          (F.col("region") == ends["best"]).alias("est_meilleure"),
+                          (F.col("region") == ends["worst"]).alias("est_moins_bonne"))

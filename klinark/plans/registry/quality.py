@@ -13,7 +13,8 @@ from klinark.functions.values import month_start, parse_iso
 from klinark.operators import checks, privacy, profiling
 from klinark.plans.dimensions import geography
 from klinark.plans.facts import (
-    clean_consultations, clean_deaths, clean_stays, clean_surveys, type_stays, type_surveys,
+    clean_consultations, clean_deaths, clean_stays, clean_surveys, number_deaths, type_stays,
+    type_surveys,
 )
 from klinark.plans.registry.base import query
 from klinark.plans.registry.cleaning import classified_stays, classified_visits
@@ -162,12 +163,10 @@ def dq_duplicate_keys(spark, folder):
 SELECT 'deces_key' AS controle, CAST(0 AS BIGINT) AS n_anomalies, count(*) AS n, CAST(1 AS BIGINT) AS cle_min,
        count(*) AS cle_max FROM v_death_ok"""))
 def dq_surrogate_unique(spark, folder):
-    from klinark.plans.facts import number_deaths
     fact = number_deaths(death_fact(spark, folder))
-    unique = checks.check_unique(fact, ["deces_key"], "deces_key")
     bounds = fact.agg(F.count("*").alias("n"), F.min("deces_key").alias("cle_min"), F.max("deces_key").alias("cle_max"))
-    return (unique.withColumn("_one", F.lit(1))
-            .join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    excess = checks.check_unique(fact, ["deces_key"], "deces_key").select("n_anomalies").scalar()
+    return bounds.select(F.lit("deces_key").alias("controle"), excess.alias("n_anomalies"), "n", "cle_min", "cle_max")
 
 
 @query("dq_suite", oracle("v_stay_ok v_visit_ok v_death_ok v_survey_ok", """

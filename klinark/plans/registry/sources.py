@@ -106,7 +106,8 @@ def encoding_roundtrip(spark, folder):
     read = read_delimited(spark, path, text_schema("doc_id", "ligne_no", "ligne"), sep=";",
                           encoding="windows-1252")
     return read.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("ligne_no").cast("int").alias("ligne_no"), "ligne")
+                       F.col("ligne_no").cast("int").alias("ligne_no"),
+                       F.coalesce("ligne", F.lit("")).alias("ligne"))
 
 
 @query("dynamic_partition_overwrite", f"""

@@ -13,6 +13,7 @@ from klinark.operators.rankings import share_of_total, year_on_year
 from klinark.operators.rows import shift_years
 from klinark.plans import cubes, kpi
 from klinark.plans.dimensions import geography
+from klinark.plans.facts import type_stays
 from klinark.plans.registry.base import query
 from klinark.plans.registry.cleaning import order_stays
 from klinark.plans.registry.quality import death_fact, stay_fact, survey_fact
@@ -123,8 +124,7 @@ SELECT diag_id, nb, CAST(round(100.0 * nb / (SELECT count(*) FROM v_line), 2) AS
   SELECT CASE WHEN trim(code) = '' THEN 'UNKNOWN' ELSE code END AS diag_id, count(*) AS nb FROM v_line GROUP BY 1)"""))
 def kpi_share_diagnosis(spark, folder):
     fact = visits(spark, folder).withColumn("diag_id", known_or(F.col("code_diag")))
-    return (share_of_total(kpi.by_axis(fact, "diag_id", "nb_consultation"), "nb", 2)
-            .withColumn("part_pct", F.col("part_pct").cast("double")))
+    return share_of_total(kpi.by_axis(fact, "diag_id", "nb_consultation"), "nb", 2)
 
 
 # Hospital stays ------------------------------------------------------------------------------
@@ -338,7 +338,6 @@ CASE WHEN trim(code_diag) = '' THEN 'Inconnu' ELSE CASE substr(code_diag, 1, 1)
 WHEN 'E' THEN 'Endocrinien & métabolique' WHEN 'P' THEN 'Période périnatale' WHEN 'M' THEN 'Ostéo-articulaire'
 WHEN 'L' THEN 'Peau' END END"""))
 def cube_hospital(spark, folder):
-    from klinark.plans.facts import type_stays
     typed = type_stays(stays(spark, folder)).filter(F.col("date_entree_typee").isNotNull())
     events = typed.select(F.year("date_entree_typee").alias("annee"), "id_patient",
                           F.col("code_diagnostic").alias("code_diag"))

@@ -77,11 +77,10 @@ def load_fact(spark: SparkSession, name: str, classified: DataFrame,
                          F.lit(0).cast("long").alias("doublons"),
                          F.count_if(F.col(REASON).isNotNull()).alias("rejets"))
               .withColumn("ecart", F.col("bronze") - F.col("charge") - F.col("rejets")))
-    written = spark.table(f"{settings.gold}.{name}").agg(F.count("*").alias("gold"))
-    # Both sides are one-row aggregates.
-    return (counts.withColumn("_one", F.lit(1)).join(F.broadcast(written.withColumn("_one", F.lit(1))), "_one")
-            .select(F.lit(name).alias("fait"), "bronze", "charge", "doublons", "rejets", "gold",
-                    (F.abs("ecart") + F.abs(F.col("gold") - F.col("charge"))).alias("ecart")))
+    written = spark.table(f"{settings.gold}.{name}").agg(F.count("*")).scalar()
+    return counts.select(F.lit(name).alias("fait"), "bronze", "charge", "doublons", "rejets",
+                         written.alias("gold"),
+                         (F.abs("ecart") + F.abs(written - F.col("charge"))).alias("ecart"))
 
 
 def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> DataFrame:

@@ -61,9 +61,15 @@ def malformed_reason(schema: T.StructType, sep: str) -> Column:
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the malformed lines next to what could be read of them."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, df.filter(F.col(CORRUPT).isNotNull())
+    """Well-formed rows, and the malformed lines next to what could be read of them.
+
+    Spark refuses plans that read nothing but the malformed text, so both filters also
+    look at a field, with a test that always holds.
+    """
+    field = next(c for c in df.columns if c != CORRUPT)
+    read = F.length(F.coalesce(F.col(field).cast("string"), F.lit(""))) >= 0
+    good = df.filter(F.col(CORRUPT).isNull() & read).drop(CORRUPT)
+    return good, df.filter(F.col(CORRUPT).isNotNull() & read)
 
 
 def resolve_column(columns: list[str], name: str) -> str | None:
@@ -100,7 +106,10 @@ def read_departments(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def write_text_export(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8") -> None:
-    """Export as delimited text with a header, keeping blanks and quoting as needed."""
+    """Export as delimited text with a header, keeping blanks and quoting as needed.
+
+    An empty text and a missing value read back alike, as missing.
+    """
     if encoding.upper() not in ("UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16"):
         allow_legacy_encodings(df.sparkSession)
     df.write.options(header=True, sep=sep, encoding=encoding, quote='"', escape='"',
