@@ -32,12 +32,26 @@ def check_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
             .agg(excess.alias("n_anomalies")).select(F.lit(name).alias("controle"), "n_anomalies"))
 
 
+def _labelled(one_row: DataFrame, labels: list[str]) -> DataFrame:
+    """Turn the columns c0, c1... of a one-row frame into one labelled row each."""
+    entries = F.array(*[F.struct(F.lit(label).alias("controle"), F.col(f"c{i}").alias("n_anomalies"))
+                        for i, label in enumerate(labels)])
+    return one_row.select(F.explode(entries).alias("e")).select("e.*")
+
+
+def check_fact(df: DataFrame, keys: list[str], name: str, conditions: dict[str, Column]) -> DataFrame:
+    """Uniqueness of a key and named row conditions, in one pass over a fact."""
+    counts = [F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(conditions.values(), 1)]
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"), *counts)
+    totals = [F.sum("n") - F.count("*"), *[F.sum(f"c{i}") for i in range(1, len(conditions) + 1)]]
+    one_row = per_key.agg(*[F.coalesce(t, F.lit(0)).cast("long").alias(f"c{i}") for i, t in enumerate(totals)])
+    return _labelled(one_row, [name, *conditions])
+
+
 def check_rows(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     """One row per named condition: rows for which it holds; one pass for all."""
-    one_row = df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])
-    entries = F.array(*[F.struct(F.lit(name).alias("controle"), F.col(name).alias("n_anomalies"))
-                        for name in conditions])
-    return one_row.select(F.explode(entries).alias("e")).select("e.*")
+    one_row = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(conditions.values())])
+    return _labelled(one_row, list(conditions))
 
 
 def bad_pseudonym(column: str) -> Column:

@@ -84,12 +84,11 @@ def readmission(df: DataFrame, key: str, admission: str, discharge: str, stay_id
     be flagged. Rows are therefore first reduced to one per key and day, which bounds
     the window of any key by the number of days of the history.
     """
-    last = F.max(F.struct(F.col(stay_id).alias("id"), F.col(discharge).alias("out")))
     per_day = (df.filter(F.col(key).isNotNull() & F.col(admission).isNotNull())
-               .groupBy(key, admission).agg(last.alias("last")))
+               .groupBy(key, admission)
+               .agg(F.max(stay_id).alias("_id"), F.max_by(discharge, stay_id).alias("_out")))
     following = F.lead(admission).over(Window.partitionBy(key).orderBy(admission))
-    readmitted = (per_day.select(F.col("last.id").alias(stay_id), F.col("last.out").alias("_out"),
-                                 following.alias("_next"))
+    readmitted = (per_day.select(F.col("_id").alias(stay_id), "_out", following.alias("_next"))
                   .filter((F.col("_next") > F.col("_out"))
                           & (F.col("_next") <= F.date_add("_out", days)))
                   .select(stay_id, F.lit(True).alias(flag)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from klinark.session import open_writers
+
 LEAST_BUCKETS = 8
 ROWS_PER_BUCKET = 4_000_000
 ROWS_WORTH_BUCKETS = 1_000_000
@@ -35,9 +37,10 @@ def gather(df: DataFrame, *columns) -> DataFrame:
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace only the partitions present in the frame; the others stay."""
-    (gather(df, *[F.col(c) for c in partition_by])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    with open_writers(df.sparkSession):
+        (gather(df, *[F.col(c) for c in partition_by])
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
 
 
 def stale_partitions(before: DataFrame, written: DataFrame, partition: str) -> DataFrame:
@@ -62,7 +65,8 @@ def write_table(df: DataFrame, table: str, path: str | None = None,
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    writer.saveAsTable(table)
+    with open_writers(df.sparkSession):
+        writer.saveAsTable(table)
 
 
 def write_fact(df: DataFrame, table: str, rows: int, bucket_by: tuple[str, ...] = (),
@@ -72,6 +76,14 @@ def write_fact(df: DataFrame, table: str, rows: int, bucket_by: tuple[str, ...]
     write_table(df, table, path, (year,), keys, bucket_count(rows))
 
 
+def inventory(spark: SparkSession, zone: str) -> DataFrame:
+    """Tables of a zone with their columns and types (catalog metadata only)."""
+    rows = [(table.name, column.name, column.dataType)
+            for table in spark.catalog.listTables(zone) if not table.isTemporary
+            for column in spark.catalog.listColumns(f"{zone}.{table.name}")]
+    return spark.createDataFrame(rows, "table_name string, colonne string, type string")
+
+
 def analyse(spark: SparkSession, table: str) -> None:
     """Collect the column statistics the cost-based optimiser uses."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

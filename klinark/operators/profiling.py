@@ -69,6 +69,13 @@ def histograms(df: DataFrame, axes: dict[str, Column]) -> DataFrame:
             .select(kind.alias("axe"), F.coalesce(*axes).alias("valeur"), "n"))
 
 
+def run_summary(runs: DataFrame) -> DataFrame:
+    """Mean, fastest and slowest duration per query and variant of a benchmark log."""
+    return (runs.filter(F.col("duration_sec").isNotNull()).groupBy("query", "variant")
+            .agg(F.avg("duration_sec").alias("moyenne"), F.min("duration_sec").alias("minimum"),
+                 F.max("duration_sec").alias("maximum"), F.count("*").alias("n")))
+
+
 def blanks(df: DataFrame, columns: list[str]) -> DataFrame:
     """Share of missing or blank values per column, one column each."""
     return df.agg(*[percent(F.count_if(is_blank(F.col(c))), F.count("*"), 1).alias(f"pct_{c}")

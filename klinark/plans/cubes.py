@@ -13,7 +13,7 @@ from klinark.functions.fixed_values import (
 )
 from klinark.functions.values import decimal_comma, whole_percent
 from klinark.operators.joins import lookup
-from klinark.operators.rankings import first_by, last_by, lump_other
+from klinark.operators.rankings import first_by, last_by, lump_other, year_on_year
 
 ALL_REGIONS = "FRANCE"
 
@@ -106,6 +106,11 @@ def series(cube_df: DataFrame, state: dict[str, object], year: str = "annee") ->
             .agg(F.sum("n").cast("long").alias("n")).orderBy(year))
 
 
+def trend(cube_df: DataFrame, state: dict[str, object], year: str = "annee") -> DataFrame:
+    """Yearly totals under the other filters, with the change on the year before."""
+    return year_on_year(series(cube_df, state, year), year, "n")
+
+
 def export_cube(cube_df: DataFrame, path: str, fmt: str = "json") -> None:
     """Aggregates for publication, sorted on every dimension (JSON or CSV)."""
     dims = [c for c in cube_df.columns if c != "n"]

@@ -62,11 +62,12 @@ def geography(departments: DataFrame) -> DataFrame:
 def establishment(surveyed: DataFrame, admitting: DataFrame) -> DataFrame:
     """`dim_etablissement` merged from survey sites and admitting sites.
 
-    `surveyed` has etab_id, nom_etab and region; `admitting` has etab_id.
+    `surveyed` has etab_id, nom_etab and region; `admitting` has etab_id, on many rows
+    that shrink to one per site before the union.
     """
     both = (surveyed.select("etab_id", "nom_etab", "region")
-            .unionByName(admitting.select("etab_id", _no_text().alias("nom_etab"),
-                                          _no_text().alias("region"))))
+            .unionByName(admitting.select("etab_id").distinct()
+                         .select("etab_id", _no_text().alias("nom_etab"), _no_text().alias("region"))))
     merged = (both.filter(~is_blank(F.col("etab_id"))).groupBy("etab_id")
               .agg(F.max("nom_etab").alias("nom_etab"), F.max("region").alias("region"))
               .withColumn("type_etab", _no_text()).withColumn("departement", _no_text()))

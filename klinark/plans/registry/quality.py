@@ -187,12 +187,12 @@ def dq_suite(spark, folder):
     return checks.stack([
         checks.check_rows(stay, {"sejour_pseudonyme": checks.bad_pseudonym("patient_id"),
                                  "sejour_duree_negative": F.col("duree_sejour") < 0}),
-        checks.check_rows(visit, {"consultation_pseudonyme": checks.bad_pseudonym("patient_id"),
-                                  "consultation_duree_negative": F.col("duree_minutes") < 0}),
-        checks.check_rows(survey, {"satisfaction_hors_plage": checks.out_of_range("note_satisfaction", 0, 10)}),
-        checks.check_rows(death, {"deces_age_inconnu": F.col("tranche_age") == "Inconnu"}),
-        checks.check_unique(survey, ["etab_id", "date_id"], "satisfaction_doublons"),
-        checks.check_unique(visit, list(VISIT_KEY), "consultation_doublons")])
+        checks.check_fact(visit, list(VISIT_KEY), "consultation_doublons", {
+            "consultation_pseudonyme": checks.bad_pseudonym("patient_id"),
+            "consultation_duree_negative": F.col("duree_minutes") < 0}),
+        checks.check_fact(survey, ["etab_id", "date_id"], "satisfaction_doublons", {
+            "satisfaction_hors_plage": checks.out_of_range("note_satisfaction", 0, 10)}),
+        checks.check_rows(death, {"deces_age_inconnu": F.col("tranche_age") == "Inconnu"})])
 
 
 @query("dq_unknown_share", oracle("v_death_ok", """

@@ -383,6 +383,14 @@ def kpi_cards(spark, folder):
     return cubes.kpi_cards(death_cube(spark, folder), "region", {"annee": YEAR})
 
 
+@query("kpi_trend", oracle("v_death_ok", """
+SELECT annee, n, prec AS precedent, CAST(floor(100.0 * (n - prec) / prec + 0.5) AS INTEGER) AS evolution_pct
+FROM (SELECT annee, n, lag(n) OVER (ORDER BY annee) AS prec FROM (
+  SELECT CAST(annee AS INTEGER) AS annee, count(*) AS n FROM v_death_ok WHERE sx = 'F' GROUP BY 1))"""))
+def kpi_trend(spark, folder):
+    return cubes.trend(death_cube(spark, folder), STATE)
+
+
 @query("kpi_sparkline", oracle("v_death_ok", """
 SELECT CAST(annee AS INTEGER) AS annee, count(*) AS n FROM v_death_ok WHERE sx = 'F' GROUP BY 1"""))
 def kpi_sparkline(spark, folder):

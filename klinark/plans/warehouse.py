@@ -143,16 +143,16 @@ def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> Dat
 
 def integrity(spark: SparkSession, settings: Settings) -> DataFrame:
     """Post-load controls, all expected at zero."""
-    rows = [checks.check_unique(spark.table(f"{settings.gold}.{name}"), [key], f"{name}.{key}")
-            for name, key in {**SURROGATES, **DIMENSION_KEYS}.items()]
     table = lambda name: spark.table(f"{settings.gold}.{name}")
-    rows.append(checks.check_rows(table("fait_consultation"), {
-        "consultation_pseudonyme": checks.bad_pseudonym("patient_id"),
-        "consultation_duree_negative": F.col("duree_minutes") < 0}))
-    rows.append(checks.check_rows(table("fait_hospitalisation"), {
-        "sejour_pseudonyme": checks.bad_pseudonym("patient_id")}))
-    rows.append(checks.check_rows(table("fait_satisfaction"), {
-        "note_hors_plage": checks.out_of_range("note_satisfaction", 0, 10)}))
+    conditions = {
+        "fait_consultation": {"consultation_pseudonyme": checks.bad_pseudonym("patient_id"),
+                              "consultation_duree_negative": F.col("duree_minutes") < 0},
+        "fait_hospitalisation": {"sejour_pseudonyme": checks.bad_pseudonym("patient_id"),
+                                 "sejour_duree_negative": F.col("duree_sejour") < 0},
+        "fait_satisfaction": {"note_hors_plage": checks.out_of_range("note_satisfaction", 0, 10)},
+    }
+    rows = [checks.check_fact(table(name), [key], f"{name}.{key}", conditions.get(name, {}))
+            for name, key in {**SURROGATES, **DIMENSION_KEYS}.items()]
     rows.append(checks.orphan_counts({
         "deces_geo_orphelins": (table("fait_deces"), "geo_id", table("dim_geographie"), "geo_id"),
         "sejour_diag_orphelins": (table("fait_hospitalisation"), "diag_id", table("dim_diagnostic"), "diag_id"),

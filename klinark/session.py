@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,22 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "klinark
     return spark
 
 
+@contextmanager
+def open_writers(spark: SparkSession, count: int = 32):
+    """Let a task keep several partition files open while it writes.
+
+    Spark otherwise sorts the rows of each task by partition first. A task that meets
+    more partitions than `count` still sorts.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @lru_cache(maxsize=None)
 def _local_scratch(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="klinark-")
@@ -56,5 +73,6 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     the folder: remove it with the retention rule of the staging area.
     """
     path = staging_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with open_writers(df.sparkSession):
+        df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

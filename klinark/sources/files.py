@@ -26,17 +26,15 @@ def profile_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> Dat
     Works line by line, so that large files are split over many tasks and every line
     counts in the encoding test: a file is UTF-8 when each of its lines is.
     """
+    in_first_block = F.col("_metadata.file_block_start") == 0
     lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
              .text(path)
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("position")))
-    first = F.min_by(F.when(F.col("block") == 0, F.col("value")),
-                     F.when(F.col("block") == 0, F.col("position")))
+             .select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid"),
+                     (F.trim("value") != "").alias("filled"), F.when(in_first_block, F.col("value")).alias("head"),
+                     F.when(in_first_block, F.monotonically_increasing_id()).alias("position")))
     per_file = lines.groupBy("file").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        first.alias("header"),
-        F.count_if(F.trim("value") != "").alias("lines"))
+        F.bool_and("valid").alias("utf8"), F.min_by("head", "position").alias("header"),
+        F.count_if("filled").alias("lines"))
     separator = separator_of(F.col("header"))
     return per_file.select(
         "file",

@@ -44,9 +44,8 @@ def kinds(pairs):
     return {name: alike.get(kind.lower(), kind.lower()) for name, kind in pairs}
 
 
-def compare(spark, connection, folder, name, function, sql) -> str | None:
+def compare(frame, connection, sql) -> str | None:
     """None when both results are equal, else what differs."""
-    frame = function(spark, folder)
     result = connection.execute(sql)
     described = [(d[0], str(d[1])) for d in result.description]
     left_columns, left = normal(frame.columns, [tuple(row) for row in frame.collect()])
@@ -75,7 +74,7 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            problem = (compare(spark, connection, folder, name, function, oracles[name]) if name in oracles
+            problem = (compare(function(spark, folder), connection, oracles[name]) if name in oracles
                        else f"no SQL, {len(function(spark, folder).collect())} rows")
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:900]}"

@@ -11,9 +11,15 @@ def connection(folder):
     return connect(folder)
 
 
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, folder, connection, name):
-    assert compare(spark, connection, folder, name, QUERIES[name], ORACLES[name]) is None
+    frame = QUERIES[name](spark, folder)
+    shown = frame._jdf.queryExecution().executedPlan().toString()
+    assert not [operator for operator in UNWANTED if operator in shown]
+    assert compare(frame, connection, ORACLES[name]) is None
 
 
 def test_bucket_skew_counts_every_row_once(spark, folder):

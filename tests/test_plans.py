@@ -2,12 +2,10 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from klinark.operators.rows import keep_first, surrogate_key
 from klinark.plans import kpi
-from klinark.plans.registry import QUERIES
 from klinark.plans.registry.sources import bucketed_pair
 from klinark.plans.standins import deaths, table, visits
 from klinark.session import staging_path
@@ -70,13 +68,6 @@ def test_bucketed_join_and_count_need_no_exchange(spark, folder):
     assert "Exchange" not in shown and "SelectedBucketsCount: 8 out of 8" in shown
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_builds_a_cartesian_product_or_runs_python(spark, folder, name):
-    shown = plan(QUERIES[name](spark, folder))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert operator not in shown
-
-
 def test_year_filter_on_deaths_reads_three_columns_of_orders(spark, folder):
     shown = plan(deaths(spark, folder, 1999).select("code_lieu_deces"))
     assert "o_orderpriority" not in shown and "o_totalprice" not in shown
