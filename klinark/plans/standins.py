@@ -72,9 +72,7 @@ def visits(spark, folder, with_code: bool = True, year: int | None = None) -> Da
 def stays(spark, folder) -> DataFrame:
     """Raw hospital stays: all text, with missing keys, bad dates and negative lengths."""
     text = lambda name: F.col(name).cast("string")
-    ship = F.col("l_shipdate")
-    date_text = F.concat_ws("/", _two_digits(F.dayofmonth(ship)), _two_digits(F.month(ship)),
-                            F.year(ship).cast("string"))
+    date_text = F.date_format("l_shipdate", "dd/MM/yyyy")
     days = F.when(F.col("l_partkey") % 89 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     return (_lines(spark, folder, True, None)
             .select(text("l_orderkey").alias("num_hospitalisation"), F.col("l_linenumber").alias("line_no"),

@@ -29,8 +29,10 @@ def values(spark, expression, inputs, kind="string"):
 
 
 def test_dates_and_numbers(spark):
-    assert values(spark, parse_dmy, ["5/3/1999", "05/03/1999", "32/01/1999", "29/02/2020", "30/02/2020", "x", None]) == [
-        DAY(1999, 3, 5), DAY(1999, 3, 5), None, DAY(2020, 2, 29), None, None, None]
+    assert values(spark, parse_dmy, [
+        "5/3/1999", "05/03/1999", " 5/3/1999 ", "29/02/2020", "32/01/1999", "30/02/2020", "1999-03-05", "1999",
+        "5/3/99", "5/3/19999", "x5/3/1999", "05/03/1999 08:00", "x", "", None]) == [
+        DAY(1999, 3, 5), DAY(1999, 3, 5), DAY(1999, 3, 5), DAY(2020, 2, 29)] + [None] * 11
     assert values(spark, decimal_comma, ["74,25", "1000,0", "12.5", "n/a", "", None]) == [
         Decimal("74.2500"), Decimal("1000.0000"), Decimal("12.5000"), None, None, None]
     assert values(spark, lambda x: mark_out_of_ten(decimal_comma(x)), ["74,25", "87,5"]) == [
