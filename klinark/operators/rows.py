@@ -52,17 +52,25 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter("n_doublons > 0"))
 
 
-def surrogate_key(df: DataFrame, name: str, order: list[str], drop: tuple[str, ...] = ()) -> DataFrame:
+def surrogate_key(df: DataFrame, name: str, order: list[str], drop: tuple[str, ...] = (),
+                  unique: bool = True) -> DataFrame:
     """Number rows 1..n in a global order without sorting them in one task.
 
-    Rows are range-partitioned on the order columns and sorted inside each range. A
-    last random column splits runs of rows that are equal in all order columns, which
-    any numbering may permute. The ranges are staged, because counting them and
-    numbering them must see the same cut; the count then reads a single column.
-    `drop` names order columns that must not be stored.
+    Rows are range-partitioned on the order columns and sorted inside each range. The
+    ranges are staged, because counting them and numbering them must see the same cut;
+    the count then reads a single column. `drop` names order columns that must not be
+    stored with the numbered rows.
+
+    When the order is not `unique`, a last random column splits runs of equal rows,
+    which any numbering may permute. It is drawn over a staged copy: a recomputed task
+    then reads the same rows in the same order and draws the same values, so no row can
+    change range after the loss of an executor.
     """
-    ranged = (df.withColumn("_split", F.rand(1))
-              .repartitionByRange(*order, "_split").sortWithinPartitions(*order, "_split"))
+    if unique:
+        source, sort = df, list(order)
+    else:
+        source, sort = stage(df, f"{name}-source").withColumn("_split", F.rand(1)), [*order, "_split"]
+    ranged = source.repartitionByRange(*sort).sortWithinPartitions(*sort)
     kept = [c for c in df.columns if c not in drop]
     in_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = stage(ranged.select(*kept, F.spark_partition_id().alias("_range"),

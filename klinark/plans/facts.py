@@ -27,6 +27,7 @@ from klinark.schemas import FACTS, enforce_schema
 
 # Consultations -----------------------------------------------------------------------
 CONSULTATION_KEY = ["num_consultation"]
+CONSULTATION_ORDER = ("jour", "heure_debut", "heure_fin", "id_patient", "id_prof_sante", "code_diag")
 
 
 def type_consultations(raw: DataFrame) -> DataFrame:
@@ -46,13 +47,13 @@ def consultation_rules(first_year: int, last_year: int):
 
 
 def clean_consultations(typed: DataFrame, master: str, seed: str, first_year: int, last_year: int,
-                        keys=CONSULTATION_KEY, order=("jour",)) -> DataFrame:
+                        keys=CONSULTATION_KEY, order=CONSULTATION_ORDER) -> DataFrame:
     valid = accepted(classify(typed, consultation_rules(first_year, last_year)))
     return shape_consultations(valid, master, seed, keys, order)
 
 
 def shape_consultations(valid: DataFrame, master: str, seed: str, keys=CONSULTATION_KEY,
-                        order=("jour",)) -> DataFrame:
+                        order=CONSULTATION_ORDER) -> DataFrame:
     """One row per key, with the pseudonym computed in place."""
     return keep_first(valid, list(keys), list(order)).select(
         *keys, date_id(F.col("jour")).alias("date_id"),
@@ -177,10 +178,12 @@ def clean_deaths(raw: DataFrame, departments: DataFrame, first_year: int) -> Dat
 def shape_deaths(valid: DataFrame, departments: DataFrame) -> DataFrame:
     """Deaths with their region key, sex and age band; no name.
 
-    `departments` holds one row per department code; it is broadcast after a check of
-    its size, so the deaths are not shuffled.
+    The department reference is broadcast after a check of its size, so the deaths are
+    not shuffled. A code listed twice in it does not double them. Deaths have no natural
+    key: equal lines are separate deaths.
     """
-    regions = departments.select(F.col("code_departement").alias("_dept"), "code_region")
+    regions = (departments.groupBy(F.col("code_departement").alias("_dept"))
+               .agg(F.min("code_region").alias("code_region")))
     located = lookup(valid.withColumn("_dept", department_code(F.col("code_lieu_deces"))), regions, "_dept",
                      sized_by=departments)
     day = parse_iso(F.col("date_deces"))
@@ -196,5 +199,5 @@ DEATH_ORDER = ["date_deces", "code_lieu_deces", "numero_acte_deces"]
 
 
 def number_deaths(clean: DataFrame) -> DataFrame:
-    numbered = surrogate_key(clean, "deces_key", DEATH_ORDER, drop=tuple(DEATH_ORDER))
+    numbered = surrogate_key(clean, "deces_key", DEATH_ORDER, drop=tuple(DEATH_ORDER), unique=False)
     return enforce_schema(numbered, FACTS["fait_deces"])

@@ -46,7 +46,7 @@ class Settings:
     gold: str = "chu_entrepot"
     staging: str = "staging"
     consultation_key: tuple[str, ...] = tuple(facts.CONSULTATION_KEY)
-    consultation_order: tuple[str, ...] = ("jour",)
+    consultation_order: tuple[str, ...] = facts.CONSULTATION_ORDER
     stay_order: tuple[str, ...] = ("identifiant_organisation", "code_diagnostic", "jours")
     thresholds: dict[str, tuple[str, float]] = field(default_factory=lambda: {"ecart_pct": ("max", 0.0)})
 

@@ -60,11 +60,19 @@ def test_surrogate_keys_are_dense_ordered_and_split_equal_rows(spark):
     rows = [("2019-01-01", "75101")] * 4000 + [(f"2019-02-{i % 28 + 1:02d}", f"{i % 90:05d}") for i in range(8000)]
     random.Random(4).shuffle(rows)
     df = spark.createDataFrame(rows, "jour string, lieu string").repartition(6)
-    numbered = surrogate_key(df, "cle", ["jour", "lieu"])
+    numbered = surrogate_key(df, "cle", ["jour", "lieu"], unique=False)
     found = [(r.jour, r.lieu) for r in numbered.orderBy("cle").collect()]
     assert found == sorted(rows)
     assert numbered.agg(F.min("cle"), F.max("cle"), F.count_distinct("cle")).first()[:] == (1, 12000, 12000)
-    assert [c for c in surrogate_key(df, "cle", ["jour", "lieu"], drop=("lieu",)).columns] == ["cle", "jour"]
+    assert [c for c in surrogate_key(df, "cle", ["jour", "lieu"], drop=("lieu",),
+                                        unique=False).columns] == ["cle", "jour"]
+
+
+def test_numbering_of_a_unique_order_equals_a_global_row_number(spark):
+    rows = [(i * 7919 % 10007, i) for i in range(10000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    found = {(r.a, r.b): r.cle for r in surrogate_key(df, "cle", ["a", "b"]).collect()}
+    assert found == {row: i for i, row in enumerate(sorted(rows), 1)}
 
 
 def test_equal_rows_do_not_share_one_range(spark):
