@@ -103,9 +103,14 @@ def mean_mark_by_region(marks: DataFrame, establishments: DataFrame, year: int)
     return mean_mark(named, "region")
 
 
-def rate(df: DataFrame, axis: str, hits, name: str) -> DataFrame:
-    """Share of rows for which a condition holds, per axis value."""
-    return (df.groupBy(axis).agg(F.count_if(hits).alias("numerateur"), F.count("*").alias("denominateur"))
+def rate(df: DataFrame, key: str, labels: DataFrame, axis: str, hits, name: str) -> DataFrame:
+    """Share of rows for which a condition holds, per axis value.
+
+    Rows are counted per key before `labels` (key -> axis value) is joined.
+    """
+    per_key = df.groupBy(key).agg(F.count_if(hits).alias("hits"), F.count("*").alias("rows"))
+    return (per_key.join(labels, key).groupBy(axis)
+            .agg(F.sum("hits").alias("numerateur"), F.sum("rows").alias("denominateur"))
             .select(F.lit(name).alias("indicateur"), F.col(axis).cast("string").alias("groupe"),
                     "numerateur", "denominateur",
                     percent(F.col("numerateur"), F.col("denominateur"), 2).alias("taux_pct")))

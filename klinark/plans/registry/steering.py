@@ -201,8 +201,8 @@ def rate_per_group(spark, folder):
                 .select("o_custkey", F.col("o_orderdate").cast("date").alias("date_deces")))
     returned = readmission(stay, "o_custkey", "entree", "sortie", "o_orderkey", 30, "retour")
     died = event_within(stay, deceased, "o_custkey", "entree", "date_deces", 30, "deces")
-    return (kpi.rate(returned.join(segments, "o_custkey"), "groupe", F.col("retour"), "readmission")
-            .unionAll(kpi.rate(died.join(segments, "o_custkey"), "groupe", F.col("deces"), "mortalite")))
+    return (kpi.rate(returned, "o_custkey", segments, "groupe", F.col("retour"), "readmission")
+            .unionAll(kpi.rate(died, "o_custkey", segments, "groupe", F.col("deces"), "mortalite")))
 
 
 # Deaths --------------------------------------------------------------------------------------
