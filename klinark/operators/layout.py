@@ -20,7 +20,7 @@ def bucket_count(rows: int) -> int:
     return buckets
 
 
-def ensure_zones(spark: SparkSession, root: str, zones=("staging", "chu_entrepot")) -> None:
+def ensure_zones(spark: SparkSession, root: str, zones=("staging", "entrepot")) -> None:
     """Create one database per zone, each with its own location."""
     for zone in zones:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {zone} LOCATION '{root.rstrip('/')}/{zone}'")

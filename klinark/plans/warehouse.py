@@ -43,7 +43,7 @@ class Settings:
     first_death_year: int
     campaign: int
     batch: str
-    gold: str = "chu_entrepot"
+    gold: str = "entrepot"
     staging: str = "staging"
     consultation_key: tuple[str, ...] = tuple(facts.CONSULTATION_KEY)
     consultation_order: tuple[str, ...] = facts.CONSULTATION_ORDER

@@ -56,9 +56,9 @@ def test_windows_encoding(spark, tmp_path):
 
 def test_files_are_selected_by_name_at_any_depth(spark, tmp_path):
     (tmp_path / "2020").mkdir()
-    (tmp_path / "2020" / "donnees_esatis.csv").write_text("a,b,c\n1,2,3\n", encoding="utf-8")
+    (tmp_path / "2020" / "donnees_enquete.csv").write_text("a,b,c\n1,2,3\n", encoding="utf-8")
     (tmp_path / "2020" / "lisez_moi.csv").write_text("a,b,c\n4,5,6\n", encoding="utf-8")
-    good, _ = split_malformed(read_delimited(spark, str(tmp_path), SCHEMA, pattern="*esatis*.csv"))
+    good, _ = split_malformed(read_delimited(spark, str(tmp_path), SCHEMA, pattern="*enquete*.csv"))
     assert [tuple(r) for r in good.collect()] == [("1", "2", "3")]
 
 
