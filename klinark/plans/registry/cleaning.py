@@ -157,19 +157,17 @@ def fk_resolution(spark, folder):
 
 
 @query("event_within_30d", """
-SELECT a.o_orderkey AS sejour, a.o_orderstatus = 'O' AND EXISTS (
+SELECT a.o_orderkey AS sejour, EXISTS (
   SELECT 1 FROM orders b WHERE b.o_custkey = a.o_custkey AND b.o_orderstatus = 'F'
   AND CAST(b.o_orderdate AS DATE) BETWEEN CAST(a.o_orderdate AS DATE) AND CAST(a.o_orderdate AS DATE) + 30) AS deces_30j
-FROM orders a WHERE a.o_orderstatus = 'O'
-UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderstatus <> 'O'""")
+FROM orders a""")
 def event_within_30d(spark, folder):
     orders = (table(spark, folder, "orders").withColumn("jour", F.col("o_orderdate").cast("date"))
               .withColumnRenamed("o_orderkey", "sejour"))
     deceased = orders.filter("o_orderstatus = 'F'").select("o_custkey", F.col("jour").alias("date_deces"))
-    admitted = orders.filter("o_orderstatus = 'O'").select("sejour", "o_custkey", "jour")
-    others = orders.filter("o_orderstatus <> 'O'").select("sejour", F.lit(None).cast("boolean").alias("deces_30j"))
+    admitted = orders.select("sejour", "o_custkey", "jour")
     return (event_within(admitted, deceased, "o_custkey", "jour", "date_deces", 30, "deces_30j")
-            .select("sejour", "deces_30j").unionAll(others))
+            .select("sejour", "deces_30j"))
 
 
 def order_stays(spark, folder):
