@@ -11,14 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from klinark.llm.shared import components, shingle_sets, whole_groups
+from klinark.llm.shared import components, shingle_sets, slices, whole_groups
 from klinark.session import stage
 
 HEAVY_GRAMS = 1 << 18       # most frequent n-grams that are placed last, by frequency (size of a broadcast)
-COUNTED_AT_ONCE = 4_000_000  # n-grams a task counts in memory
+COUNTED_AT_ONCE = 2_000_000  # n-grams a task counts in memory
 GROUP_ROWS = 4096           # members of a frequent n-gram that meet in one block
 GROUP_GRAMS = 4_000_000     # n-grams of the sets that meet in one tree
 FILTER_BITS = 25            # log2 of the bits that spare moving texts without a partner
+VISITS = 2                   # rounds in which a class visits only its fullest meeting
 FIRST_NODE = 16             # n-grams in a node at the root; doubled on each level
 
 
@@ -52,7 +53,7 @@ def _describe(size: int):
                                     pa.nulls(k, pa.binary()), pa.array(grams.view(np.int64)),
                                     pa.array(hits.astype(np.int64))], schema=schema)
 
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(batch["text"], size)
             names = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             k = len(sets)
@@ -73,7 +74,7 @@ def _describe(size: int):
 
 
 def _heavy(grams: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent n-grams: sorted values, rank by frequency, frequency.
+    """The most frequent n-grams: sorted values, their ranks by frequency, frequency by rank.
 
     At most HEAVY_GRAMS come to the driver: a histogram of the frequencies on a log
     scale gives the cut. The list only fixes the global order of n-grams; any order gives
@@ -94,24 +95,29 @@ def _heavy(grams: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rank = np.empty(len(values), np.uint64)
     rank[by_rank] = np.arange(len(values), dtype=np.uint64)
     order = np.argsort(values)
-    return values[order], rank[order], hits[order]
+    return values[order], rank[order], hits[by_rank]
 
 
-def _ordered(grams: np.ndarray, heavy) -> tuple[np.ndarray, np.ndarray]:
-    """Keys whose numeric order is the global order of n-grams; frequency of the frequent ones.
+def _ordered(grams: np.ndarray, heavy) -> np.ndarray:
+    """Sorted keys whose numeric order is the global order of n-grams.
 
-    Others come first, by hash. A frequent one has the top bit, its rank and hash bits.
+    Rare ones come first, by hash. A frequent one has the top bit, its rank and hash bits.
     """
-    values, rank, hits = heavy
-    keys, count = grams >> np.uint64(1), np.zeros(len(grams), np.int64)
+    values, rank, _ = heavy
+    keys = grams >> np.uint64(1)
     if len(values):
         at = np.minimum(np.searchsorted(values, grams), len(values) - 1)
-        known = values[at] == grams
+        known = np.flatnonzero(values[at] == grams)
         low = grams[known] & np.uint64((1 << 43) - 1)
         keys[known] = np.uint64(1 << 63) | (rank[at[known]] << np.uint64(43)) | low
-        count[known] = hits[at[known]]
-    order = np.argsort(keys)
-    return keys[order], count[order]
+    return np.sort(keys)
+
+
+def _frequency(keys: np.ndarray, heavy) -> np.ndarray:
+    """Frequency of the frequent n-grams among the keys, 0 for the others."""
+    hits, frequent = np.zeros(len(keys), np.int64), keys >= np.uint64(1 << 63)
+    hits[frequent] = heavy[2][((keys[frequent] >> np.uint64(43)) & np.uint64((1 << 20) - 1)).astype(np.int64)]
+    return hits
 
 
 # --- pass 2: prefixes, and the members of each n-gram that may link ------------------------
@@ -122,7 +128,7 @@ def _prefixes(size: int, percent: int, heavy):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = heavy.value
-        for batch in batches:
+        for batch in slices(batches):
             done: set[bytes] = set()
             grams, blocks, names, sizes, places = [], [], [], [], []
             for s in shingle_sets(batch["text"], size):
@@ -130,10 +136,9 @@ def _prefixes(size: int, percent: int, heavy):
                 if not len(s) or name in done:
                     continue
                 done.add(name)
-                keys, hits = _ordered(s, order)
                 p = prefix_length(len(s), percent)
-                keys, hits = keys[:p], hits[:p]
-                parts = -(-hits // GROUP_ROWS)
+                keys = _ordered(s, order)[:p]
+                parts = -(-_frequency(keys, order) // GROUP_ROWS)
                 at = np.arange(p)
                 spread = parts > 1
                 if spread.any():  # every pair of blocks meets
@@ -358,13 +363,13 @@ def _sets(size: int, heavy):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = heavy.value
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(batch["text"], size)
             names = batch["cls"].to_pylist()
             real = [k for k, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == names[k]]
             if real:
                 rows = batch.take(pa.array(real))
-                grams = pa.array([_ordered(sets[k], order)[0].tobytes() for k in real], pa.binary())
+                grams = pa.array([_ordered(sets[k], order).tobytes() for k in real], pa.binary())
                 yield pa.record_batch([rows["places"].cast(schema.field("places").type), rows["root"].cast(pa.binary()),
                                        rows["cls"].cast(pa.binary()), grams], schema=schema)
     return run, "places array<struct<grp binary, block long>>, root binary, cls binary, grams binary"
@@ -382,8 +387,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
     ones first. Two linked sets share one of their leading n-grams; classes meet by these, keep
     the meetings that length and position allow, and meetings with the same members count once.
     There the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
-    meeting only, which settles most groups; then the members of meetings that still hold
-    several components meet, all of them. Frequent n-grams and large meetings are cut into blocks
+    meeting only, a few times; a meeting is settled once its members have one component or have
+    all made the same visit. Then the members of the others meet, all of them. Frequent n-grams and large meetings are cut into blocks
     of which every two meet, so no task holds an unbounded group and no link is lost.
 
     Nulls and oddities: a null or word-less text has n_shingles 0 and links with nothing (its
@@ -434,16 +439,24 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
                 .withColumn("other", other)
                 .withColumn("block", F.least("own", "other") * F.coalesce("parts", F.lit(1)) + F.greatest("own", "other")))
 
-    first = meetings.groupBy("cls").agg(
-        F.max_by(F.struct("grp", "n"), F.struct("members", "grp")).alias("m")).select("cls", "m.grp", "m.n")
-    once = (blocks(first).filter("own = other").withColumn("root", F.col("cls")))
-    settled = trees(once.select("grp", "block", "cls", "root"), "ngram-first")
-    rooted = meetings.join(settled.select(F.col("a").alias("cls"), F.col("b").alias("to")), "cls", "left")
-    rooted = rooted.withColumn("root", F.coalesce("to", "cls")).drop("to")
-    unsettled = rooted.groupBy("grp").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
-    left = blocks(rooted.join(unsettled.select("grp"), "grp", "left_semi"))
-    rest = trees(left.select("grp", "block", "cls", "root"), "ngram-rest")
-    roots = components(settled.union(rest), "ngram-links")
+    pending, merged = meetings.select("grp", "cls", "n", F.col("cls").alias("root")), None
+    for turn in range(VISITS):  # each class visits its fullest meeting
+        full = pending.join(pending.groupBy("grp").agg(F.count("*").alias("members")), "grp")
+        choice = full.groupBy("cls").agg(F.max_by(F.struct("grp", "n", "root"), F.struct("members", "grp")).alias("m"))
+        visits = stage(blocks(choice.select("cls", "m.*")).filter("own = other")
+                       .select("grp", "block", "cls", "root"), f"ngram-visits-{turn}")
+        links = trees(visits, f"ngram-visit-{turn}")
+        merged = links if merged is None else merged.union(links)
+        roots = stage(components(merged, f"ngram-roots-{turn}"), f"ngram-roots-{turn}")
+        visited = visits.select("cls", F.struct("grp", "block").alias("visit"))
+        moved = (pending.drop("root").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+                 .withColumn("root", F.coalesce("root", "cls")).join(visited, "cls"))
+        ends = moved.groupBy("grp").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
+                                        F.min("visit").alias("v1"), F.max("visit").alias("v2"))
+        unsettled = ends.filter("r1 <> r2 and v1 <> v2").select("grp")
+        pending = stage(moved.drop("visit").join(unsettled, "grp", "left_semi"), f"ngram-pending-{turn}")
+    rest = trees(blocks(pending).select("grp", "block", "cls", "root"), "ngram-rest")
+    roots = components(merged.union(rest), "ngram-links")
 
     named = classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))

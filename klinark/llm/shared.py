@@ -33,8 +33,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     A-Z is lower-cased; words are runs without ASCII white space. Each distinct word of
     the batch is hashed once. A null text has no word.
     """
+    texts = texts.take(pa.array(range(len(texts)))) if texts.offset else texts
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
-    flat = lists.flatten()
+    flat = pc.list_flatten(lists)
     encoded = flat.dictionary_encode()
     words = encoded.dictionary.cast(pa.large_binary()).to_pylist()
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
@@ -42,8 +43,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     codes = encoded.indices.to_numpy(zero_copy_only=False)
     kept = real[codes] if len(words) else np.zeros(0, bool)
     ends = np.concatenate(([0], np.cumsum(kept)))
-    offsets = lists.offsets.to_numpy(zero_copy_only=False)
-    return hashes[codes[kept]], ends[offsets - offsets[0]]
+    offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
+    return hashes[codes[kept]], ends[offsets]
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -70,6 +71,16 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return sets
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, to bound what a task holds at once.
+
+    Rows are copied: the split into words does not heed the offset of a slice.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.take(pa.array(range(start, min(start + rows, batch.num_rows))))
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Cut sorted batches into tables that hold only whole groups, with the group bounds."""
     waiting: list[pa.Table] = []
