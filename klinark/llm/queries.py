@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from klinark.llm import exact_topk, graph_ann, quality, toxicity
+from klinark.llm.byte_bpe import encode, read_ranks, round_trip
+from klinark.llm.mixing import Target, mix
 from klinark.llm.ngram_join import ngram_components
 from klinark.llm.shared import table
+from klinark.llm.sharding import shard_documents
+from klinark.llm.token_scan import document_tokens
+from klinark.llm.url_filter import derived_entries, judge_captures, page_captures
+from klinark.llm.vocabulary import EOD, PATTERN, vocabulary_path
+from klinark.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +51,137 @@ def query(name: str, sql: str | None = None):
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Documents linked by at least 90 % of their three-word shingles."""
     return ngram_components(table(spark, folder, "documents"), size=3, percent=90)
+
+
+def _judged(scored: DataFrame, parts: int, rest: int) -> DataFrame:
+    return scored.select("doc_id", quality.held_out(parts, rest).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; labels of one quarter of the ids are never learnt from."""
+    described = stage(quality.features(table(spark, folder, "documents")), "quality-features")
+    labels = table(spark, folder, "labels").filter(~quality.held_out(4, 2))
+    return _judged(quality.score_features(described, quality.train(described, labels)), 4, 2)
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, counted by the separators of flat token files."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = encode(docs, read_ranks(vocabulary_path()), PATTERN).select("doc_id", "ids")
+    return document_tokens(encoded, EOD, 2)
+
+
+@query("op4_jump_sharding", r"""
+    WITH RECURSIVE bits(n, c, k) AS (
+      SELECT i, i::UBIGINT, 0 FROM range(256) t(i) UNION ALL
+      SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+    d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+        CASE WHEN coalesce(doc_id, 0) < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS key
+      FROM documents),
+    j(r, n, key, b, j) AS (
+      SELECT r, n, key, (-1)::BIGINT, 0::BIGINT FROM d, (VALUES (16), (17)) v(n) UNION ALL
+      SELECT r, n, k, j, floor((j + 1) * (2147483648.0::DOUBLE / ((k // 8589934592) + 1)::DOUBLE))::BIGINT
+      FROM (SELECT r, n, j, (key * 2862933555777941757 + 1) % 18446744073709551616 AS k FROM j WHERE j < n)),
+    s AS (SELECT r, max(b) FILTER (n = 16)::INT AS shard, max(b) FILTER (n = 17)::INT AS grown_shard FROM j GROUP BY r),
+    x AS (SELECT r, hex(encode(text)) AS h FROM d),
+    c AS (SELECT r, xor(list_reduce(list_transform(range(-1, len(h) // 2),
+          lambda i: CASE WHEN i < 0 THEN 4294967295::UBIGINT ELSE ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT END),
+          lambda a, b: xor(a // 256, t[((xor(a, b) % 256) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32 FROM x, crc),
+    o AS (SELECT d.doc_id, (octet_length(encode(text)) + 1)::BIGINT AS size, text_crc32, shard, grown_shard,
+        ((key * 2862933555777941757 + 1) % 18446744073709551616) // 4503599627370496 AS bucket
+      FROM d JOIN s USING (r) JOIN c USING (r))
+    SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+      row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, size, text_crc32) - 1 AS slot, grown_shard
+    FROM o""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in 16 shards by jump consistent hashing of their ids."""
+    return shard_documents(table(spark, folder, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; labels of one third of the ids are never learnt from."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels").filter(~quality.held_out(3, 1)))
+    return _judged(toxicity.add_scores(docs, model, name="score"), 3, 1)
+
+
+@query("op6_url_filters", r"""
+    WITH c AS (SELECT page_id, url, (DATE '2024-01-01' + (coalesce(page_id, 0) % 366)::INT) AS fetched,
+        nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '.'), '') AS host FROM pages),
+    h AS (SELECT DISTINCT host FROM c WHERE host IS NOT NULL),
+    g AS (SELECT host AS domain FROM h UNION SELECT array_to_string(string_split(host, '.')[-3:], '.') FROM h),
+    k AS (SELECT list, domain, md5(list || '/' || domain) AS m FROM g, (VALUES ('adult'), ('malware'), ('spam')) v(list)),
+    n AS (SELECT list, domain, ('0x' || substr(m, 1, 4))::INT AS n1, ('0x' || substr(m, 5, 4))::INT AS n2,
+        ('0x' || substr(m, 9, 4))::INT AS n3, ('0x' || substr(m, 13, 4))::INT AS n4, ('0x' || substr(m, 17, 4))::INT AS n5 FROM k),
+    e AS (SELECT list, domain, DATE '2024-01-01' + n2 % 300 AS a, DATE '2024-01-01' + n2 % 300 + 1 + n3 % 90 AS b,
+        DATE '2024-01-01' + n2 % 300 + 1 + n3 % 90 + 1 + n4 % 60 AS c, n5 % 4 AS steps FROM n WHERE n1 % 3 = 0),
+    v AS (SELECT list, domain, a AS since, CASE WHEN steps >= 1 THEN b END AS until FROM e
+      UNION ALL SELECT list, domain, c, NULL FROM e WHERE steps >= 2),
+    p AS (SELECT DISTINCT host, fetched FROM c WHERE host IS NOT NULL),
+    q AS (SELECT host, fetched, array_to_string(string_split(host, '.')[i:], '.') AS domain
+      FROM (SELECT host, fetched, unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS i FROM p)),
+    w AS (SELECT host, fetched, array_to_string(list_sort(list(DISTINCT list)), ',') AS lists FROM q JOIN v USING (domain)
+      WHERE since <= fetched AND (until IS NULL OR fetched < until) GROUP BY host, fetched)
+    SELECT page_id, url, fetched::DATE AS fetched, coalesce(lists, '') AS lists, lists IS NOT NULL AS blocked
+    FROM c LEFT JOIN w USING (host, fetched)""")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page against the list entries in force on the day of its capture."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = judge_captures(page_captures(pages), derived_entries(pages))
+    return judged.withColumn("lists", F.array_join("lists", ","))
+
+
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded to token ids and decoded again."""
+    return round_trip(table(spark, folder, "documents"), read_ranks(vocabulary_path()), PATTERN)
+
+
+@query("op8_temperature_mixing", r"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+      FROM documents),
+    s AS (SELECT source, sum(n_tokens)::BIGINT AS t FROM d GROUP BY source),
+    a AS (SELECT CASE WHEN max(t) <= 2 * min(t) THEN 0 ELSE
+        ceil((1 - ln(2) / ln(max(t)::DOUBLE / min(t))) * 1e6 - 1e-3) / 1e6 END AS a, max(t) AS most FROM s WHERE t > 0),
+    q AS (SELECT source, t, CASE WHEN t > 0 THEN greatest(floor(round(pow(t, a) * pow(most, 1 - a), 6))::BIGINT, t) ELSE 0 END AS quota
+      FROM s, a),
+    f AS (SELECT source, CASE WHEN t > 0 THEN quota // t ELSE 1 END AS f, CASE WHEN t > 0 THEN quota % t ELSE 0 END AS rest FROM q),
+    k AS (SELECT d.*, f, rest, md5('mix|' || f || '|' || coalesce(doc_id::VARCHAR, '')) AS key
+      FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
+    r AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY key RANGE UNBOUNDED PRECEDING) AS run FROM k),
+    b AS (SELECT doc_id, source, n_tokens, unnest(range(0, f + CASE WHEN rest > 0 AND run <= rest THEN 1 ELSE 0 END)) AS block FROM r)
+    SELECT doc_id, source, n_tokens, block::BIGINT AS block, md5('mix|' || block || '|' || coalesce(doc_id::VARCHAR, '')) AS order_key
+    FROM b""")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, rare sources repeated up to twice as often as the largest one."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return mix(docs, Target(repeats=2.0)).select(
+        "doc_id", "source", F.col("_tokens").alias("n_tokens"), F.col("_block").alias("block"), F.col("_order").alias("order_key"))
+
+
+@query("op9_exact_topk", r"""
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+      FROM v q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact five best rows of each query by integer inner product."""
+    return exact_topk.top_products(table(spark, folder, "embeddings"))
+
+
+@query("op10_graph_ann")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """About the five nearest rows of each query by cosine."""
+    return graph_ann.nearest_cosine(table(spark, folder, "embeddings"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
