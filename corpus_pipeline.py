@@ -41,12 +41,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     repeat an id with the same text, one stays.
     """
     groups = ngram_components(docs, size=5, percent=80)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = (kept.filter("doc_id is not null").groupBy("doc_id", F.xxhash64("text").alias("h")).count()
-                .filter("count > 1").select("doc_id").distinct())
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    flags = (groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_flag_id"))
+             .agg(F.bool_or("doc_id <> component_id").alias("_gone"), (F.count("*") > 1).alias("_repeated"))
+             .filter("_gone or _repeated"))
+    flagged = docs.join(flags, docs["doc_id"] == flags["_flag_id"], "left")
+    single = flagged.filter("_flag_id is null").select(*docs.columns)
+    repeated = flagged.filter("not _gone").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return single.unionByName(repeated)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

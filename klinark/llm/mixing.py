@@ -80,7 +80,7 @@ def quotas(docs: DataFrame, target: Target, budget: int | None, source: str, tok
     weights; without one, the budget is the least that gives every source one full block, so that
     no document is left out. A source without tokens has one full block.
     """
-    sources = stage(docs.groupBy(F.col(source).alias("_source")).agg(F.sum(tokens).alias("tokens")), "mix-sources")
+    sources = stage(docs.groupBy(F.col(source).alias("_mix_source")).agg(F.sum(tokens).alias("tokens")), "mix-sources")
     a = find_exponent(sources, target)
     if budget is None:
         whole = F.pow(F.col("tokens"), a) * F.pow(sources.agg(F.max("tokens")).scalar(), 1 - a)
@@ -91,8 +91,8 @@ def quotas(docs: DataFrame, target: Target, budget: int | None, source: str, tok
         quota = F.greatest(quota, F.col("tokens"))
     full = F.when(F.col("tokens") > 0, F.expr("_quota div tokens")).otherwise(F.lit(1))
     return (sources.withColumn("_quota", F.when(F.col("tokens") > 0, quota).otherwise(F.lit(0).cast("long")))
-            .withColumn("_full", full.cast("long"))
-            .withColumn("_rest", F.col("_quota") - F.col("_full") * F.col("tokens")).drop("tokens", "_quota"))
+            .withColumn("_mix_full", full.cast("long"))
+            .withColumn("_mix_rest", F.col("_quota") - F.col("_mix_full") * F.col("tokens")).drop("tokens", "_quota"))
 
 
 def mix(docs: DataFrame, target: Target, budget: int | None = None, seed: str = "mix", doc_id: str = "doc_id",
@@ -112,34 +112,34 @@ def mix(docs: DataFrame, target: Target, budget: int | None = None, seed: str =
     above are replaced.
     """
     rows = docs.drop("_tokens", "_block", "_order").withColumn("_tokens", word_count(F.col(text)))
-    slim = stage(rows.select(F.col(source).alias("_source"), F.col(doc_id).alias("_doc"), "_tokens"), "mix-tokens")
-    plan = stage(quotas(slim, target, budget, "_source", "_tokens"), "mix-quotas")
+    slim = stage(rows.select(F.col(source).alias("_mix_source"), F.col(doc_id).alias("_doc"), "_tokens"), "mix-tokens")
+    plan = stage(quotas(slim, target, budget, "_mix_source", "_tokens"), "mix-quotas")
 
-    keyed = (slim.withColumnRenamed("_source", "_s").join(plan.filter("_rest > 0"), F.col("_s").eqNullSafe(F.col("_source")))
-             .withColumn("_key", order_key(seed, F.col("_full"), F.col("_doc")))
+    keyed = (slim.withColumnRenamed("_mix_source", "_s").join(plan.filter("_mix_rest > 0"), F.col("_s").eqNullSafe(F.col("_mix_source")))
+             .withColumn("_key", order_key(seed, F.col("_mix_full"), F.col("_doc")))
              .withColumn("_part", F.substring("_key", 1, 3)))
-    parts = keyed.groupBy("_source", "_part").agg(F.sum("_tokens").alias("_sum"), F.first("_rest").alias("_rest"))
-    upto = Window.partitionBy("_source").orderBy("_part")
+    parts = keyed.groupBy("_mix_source", "_part").agg(F.sum("_tokens").alias("_sum"), F.first("_mix_rest").alias("_mix_rest"))
+    upto = Window.partitionBy("_mix_source").orderBy("_part")
     parts = parts.withColumn("_upto", F.sum("_sum").over(upto))
     # the first part that does not fit whole
-    last = (parts.filter("_upto > _rest").groupBy("_source")
+    last = (parts.filter("_upto > _mix_rest").groupBy("_mix_source")
             .agg(F.min("_part").alias("_part"), F.min_by(F.col("_upto") - F.col("_sum"), "_part").alias("_begin")))
-    ending = (keyed.select(F.col("_source").alias("_s"), F.col("_part").alias("_p"), "_key", "_tokens", "_rest")
-              .join(last, F.col("_s").eqNullSafe(F.col("_source")) & (F.col("_p") == F.col("_part")))
-              .groupBy("_source", "_key").agg(F.sum("_tokens").alias("_tokens"), F.first("_rest").alias("_rest"),
+    ending = (keyed.select(F.col("_mix_source").alias("_s"), F.col("_part").alias("_p"), "_key", "_tokens", "_mix_rest")
+              .join(last, F.col("_s").eqNullSafe(F.col("_mix_source")) & (F.col("_p") == F.col("_part")))
+              .groupBy("_mix_source", "_key").agg(F.sum("_tokens").alias("_tokens"), F.first("_mix_rest").alias("_mix_rest"),
                                               F.first("_begin").alias("_begin")))
-    running = F.col("_begin") + F.sum("_tokens").over(Window.partitionBy("_source").orderBy("_key"))
-    cuts = (ending.withColumn("_run", running).filter("_run > _rest")
-            .groupBy("_source").agg(F.min("_key").alias("_cut")))
-    cuts = cuts.withColumnRenamed("_source", "_c")
-    plan = (plan.join(cuts, F.col("_source").eqNullSafe(F.col("_c")), "left")
-            .select(F.col("_source"), "_full", "_rest", "_cut"))
-
-    joined = rows.join(plan, F.col(source).eqNullSafe(F.col("_source")))
-    key = order_key(seed, F.col("_full"), F.col(doc_id))
-    partly = (F.col("_rest") > 0) & F.coalesce(key < F.col("_cut"), F.lit(True))
-    count = F.col("_full") + F.when(partly, F.lit(1)).otherwise(F.lit(0))
+    running = F.col("_begin") + F.sum("_tokens").over(Window.partitionBy("_mix_source").orderBy("_key"))
+    cuts = (ending.withColumn("_run", running).filter("_run > _mix_rest")
+            .groupBy("_mix_source").agg(F.min("_key").alias("_mix_cut")))
+    cuts = cuts.withColumnRenamed("_mix_source", "_c")
+    plan = (plan.join(cuts, F.col("_mix_source").eqNullSafe(F.col("_c")), "left")
+            .select(F.col("_mix_source"), "_mix_full", "_mix_rest", "_mix_cut"))
+
+    joined = rows.join(plan, F.col(source).eqNullSafe(F.col("_mix_source")))
+    key = order_key(seed, F.col("_mix_full"), F.col(doc_id))
+    partly = (F.col("_mix_rest") > 0) & F.coalesce(key < F.col("_mix_cut"), F.lit(True))
+    count = F.col("_mix_full") + F.when(partly, F.lit(1)).otherwise(F.lit(0))
     blocks = F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1)).otherwise(F.array().cast("array<long>"))
     return (joined.withColumn("_block", F.explode(blocks))
             .withColumn("_order", order_key(seed, F.col("_block"), F.col(doc_id)))
-            .drop("_source", "_full", "_rest", "_cut"))
+            .drop("_mix_source", "_mix_full", "_mix_rest", "_mix_cut"))
