@@ -11,15 +11,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from klinark.llm.shared import components, shingle_sets, slices, whole_groups
+from klinark.llm.shared import components, shingle_sets, slices, small_batches, whole_groups
 from klinark.session import stage
 
 HEAVY_GRAMS = 1 << 18       # most frequent n-grams that are placed last, by frequency (size of a broadcast)
-COUNTED_AT_ONCE = 2_000_000  # n-grams a task counts in memory
+COUNTED_AT_ONCE = 1_000_000  # n-grams a task counts in memory
 GROUP_ROWS = 4096           # members of a frequent n-gram that meet in one block
 GROUP_GRAMS = 4_000_000     # n-grams of the sets that meet in one tree
 FILTER_BITS = 25            # log2 of the bits that spare moving texts without a partner
 VISITS = 2                   # rounds in which a class visits only its fullest meeting
+BATCH_ROWS = 1000            # rows of an Arrow batch
 FIRST_NODE = 16             # n-grams in a node at the root; doubled on each level
 
 
@@ -375,30 +376,9 @@ def _sets(size: int, heavy):
     return run, "places array<struct<grp binary, block long>>, root binary, cls binary, grams binary"
 
 
-def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",
-                     text: str = "text") -> DataFrame:
-    """Component of each document under "n-gram sets have Jaccard similarity >= percent / 100".
-
-    Returns (doc_id, n_shingles, component_id): one row per row of `docs`, the size of its set
-    of distinct n-grams, the smallest doc_id reachable by links, itself included.
-
-    Equal sets form a class, found by a 128-bit digest and combined before any shuffle, so a
-    group of copies of any size is one member from then on. N-grams have one global order, rare
-    ones first. Two linked sets share one of their leading n-grams; classes meet by these, keep
-    the meetings that length and position allow, and meetings with the same members count once.
-    There the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
-    meeting only, a few times; a meeting is settled once its members have one component or have
-    all made the same visit. Then the members of the others meet, all of them. Frequent n-grams and large meetings are cut into blocks
-    of which every two meet, so no task holds an unbounded group and no link is lost.
-
-    Nulls and oddities: a null or word-less text has n_shingles 0 and links with nothing (its
-    component is its own doc_id); a null doc_id is never a component's name, a component with null
-    ids only has a null name; repeated rows and repeated ids each give their row, equal texts
-    sharing a component. Other columns are ignored. N-grams are compared by 63-bit hashes.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("row_key", F.coalesce("doc_id", F.xxhash64("text")))
+def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Described rows, classes of equal sets, and the root of each class that has a link."""
+    spark = rows.sparkSession
     run, kind = _describe(size)
     described = stage(rows.mapInArrow(run, kind), "ngram-described")
     described = described.withColumn("is_gram", F.col("gram").isNotNull())
@@ -456,8 +436,34 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
         unsettled = ends.filter("r1 <> r2 and v1 <> v2").select("grp")
         pending = stage(moved.drop("visit").join(unsettled, "grp", "left_semi"), f"ngram-pending-{turn}")
     rest = trees(blocks(pending).select("grp", "block", "cls", "root"), "ngram-rest")
-    roots = components(merged.union(rest), "ngram-links")
+    return sets, classes, components(merged.union(rest), "ngram-links")
+
 
+def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",
+                     text: str = "text") -> DataFrame:
+    """Component of each document under "n-gram sets have Jaccard similarity >= percent / 100".
+
+    Returns (doc_id, n_shingles, component_id): one row per row of `docs`, the size of its set
+    of distinct n-grams, the smallest doc_id reachable by links, itself included.
+
+    Equal sets form a class, found by a 128-bit digest and combined before any shuffle, so a
+    group of copies of any size is one member from then on. N-grams have one global order, rare
+    ones first. Two linked sets share one of their leading n-grams; classes meet by these, keep
+    the meetings that length and position allow, and meetings with the same members count once.
+    There the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
+    meeting only, a few times; a meeting is settled once its members have one component or have
+    all made the same visit. Then the members of the others meet, all of them. Frequent n-grams and large meetings are cut into blocks
+    of which every two meet, so no task holds an unbounded group and no link is lost.
+
+    Nulls and oddities: a null or word-less text has n_shingles 0 and links with nothing (its
+    component is its own doc_id); a null doc_id is never a component's name, a component with null
+    ids only has a null name; repeated rows and repeated ids each give their row, equal texts
+    sharing a component. Other columns are ignored. N-grams are compared by 63-bit hashes.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("row_key", F.coalesce("doc_id", F.xxhash64("text")))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        sets, classes, roots = _class_roots(rows, size, percent)
     named = classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

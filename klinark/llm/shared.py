@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Fewer rows in an Arrow batch, for jobs whose rows hold whole sets or texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (finaliser of a multiplicative hash)."""
     values = (values ^ (values >> np.uint64(30))) * MIX[0]
