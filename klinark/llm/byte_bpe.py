@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 300_000  # pre-tokens whose ids a worker keeps
+REMEMBERED = 150_000  # pre-tokens whose ids a worker keeps
 
 # Fixed values of the sentencepiece model format: field numbers, piece types, model type.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3

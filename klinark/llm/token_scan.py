@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from klinark.llm.shared import small_batches
 from klinark.session import stage
 
 BLOCK_TOKENS = 1 << 18  # tokens of a block
+BATCH_ROWS = 1000       # documents of an Arrow batch
 RUN_BLOCKS = 1024       # blocks that one window of the prefix scan holds
 
 
@@ -157,5 +159,6 @@ def scan_documents(blocks: DataFrame, eod: int, width: int) -> DataFrame:
 
 def document_tokens(encoded: DataFrame, eod: int, width: int, doc_id: str = "doc_id") -> DataFrame:
     """Write documents as token files in the shared folder, then count each one's tokens from the files."""
-    files = stage(write_tokens(encoded, eod, width, doc_id), "token-files")
+    with small_batches(encoded.sparkSession, BATCH_ROWS):
+        files = stage(write_tokens(encoded, eod, width, doc_id), "token-files")
     return scan_documents(files, eod, width).select(F.col("key").alias(doc_id), "n_tokens")
