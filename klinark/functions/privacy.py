@@ -6,7 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EMAIL_PATTERN = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
-PHONE_PATTERN = "[+]?[0-9]{1,2} ?[(]?[0-9]{1,3}[)]?([ -][0-9]{2,4}){2,4}"
+# National numbers of ten digits in pairs (0X XX XX XX XX), or a + and country code with groups. Dates
+# have neither a leading 0 followed by four pairs nor a +.
+PHONE_PATTERN = (r"\b0[1-9]([ .-]?[0-9]{2}){4}\b|[+][0-9]{1,3}[ .-]?([(][0-9]{1,4}[)][ .-]?)?[0-9]{1,4}([ .-]?[0-9]{2,4}){1,5}\b"
+                 r"|\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b")
 MOJIBAKE_PATTERN = "�|Ã"
 
 

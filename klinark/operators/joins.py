@@ -6,30 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BROADCAST_ROWS = 200_000
 
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most `max_rows` rows.
-
-    Reads no column and stops at the partition that exceeds the bound.
-    """
-    return df.select().offset(max_rows).isEmpty()
-
-
-def lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",
-           sized_by: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     """Join many rows with a dimension that holds one row per key.
 
-    A dimension of checked small size is broadcast, so the large side is not moved.
-    Beyond that both sides are shuffled on the key and adaptive execution splits the
-    partitions of a key that holds many rows of the large side. `sized_by` is a frame
-    with at least as many rows as the dimension and cheaper to count.
-
-    Frames that were first summed per key need no lookup: both sides then have one row
-    per key, and a plain join leaves the choice to Spark.
+    No hint: adaptive execution broadcasts the dimension when its measured bytes are small,
+    else both sides are shuffled and the partitions of a key with many rows are split.
     """
-    return df.join(F.broadcast(dim) if is_small(dim if sized_by is None else sized_by, max_rows) else dim, on, how)
+    return df.join(dim, on, how)
 
 
 def resolve_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -40,7 +24,7 @@ def resolve_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Dat
     for fk, (dim, key) in dims.items():
         flag = f"{fk}_connu"
         known = dim.select(F.col(key).alias(fk)).filter(F.col(fk).isNotNull()).distinct()
-        fact = lookup(fact, known.withColumn(flag, F.lit(True)), fk, sized_by=dim)
+        fact = lookup(fact, known.withColumn(flag, F.lit(True)), fk)
         fact = fact.withColumn(flag, F.coalesce(flag, F.lit(False)))
     return fact
 
@@ -69,10 +53,13 @@ def event_within(df: DataFrame, events: DataFrame, key: str, start: str, event_d
     around = (per_slot.select(key, sides.alias("s")).select(key, "s.*")
               .groupBy(key, "_slot").agg(F.max("_here").alias("_here"), F.min("_next").alias("_next")))
     close = (F.col("_here") >= F.col(start)) | (F.col("_next") <= F.date_add(start, days))
-    return (df.withColumn("_slot", slot(F.col(start)))
-            .join(around, [key, "_slot"], "left")
-            .withColumn(flag, F.coalesce(close, F.lit(False)))
-            .drop("_slot", "_here", "_next"))
+    asked = F.col(key).isNotNull() & F.col(start).isNotNull()
+    found = (df.filter(asked).withColumn("_slot", slot(F.col(start)))
+             .join(around, [key, "_slot"], "left")
+             .withColumn(flag, F.coalesce(close, F.lit(False)))
+             .select(*df.columns, flag))
+    # rows that nothing can follow skip the join, where they would all meet in one task
+    return found.unionByName(df.filter(~asked).withColumn(flag, F.lit(False)))
 
 
 def readmission(df: DataFrame, key: str, admission: str, discharge: str, stay_id: str,

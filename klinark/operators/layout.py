@@ -7,18 +7,6 @@ from pyspark.sql import functions as F
 
 from klinark.session import open_writers
 
-LEAST_BUCKETS = 8
-ROWS_PER_BUCKET = 4_000_000
-ROWS_WORTH_BUCKETS = 1_000_000
-
-
-def bucket_count(rows: int) -> int:
-    """Buckets for a table: at least 8, doubled until a bucket has at most 4 M rows."""
-    buckets = LEAST_BUCKETS
-    while rows > buckets * ROWS_PER_BUCKET:
-        buckets *= 2
-    return buckets
-
 
 def ensure_zones(spark: SparkSession, root: str, zones=("staging", "entrepot")) -> None:
     """Create one database per zone, each with its own location."""
@@ -50,15 +38,10 @@ def stale_partitions(before: DataFrame, written: DataFrame, partition: str) -> D
 
 
 def write_table(df: DataFrame, table: str, path: str | None = None,
-                partition_by: tuple[str, ...] = (), bucket_by: tuple[str, ...] = (),
-                buckets: int = LEAST_BUCKETS) -> None:
-    """Save a table, partitioned and bucketed as asked; flat by default."""
-    groups = [F.col(c) for c in partition_by]
-    if bucket_by:
-        df = df.withColumn("_bucket", F.pmod(F.hash(*bucket_by), F.lit(buckets)))
-        groups.append(F.col("_bucket"))
-    gathered = gather(df, *groups).drop("_bucket") if groups else df
-    writer = gathered.write.mode("overwrite").format("parquet")
+                partition_by: tuple[str, ...] = (), bucket_by: tuple[str, ...] = (), buckets: int = 8) -> None:
+    """Save a table, partitioned and bucketed as declared; flat by default."""
+    groups = [F.col(c) for c in (*partition_by, *bucket_by)]
+    writer = (gather(df, *groups) if groups else df).write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
@@ -69,11 +52,29 @@ def write_table(df: DataFrame, table: str, path: str | None = None,
         writer.saveAsTable(table)
 
 
-def write_fact(df: DataFrame, table: str, rows: int, bucket_by: tuple[str, ...] = (),
+def write_fact(df: DataFrame, table: str, bucket_by: tuple[str, ...] = (), buckets: int = 8,
                path: str | None = None, year: str = "annee") -> None:
-    """Save a fact by year, bucketed when it has enough rows for buckets to pay."""
-    keys = bucket_by if rows >= ROWS_WORTH_BUCKETS else ()
-    write_table(df, table, path, (year,), keys, bucket_count(rows))
+    """Publish a fact by year: the years of the frame are replaced, the other years stay.
+
+    The first load creates the table with its declared buckets.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        write_table(df, table, path, (year,), bucket_by, buckets)
+        return
+    name, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(name, "dynamic")
+    try:
+        with open_writers(spark):
+            gather(df.select(*spark.table(table).columns), F.col(year)).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(name, before)
+
+
+def replace_batch(df: DataFrame, path: str, batch: dict[str, str]) -> None:
+    """Replace one partition of a file table by the rows of a frame, also by none."""
+    folder = "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in batch.items()]])
+    df.write.mode("overwrite").parquet(folder)
 
 
 def inventory(spark: SparkSession, zone: str) -> DataFrame:
@@ -93,12 +94,11 @@ def partition_counts(df: DataFrame, partition: str) -> DataFrame:
     return df.groupBy(partition).agg(F.count("*").alias("n"))
 
 
-def bucket_skew(df: DataFrame, keys: list[str], buckets: int = LEAST_BUCKETS) -> DataFrame:
-    """Rows of the fullest and emptiest used bucket for a choice of bucket columns."""
-    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
-    return (df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
-            .agg(F.count("*").alias("n_buckets"), F.max("n").alias("n_max"), F.min("n").alias("n_min"))
-            .select(F.lit("+".join(keys)).alias("cles"), "n_buckets", "n_max", "n_min",
+def value_skew(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the most and least frequent value of a choice of layout columns."""
+    return (df.groupBy(*keys).agg(F.count("*").alias("n"))
+            .agg(F.count("*").alias("n_valeurs"), F.max("n").alias("n_max"), F.min("n").alias("n_min"))
+            .select(F.lit("+".join(keys)).alias("cles"), "n_valeurs", "n_max", "n_min",
                     F.round(F.col("n_max") / F.col("n_min"), 2).alias("rapport")))
 
 

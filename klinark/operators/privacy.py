@@ -40,7 +40,7 @@ def attach_pseudonym(df: DataFrame, column: str, mapping: DataFrame) -> DataFram
     """
     named = mapping.select(F.col("id_patient_original").alias("_id"),
                            F.col("id_patient_pseudo").alias("patient_id"))
-    return (lookup(df.withColumn("_id", canonical_id(F.col(column))), named, "_id", "inner", sized_by=mapping)
+    return (lookup(df.withColumn("_id", canonical_id(F.col(column))), named, "_id", "inner")
             .drop("_id", column))
 
 
@@ -73,10 +73,10 @@ def view_for_role(df: DataFrame, role: str, scope: Column | None = None,
 
 def erase(df: DataFrame, column: str, erased: DataFrame) -> DataFrame:
     """Remove every row of the patients in `erased` (same column name)."""
-    return lookup(df, erased.select(column).distinct(), column, "left_anti", sized_by=erased)
+    return lookup(df, erased.select(column).distinct(), column, "left_anti")
 
 
 def touched_partitions(df: DataFrame, column: str, erased: DataFrame, partition: str) -> DataFrame:
     """Partitions that hold rows of the erased patients: the only ones to rewrite."""
-    concerned = lookup(df, erased.select(column).distinct(), column, "left_semi", sized_by=erased)
+    concerned = lookup(df, erased.select(column).distinct(), column, "left_semi")
     return concerned.select(partition).distinct()

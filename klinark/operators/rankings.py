@@ -25,13 +25,13 @@ def lump_other(df: DataFrame, column: str, n: int, weight: str | None = None,
                other: str = OTHER_LABEL) -> DataFrame:
     """Keep the n most frequent values of a column and merge the others.
 
-    The list of kept values has n rows and is broadcast back. `weight` holds the
-    number of rows each row stands for when the frame is already aggregated.
+    `weight` holds the number of rows each row stands for when the frame is already
+    aggregated. NULL takes no place in the list and is merged like any other value.
     """
     size = F.sum(weight) if weight else F.count("*")
-    kept = (top_n(df.groupBy(column).agg(size.alias("_size")), "_size", column, n)
+    kept = (top_n(df.filter(F.col(column).isNotNull()).groupBy(column).agg(size.alias("_size")), "_size", column, n)
             .select(column, F.lit(True).alias("_kept")))
-    return (df.join(F.broadcast(kept), column, "left")
+    return (df.join(kept, column, "left")
             .withColumn(column, F.when(F.col("_kept"), F.col(column)).otherwise(other))
             .drop("_kept"))
 
@@ -47,10 +47,9 @@ def share_of_total(totals: DataFrame, measure: str, digits: int, name: str = "pa
 
 def year_on_year(totals: DataFrame, year: str, measure: str) -> DataFrame:
     """Previous-year value and rounded change; NULL when the year before is absent."""
-    window = Window.orderBy(year)
-    follows = F.lag(year).over(window) == F.col(year) - 1
-    previous = F.when(follows, F.lag(measure).over(window))
-    return (totals.withColumn("precedent", previous)
+    before = totals.select((F.col(year) + 1).cast(totals.schema[year].dataType).alias(year),
+                           F.col(measure).alias("precedent"))
+    return (totals.join(before, year, "left")
             .withColumn("evolution_pct",
                         whole_percent(F.col(measure) - F.col("precedent"), F.col("precedent"))))
 

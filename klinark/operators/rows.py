@@ -83,11 +83,20 @@ def surrogate_key(df: DataFrame, name: str, order: list[str], drop: tuple[str, .
             .select((F.col("_offset") + F.col("_position") + 1).alias(name), *kept))
 
 
-def shift_years(df: DataFrame, copies: int, key: str, date_key: str, year: str) -> DataFrame:
-    """Replicate a fact on the preceding years: copy k is moved back k years."""
+def shift_years(df: DataFrame, copies: int, key: str, date_key: str, year: str,
+                step: int = 1_000_000_000_000) -> DataFrame:
+    """Replicate a fact on the preceding years: copy k is moved back k years.
+
+    Keys move by `step`, which must exceed every key of the fact (a larger key fails the
+    job). The 29th of February becomes the 28th in a year without it.
+    """
     shift = F.explode(F.array(*[F.lit(k) for k in range(copies)]))
+    moved = F.col(year) - F.col("_shift")
+    leap = (moved % 4 == 0) & ((moved % 100 != 0) | (moved % 400 == 0))
+    lost = F.when((F.col(date_key) % 10_000 == 229) & ~leap, 1).otherwise(0)
+    fits = F.when(F.abs(F.col(key)) >= F.lit(step), F.raise_error(F.lit(f"{key} exceeds the step of the copies"))).otherwise(F.col(key))
     return (df.withColumn("_shift", shift)
-            .withColumn(key, F.col(key) + F.col("_shift").cast("long") * 1_000_000_000)
-            .withColumn(date_key, F.col(date_key) - F.col("_shift") * 10_000)
-            .withColumn(year, F.col(year) - F.col("_shift"))
+            .withColumn(key, fits.cast("long") + F.col("_shift").cast("long") * step)
+            .withColumn(date_key, (F.col(date_key) - F.col("_shift") * 10_000 - lost).cast("int"))
+            .withColumn(year, moved)
             .drop("_shift"))

@@ -138,8 +138,7 @@ def resolve_region(df: DataFrame, geographies: DataFrame, label: str) -> DataFra
     """Region key of a free label, whatever its case, accents or punctuation."""
     regions = (geographies.select("geo_id", fold_label(F.col("region")).alias("_folded"))
                .groupBy("_folded").agg(F.min("geo_id").alias("geo_id")))
-    return (lookup(df.withColumn("_folded", fold_label(standard_region(F.col(label)))), regions, "_folded",
-                   sized_by=geographies)
+    return (lookup(df.withColumn("_folded", fold_label(standard_region(F.col(label)))), regions, "_folded")
             .withColumn("geo_id", F.coalesce("geo_id", F.lit(UNKNOWN_GEO))).drop("_folded"))
 
 
@@ -178,14 +177,13 @@ def clean_deaths(raw: DataFrame, departments: DataFrame, first_year: int) -> Dat
 def shape_deaths(valid: DataFrame, departments: DataFrame) -> DataFrame:
     """Deaths with their region key, sex and age band; no name.
 
-    The department reference is broadcast after a check of its size, so the deaths are
-    not shuffled. A code listed twice in it does not double them. Deaths have no natural
+    A small department reference is broadcast by adaptive execution, so the deaths are not
+    shuffled. A code listed twice in it does not double them. Deaths have no natural
     key: equal lines are separate deaths.
     """
     regions = (departments.groupBy(F.col("code_departement").alias("_dept"))
                .agg(F.min("code_region").alias("code_region")))
-    located = lookup(valid.withColumn("_dept", department_code(F.col("code_lieu_deces"))), regions, "_dept",
-                     sized_by=departments)
+    located = lookup(valid.withColumn("_dept", department_code(F.col("code_lieu_deces"))), regions, "_dept")
     day = parse_iso(F.col("date_deces"))
     return located.select(
         "date_deces", "code_lieu_deces", "numero_acte_deces", date_id(day).alias("date_id"),

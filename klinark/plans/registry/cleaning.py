@@ -142,15 +142,19 @@ def unknown_departments(spark, folder):
 SELECT count(*) AS total, CAST(sum(CASE WHEN p_partkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS part_connu,
        CAST(sum(CASE WHEN s_suppkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS site_connu,
        CAST(sum(CASE WHEN o_orderkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS commande_connue
-FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON p_partkey = l_partkey
-LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 11 <> 0) ON s_suppkey = l_suppkey
-LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = l_orderkey""")
+FROM (SELECT CASE WHEN l_linenumber = 7 THEN -l_partkey ELSE l_partkey END AS p,
+             CASE WHEN l_quantity > 40 THEN NULL ELSE l_suppkey END AS s,
+             CASE WHEN l_returnflag = 'R' THEN -l_orderkey ELSE l_orderkey END AS o FROM lineitem)
+LEFT JOIN part ON p_partkey = p LEFT JOIN supplier ON s_suppkey = s LEFT JOIN orders ON o_orderkey = o""")
 def fk_resolution(spark, folder):
-    lines = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey")
+    lines = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") == 7, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("l_partkey"),
+        F.when(F.col("l_quantity") <= 40, F.col("l_suppkey")).alias("l_suppkey"),
+        F.when(F.col("l_returnflag") == "R", -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("l_orderkey"))
     resolved = resolve_keys(lines, {
-        "l_partkey": (table(spark, folder, "part").filter("p_size > 5"), "p_partkey"),
-        "l_suppkey": (table(spark, folder, "supplier").filter("s_suppkey % 11 <> 0"), "s_suppkey"),
-        "l_orderkey": (table(spark, folder, "orders").filter("o_orderstatus <> 'P'"), "o_orderkey")})
+        "l_partkey": (table(spark, folder, "part"), "p_partkey"),
+        "l_suppkey": (table(spark, folder, "supplier"), "s_suppkey"),
+        "l_orderkey": (table(spark, folder, "orders"), "o_orderkey")})
     return resolved.agg(F.count("*").alias("total"), F.count_if("l_partkey_connu").alias("part_connu"),
                         F.count_if("l_suppkey_connu").alias("site_connu"),
                         F.count_if("l_orderkey_connu").alias("commande_connue"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from klinark.operators.layout import (
-    bucket_skew, partition_counts, write_partitions, write_table,
+    partition_counts, value_skew, write_partitions, write_table,
 )
 from klinark.operators.rows import shift_years
 from klinark.plans.facts import clean_deaths, number_deaths
@@ -168,14 +168,19 @@ def partition_row_counts(spark, folder):
     return partition_counts(table(spark, folder, "orders").select(F.year("o_orderdate").alias("annee")), "annee")
 
 
-@query("bucket_skew")
+@query("bucket_skew", oracle("v_death_ok", """
+SELECT 'geo_id' AS cles, count(*) AS n_valeurs, max(n) AS n_max, min(n) AS n_min,
+       round(CAST(max(n) AS DOUBLE) / min(n), 2) AS rapport FROM (SELECT count(*) AS n FROM v_death_ok GROUP BY geo_id)
+UNION ALL SELECT 'geo_id+sexe+tranche_age', count(*), max(n), min(n), round(CAST(max(n) AS DOUBLE) / min(n), 2)
+FROM (SELECT count(*) AS n FROM v_death_ok GROUP BY geo_id, sx, tranche_age)"""))
 def bucket_skew_report(spark, folder):
     fact = clean_deaths(deaths(spark, folder), departments(spark, folder), FIRST_YEAR)
-    return bucket_skew(fact, ["geo_id"]).unionAll(bucket_skew(fact, ["geo_id", "sexe", "tranche_age"]))
+    return value_skew(fact, ["geo_id"]).unionAll(value_skew(fact, ["geo_id", "sexe", "tranche_age"]))
 
 
 @query("shift_replicate", oracle("v_death_ok", """
-SELECT deces_key + CAST(k AS BIGINT) * 1000000000 AS deces_key, CAST(date_id - k * 10000 AS INTEGER) AS date_id,
+SELECT deces_key + CAST(k AS BIGINT) * 1000000000000 AS deces_key,
+       CAST(date_id - k * 10000 - CASE WHEN date_id % 10000 = 229 AND (annee - k) % 4 <> 0 THEN 1 ELSE 0 END AS INTEGER) AS date_id,
        CAST(annee - k AS INTEGER) AS annee, geo_id
 FROM (SELECT *, row_number() OVER (ORDER BY date_deces, lieu, acte) AS deces_key FROM v_death_ok),
      (SELECT unnest([0, 1, 2, 3, 4]) AS k)"""))

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from klinark.operators import checks
-from klinark.operators.layout import ensure_zones, write_fact, write_partitions, write_table
+from klinark.operators.layout import ensure_zones, replace_batch, write_fact, write_table
 from klinark.operators.privacy import build_mapping
 from klinark.operators.rows import REASON, classify
 from klinark.plans import dimensions, facts
-from klinark.schemas import BUCKET_KEYS, DIMENSION_KEYS, FORBIDDEN, SURROGATES
+from klinark.schemas import BUCKET_KEYS, BUCKETS, DIMENSION_KEYS, FORBIDDEN, SURROGATES
 from klinark.session import stage
 
 
@@ -36,8 +36,8 @@ class Settings:
     """Parameters of a load. Secrets come from the caller and are never stored."""
 
     root: str
-    master: str
-    seed: str
+    master: str = field(repr=False)
+    seed: str = field(repr=False)
     first_year: int
     last_year: int
     first_death_year: int
@@ -63,24 +63,45 @@ def load_fact(spark: SparkSession, name: str, classified: DataFrame,
     staged = stage(classified.withColumn("statut", outcome), name, ("statut",))
     rejects = (staged.filter("statut = 'rejete'")
                .select(F.to_json(F.struct(*[c for c in classified.columns if c != REASON])).alias("ligne_source"),
-                       REASON, F.current_timestamp().alias("ts_rejet"),
-                       F.lit(name).alias("source"), F.lit(settings.batch).alias("lot")))
-    write_partitions(rejects, f"{settings.root}/{settings.staging}/rejets", ["source", "lot"])
+                       REASON, F.current_timestamp().alias("ts_rejet")))
+    replace_batch(rejects, f"{settings.root}/{settings.staging}/rejets", {"source": name, "lot": settings.batch})
 
     valid = staged.filter("statut = 'valide'").drop("statut", REASON)
-    fact = checks.assert_no_columns(build(valid), FORBIDDEN)
-    rows = valid.count()
-    write_fact(fact, f"{settings.gold}.{name}", rows, BUCKET_KEYS.get(name, ()))
+    fact = stage(checks.assert_no_columns(build(valid), FORBIDDEN), f"{name}-pret")
 
     counts = (checks.reconcile(staged, keys) if keys else
               staged.agg(F.count("*").alias("bronze"), F.count_if(F.col(REASON).isNull()).alias("charge"),
                          F.lit(0).cast("long").alias("doublons"),
                          F.count_if(F.col(REASON).isNotNull()).alias("rejets"))
               .withColumn("ecart", F.col("bronze") - F.col("charge") - F.col("rejets")))
-    written = spark.table(f"{settings.gold}.{name}").agg(F.count("*")).scalar()
-    return counts.select(F.lit(name).alias("fait"), "bronze", "charge", "doublons", "rejets",
+    written = fact.agg(F.count("*")).scalar()
+    summary = stage(counts.select(F.lit(name).alias("fait"), "bronze", "charge", "doublons", "rejets",
                          written.alias("gold"),
-                         (F.abs("ecart") + F.abs(written - F.col("charge"))).alias("ecart"))
+                         (F.abs("ecart") + F.abs(written - F.col("charge"))).alias("ecart")), f"{name}-bilan")
+    line = summary.select((100.0 * F.col("ecart") / F.greatest(F.col("bronze"), F.lit(1))).alias("ecart_pct"),
+                          (100.0 * F.col("gold") / F.greatest(F.col("bronze"), F.lit(1))).alias("part_chargee_pct"))
+    audit = f"{settings.root}/{settings.staging}/audit"
+    try:
+        checks.enforce(checks.gates(line, settings.thresholds))
+    except Exception:
+        checks.audit_row(fact, "build_gold", name, "FAILED").write.mode("append").parquet(audit)
+        raise
+    publish(spark, fact, name, settings)
+    checks.audit_row(fact, "build_gold", name, "SUCCESS").write.mode("append").parquet(audit)
+    return summary
+
+
+def publish(spark: SparkSession, fact: DataFrame, name: str, settings: Settings) -> None:
+    """Replace the years of a checked fact in the gold zone; the other years keep their rows and keys.
+
+    Keys of the load are moved beyond the keys that stay, so they are unique in the table.
+    """
+    table, key = f"{settings.gold}.{name}", SURROGATES[name]
+    if spark.catalog.tableExists(table):
+        years = fact.select("annee").distinct()
+        kept = spark.table(table).join(years, "annee", "left_anti").agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+        fact = fact.withColumn(key, F.col(key) + F.lit(kept))
+    write_fact(fact, table, BUCKET_KEYS.get(name, ()), BUCKETS)
 
 
 def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> DataFrame:
@@ -130,15 +151,7 @@ def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> Dat
      .write.mode("overwrite").parquet(secure))
     save(dimensions.patient(sources.patients, spark.read.parquet(secure)), "dim_patient")
 
-    summary = stage(checks.stack(results), "reconciliation")
-    for name in SURROGATES:
-        line = summary.filter(F.col("fait") == name).select(
-            (100.0 * F.col("ecart") / F.greatest(F.col("bronze"), F.lit(1))).alias("ecart_pct"),
-            (100.0 * F.col("gold") / F.greatest(F.col("bronze"), F.lit(1))).alias("part_chargee_pct"))
-        checks.enforce(checks.gates(line, settings.thresholds))
-        audit = checks.audit_row(gold[name], "build_gold", name, "SUCCESS")
-        audit.write.mode("append").parquet(f"{settings.root}/{settings.staging}/audit")
-    return summary
+    return stage(checks.stack(results), "reconciliation")
 
 
 def integrity(spark: SparkSession, settings: Settings) -> DataFrame:

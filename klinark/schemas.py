@@ -75,12 +75,13 @@ SURROGATES = {
     "fait_consultation": "consultation_key", "fait_hospitalisation": "hosp_key",
     "fait_satisfaction": "satisfaction_key", "fait_deces": "deces_key",
 }
-# Bucket columns. Deaths add the sex and band to the region, which alone is skewed.
+# Buckets of a fact, whatever the size of one load. Deaths add the sex and band to the region, which alone is skewed.
 BUCKET_KEYS = {
     "fait_consultation": ("prof_id",),
     "fait_hospitalisation": ("etab_id",),
     "fait_deces": ("geo_id", "sexe", "tranche_age"),
 }
+BUCKETS = 8
 
 # Columns that must never reach a published table.
 FORBIDDEN = (

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,23 +40,10 @@ def open_writers(spark: SparkSession, count: int = 32):
         spark.conf.set(name, before)
 
 
-@lru_cache(maxsize=None)
-def _local_scratch(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="klinark-")
-
-
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: `spark.checkpoint.dir` of the session.
-
-    Only a local session may fall back on a temporary folder of the machine, since
-    executors of a cluster could not all read it.
-    """
+    """Shared folder for staged tables: `spark.checkpoint.dir` of the session, else one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can read")
-    return _local_scratch(spark.sparkContext.applicationId)
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

@@ -19,7 +19,9 @@ def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame |
     """Rows loaded by other batches, None before the first load."""
     try:
         return spark.read.parquet(path).filter(F.col(BATCH) != batch_id)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -22,12 +22,6 @@ def test_query_equals_its_sql(spark, folder, connection, name):
     assert compare(frame, connection, ORACLES[name]) is None
 
 
-def test_bucket_skew_counts_every_row_once(spark, folder):
-    report = {r.cles: r for r in QUERIES["bucket_skew"](spark, folder).collect()}
-    assert set(report) == {"geo_id", "geo_id+sexe+tranche_age"}
-    assert report["geo_id+sexe+tranche_age"].rapport < report["geo_id"].rapport
-
-
 def test_entry(spark):
     import __spark_entry__
     assert __spark_entry__.entry(spark).count() == 5

@@ -33,12 +33,9 @@ def test_raw_year_filter_reaches_the_scan_and_columns_are_pruned(spark, folder):
 
 def test_deaths_are_not_shuffled_by_the_region_lookup(spark, folder):
     from klinark.plans.registry.quality import death_fact
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        shown = plan(death_fact(spark, folder).select("geo_id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert re.search(r"BroadcastHashJoin \[_dept", shown)
+    located = death_fact(spark, folder).select("geo_id")
+    located.collect()
+    assert re.search(r"BroadcastHashJoin \[_dept", plan(located))
 
 
 def test_duplicates_are_reduced_before_the_shuffle(spark, folder):

@@ -57,7 +57,8 @@ def test_erasure(spark, rows):
 def test_text_scan(spark):
     df = spark.createDataFrame([
         (1, "écrire à jean.dupont@hopital.fr ou a@b.org, tél 01 23 45 67 89"), (2, "+1 (743) 555-3824"),
-        (3, "rien, 12 kg, 192.168.10.12"), (4, None)], "id int, t string")
+        (3, "rien, 12 kg, 192.168.10.12"), (4, None),
+        (5, "0123456789, 01.23.45.67.89"), (6, "du 2019-01-02 au 03/04/2020")], "id int, t string")
     found = {r.id: (r.n_emails, r.n_telephones) for r in scan_text(df, "id", "t").collect()}
-    assert found == {1: (2, 1), 2: (0, 1), 3: (0, 0), 4: (None, None)}
+    assert found == {1: (2, 1), 2: (0, 1), 3: (0, 0), 4: (None, None), 5: (0, 2), 6: (0, 0)}
     assert [r[0] for r in df.select(has_mojibake(F.lit("Auvergne-RhÃ´ne"))).limit(1).collect()] == [True]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from klinark.operators import checks
-from klinark.operators.joins import event_within, is_small, lookup, readmission, resolve_keys
+from klinark.operators.joins import event_within, lookup, readmission, resolve_keys
 from klinark.operators.rankings import lump_other, share_of_total, top_n_per_group, year_on_year
 from klinark.operators.rows import classify, keep_first, surrogate_key
 
@@ -104,18 +104,29 @@ def test_every_row_is_accounted_for(spark):
     assert line.bronze == line.charge + line.doublons + line.rejets
 
 
-def test_lookup_beyond_the_broadcast_bound_gives_the_same_rows(spark, rows):
+def test_lookup_gives_the_same_rows_by_broadcast_and_by_shuffle(spark, rows):
     fact = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     dim = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = rows(lookup(fact, dim, "k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small, large = lookup(fact, dim, "k"), lookup(fact, dim, "k", max_rows=10)
-        plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (small, large)]
+        assert rows(lookup(fact, dim, "k")) == small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
-    assert rows(small) == rows(large)
-    assert is_small(dim, 1000) and not is_small(dim, 999)
+
+
+def test_events_of_a_null_key_never_follow(spark):
+    day = START
+    stay = spark.createDataFrame([(None, day), (1, day), (1, None)], "patient int, jour date")
+    events = spark.createDataFrame([(None, day), (1, day)], "patient int, fin date")
+    found = event_within(stay, events, "patient", "jour", "fin", 30, "suivi").collect()
+    assert sorted((r.patient is None, r.jour is None, r.suivi) for r in found) == [
+        (False, False, True), (False, True, False), (True, False, False)]
+
+
+def test_a_frequent_null_takes_no_place_in_a_top_list(spark):
+    df = spark.createDataFrame([(None,)] * 9 + [("a",)] * 5 + [("b",)], "k string")
+    assert {r.k: r["count"] for r in lump_other(df, "k", 1).groupBy("k").count().collect()} == {"a": 5, "Autres": 10}
 
 
 def test_foreign_keys_of_missing_and_unknown_values(spark, rows):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from klinark.operators.checks import GateFailed
 from klinark.operators.layout import (
-    analyse, bucket_count, inventory, scanned_bytes, stale_partitions, write_fact, write_partitions,
+    analyse, inventory, scanned_bytes, stale_partitions, write_fact, write_partitions,
 )
 from klinark.operators.profiling import run_summary
 from klinark.plans import cubes, kpi
@@ -132,15 +132,16 @@ def test_overwriting_a_year_keeps_the_others_and_reports_stale_ones(spark, folde
     assert 0 < one < scanned_bytes(after).first().octets
 
 
-def test_large_facts_are_bucketed_and_small_ones_are_not(spark, load):
-    fact = gold(spark, load, "fait_deces").drop("deces_key")
-    write_fact(fact, "deces_grand", 2_000_000, BUCKET_KEYS["fait_deces"])
-    write_fact(fact, "deces_petit", 2_000, BUCKET_KEYS["fait_deces"])
-    shown = {t: {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {t}").collect()}
-             for t in ("deces_grand", "deces_petit")}
-    assert shown["deces_grand"]["Num Buckets"] == "8" and "Num Buckets" not in shown["deces_petit"]
-    assert spark.table("deces_grand").count() == fact.count()
-    assert bucket_count(10) == 8 and bucket_count(100_000_000) == 32
+def test_facts_have_their_declared_buckets_and_keep_other_years(spark, load):
+    fact = gold(spark, load, "fait_deces")
+    write_fact(fact, "deces_petit", BUCKET_KEYS["fait_deces"], 8)
+    shown = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED deces_petit").collect()}
+    assert shown["Num Buckets"] == "8"
+    write_fact(fact.filter("annee = 1999").limit(5), "deces_petit", BUCKET_KEYS["fait_deces"], 8)
+    after = spark.table("deces_petit")
+    assert after.filter("annee = 1999").count() == 5
+    assert after.filter("annee <> 1999").count() == fact.filter("annee <> 1999").count()
+    fact = after
     analyse(spark, "deces_petit")
     stats = [r.data_type for r in spark.sql("DESCRIBE EXTENDED deces_petit").collect() if r.col_name == "Statistics"]
     assert f"{fact.count()} rows" in stats[0]
