@@ -37,12 +37,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose five-word shingles are linked at 0.8: that of the smallest id.
 
-    Documents without words are in no group and stay, as do rows without an id. Of rows that
-    repeat an id with the same text, one stays.
+    Documents without words are in no group and stay, as do rows without an id. Rows that repeat an
+    id count as one document: all go if one of them belongs to the group of a smaller id, else one
+    stays for each of their texts.
     """
     groups = ngram_components(docs, size=5, percent=80)
     flags = (groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_flag_id"))
-             .agg(F.bool_or("doc_id <> component_id").alias("_gone"), (F.count("*") > 1).alias("_repeated"))
+             .agg(F.bool_or(F.expr("doc_id <> component_id")).alias("_gone"), (F.count("*") > 1).alias("_repeated"))
              .filter("_gone or _repeated"))
     flagged = docs.join(flags, docs["doc_id"] == flags["_flag_id"], "left")
     single = flagged.filter("_flag_id is null").select(*docs.columns)
