@@ -14,6 +14,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from klinark.llm.shared import slices
+
 REMEMBERED = 150_000  # pre-tokens whose ids a worker keeps
 
 # Fixed values of the sentencepiece model format: field numbers, piece types, model type.
@@ -180,9 +182,19 @@ def round_trip(docs: DataFrame, tokens: list[bytes], pattern: str, doc_id: str =
     columns are ignored.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    encoded = encode(rows, tokens, pattern).drop("text")
-    decoded = decode(encoded, tokens)
-    return decoded.select(
+    shared = _shared(docs, tokens, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(*shared.value)
+        for batch in slices(batches, 500):
+            ids = codec.encode(batch["text"].to_pylist())
+            decoded = [codec.decode(own) for own in ids]
+            yield pa.record_batch([batch["doc_id"], _lists(ids), pa.array(decoded, pa.binary())],
+                                  names=["doc_id", "ids", "decoded"])
+
+    # one Python worker per task does both ways
+    both = rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
