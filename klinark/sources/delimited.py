@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from klinark.functions.fixed_values import REGION_DEPARTMENTS, REGIONS
+from klinark.functions.fixed_values import DEPARTMENTS, FORMER_DEPARTMENTS
 from klinark.schemas import CORRUPT, RAW_DEPARTMENTS
 
 
@@ -99,10 +99,7 @@ def read_departments(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Department -> region reference, from a file or from the built-in official list."""
     if path:
         return read_delimited(spark, path, RAW_DEPARTMENTS, skip_malformed=True)
-    rows = [(department, region, REGIONS[region])
-            for region, departments in REGION_DEPARTMENTS.items()
-            for department in departments.split()]
-    return spark.createDataFrame(rows, RAW_DEPARTMENTS)
+    return spark.createDataFrame(DEPARTMENTS + FORMER_DEPARTMENTS, RAW_DEPARTMENTS)
 
 
 def write_text_export(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8") -> None:
