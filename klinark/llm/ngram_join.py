@@ -6,9 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from klinark.llm.shared import components, shingle_sets, slices, small_batches, whole_groups
@@ -334,28 +333,20 @@ def _solve(percent: int):
     return run, "a binary, b binary"
 
 
-def _bit_filter(keys: DataFrame) -> np.ndarray:
-    """Bits of the row keys wanted, of fixed size; a key whose bit is unset is surely not wanted."""
-    bit = F.pmod(F.xxhash64("row_key"), F.lit(1 << FILTER_BITS))
-    rows = (keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits"))
-            .toPandas())
-    words = np.zeros(1 << (FILTER_BITS - 5), np.int64)
-    words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return words
+def _bit(row_key: str) -> Column:
+    return F.pmod(F.xxhash64(row_key), F.lit(1 << FILTER_BITS))
 
 
-def _wanted(words):
-    schema = pa.schema([("row_key", pa.int64()), ("text", pa.string())])
+def _may_be_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be among the wanted ones; a key whose bit is unset surely is not.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = words.value
-        for batch in batches:
-            bit = batch["bit"].to_numpy(zero_copy_only=False)
-            mask = pa.array((table[bit >> 5] >> (bit & 31)) & 1 == 1)
-            yield pa.record_batch([pc.filter(batch["row_key"], mask), pc.filter(batch["text"], mask).cast(pa.string())],
-                                  schema=schema)
-    return run, "row_key long, text string"
+    The table of bits has at most 2^(FILTER_BITS - 6) rows, whatever the input, so it is broadcast.
+    """
+    table = (wanted.select(_bit("row_key").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")))
+    return (rows.withColumn("bit", _bit("row_key")).withColumn("word", F.shiftright("bit", 6))
+            .join(F.broadcast(table), "word").filter("shiftright(bits, cast(bit & 63 as int)) & 1 = 1")
+            .select(*rows.columns))
 
 
 def _sets(size: int, heavy):
@@ -398,10 +389,7 @@ def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
         places = stage(members.groupBy("cls").agg(F.min("root").alias("root"),
                                                   F.collect_list(F.struct("grp", "block")).alias("places"))
                        .join(classes.select("cls", "row_key"), "cls"), f"{label}-places")
-        words = spark.sparkContext.broadcast(_bit_filter(places))
-        run, kind = _wanted(words)
-        bit = F.pmod(F.xxhash64("row_key"), F.lit(1 << FILTER_BITS))
-        texts = rows.select("row_key", "text", bit.alias("bit")).mapInArrow(run, kind)
+        texts = _may_be_wanted(rows.select("row_key", "text"), places)
         run, kind = _sets(size, heavy)
         whole = (texts.join(places, "row_key").select("text", "cls", "root", "places").mapInArrow(run, kind))
         run, kind = _solve(percent)
