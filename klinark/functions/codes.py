@@ -30,8 +30,8 @@ def is_blank(text: Column) -> Column:
 
 
 def known_or(text: Column, default: str = UNKNOWN_CODE) -> Column:
-    """The value, or a default when it is missing or blank."""
-    return F.when(is_blank(text), default).otherwise(text)
+    """The value without outer blanks, or a default when it is missing or blank."""
+    return F.when(is_blank(text), default).otherwise(F.trim(text))
 
 
 def chapter_letter(code: Column) -> Column:

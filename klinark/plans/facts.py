@@ -16,7 +16,7 @@ from klinark.functions.codes import (
     department_code, fold_label, is_blank, known_or, sex_code, standard_region,
 )
 from klinark.functions.fixed_values import UNKNOWN_GEO
-from klinark.functions.privacy import pseudonym
+from klinark.functions.privacy import canonical_id, pseudonym
 from klinark.functions.values import (
     clock_seconds, date_id, decimal_comma, duration_minutes, mark_out_of_ten, parse_dmy,
     parse_iso,
@@ -69,13 +69,19 @@ def number_consultations(clean: DataFrame, keys=CONSULTATION_KEY) -> DataFrame:
 
 
 # Hospital stays ------------------------------------------------------------------------
-STAY_KEY = ["id_patient", "num_hospitalisation", "date_entree"]
+STAY_KEY = ["id_patient", "num_hospitalisation", "date_entree_typee"]
 STAY_ORDER = ["date_entree_typee", "etab_id", "num_hospitalisation", "patient_id", "date_entree"]
 
 
 def type_stays(raw: DataFrame) -> DataFrame:
-    return (raw.withColumn("date_entree_typee", parse_dmy(F.col("date_entree")))
-            .withColumn("jours", F.col("jour_hospitalisation").try_cast("int")))
+    """Typed day and length, and one spelling per patient, stay, site and diagnosis, before any comparison."""
+    return raw.withColumns({
+        "date_entree_typee": parse_dmy(F.col("date_entree")),
+        "jours": F.col("jour_hospitalisation").try_cast("int"),
+        "id_patient": canonical_id(F.col("id_patient")),
+        "num_hospitalisation": F.trim("num_hospitalisation"),
+        "identifiant_organisation": F.trim("identifiant_organisation"),
+        "code_diagnostic": F.trim("code_diagnostic")})
 
 
 def stay_rules(first_year: int, last_year: int):
@@ -96,7 +102,7 @@ def clean_stays(typed: DataFrame, master: str, seed: str, first_year: int, last_
 
 def shape_stays(valid: DataFrame, master: str, seed: str,
                 order=("identifiant_organisation", "code_diagnostic", "jours")) -> DataFrame:
-    """One row per (patient, stay number, admission text)."""
+    """One row per (patient, stay number, day of admission), whatever their spelling."""
     return keep_first(valid, STAY_KEY, list(order)).select(
         "date_entree_typee", "num_hospitalisation", "date_entree",
         date_id(F.col("date_entree_typee")).alias("date_id"),

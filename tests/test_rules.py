@@ -135,6 +135,11 @@ def test_stay_rules(spark):
     assert [(r.hosp_key, r.diag_id, r.duree_sejour) for r in fact] == [(1, "J45", 3), (2, "UNKNOWN", None)]
     extra = duplicates(typed, facts.STAY_KEY).collect()
     assert [(r.num_hospitalisation, r.n_doublons) for r in extra] == [("1", 1)]
+    spelled = facts.type_stays(spark.createDataFrame([
+        (n, p, e, d, "x", "05/03/1999", "3") for n, p, e, d in
+        [("1", "7", "e1", "J45"), (" 1", "007", "e1 ", " J45"), ("1 ", " 7 ", " e1", "J45 ")]], RAW_STAYS))
+    one = facts.clean_stays(spelled, "m", "s", 1996, 2000).collect()
+    assert [(r.etab_id, r.diag_id) for r in one] == [("e1", "J45")]
 
 
 def test_survey_rules(spark):
