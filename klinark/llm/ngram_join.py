@@ -20,6 +20,7 @@ GROUP_GRAMS = 4_000_000     # n-grams of the sets that meet in one tree
 FILTER_BITS = 25            # log2 of the bits that spare moving texts without a partner
 VISITS = 2                   # rounds in which a class visits only its fullest meeting
 BATCH_ROWS = 1000            # rows of an Arrow batch
+SKETCH_WORDS = 1 << 20       # 64-bit words of sketches compared at once
 FIRST_NODE = 16             # n-grams in a node at the root; doubled on each level
 
 
@@ -33,11 +34,24 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-# --- pass 1: size and identity of each set, frequent n-grams -----------------------------
+# --- pass 1: size, identity and sketch of each set, frequent n-grams ------------------------
+
+def sketch(grams: np.ndarray) -> bytes:
+    """Parities of the n-grams by bucket of their hash, one to two buckets per n-gram.
+
+    Two sets that differ in d n-grams have sketches that differ in at most d bits, whatever
+    they have in common. The halves of a sketch, combined by exclusive or, are the sketch of half the length.
+    """
+    bits = 64
+    while bits < len(grams):
+        bits *= 2
+    counts = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
 
 def _describe(size: int):
     fields = [("doc_id", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()),
-              ("gram", pa.int64()), ("hits", pa.int64())]
+              ("sketch", pa.binary()), ("gram", pa.int64()), ("hits", pa.int64())]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +64,7 @@ def _describe(size: int):
             grams, hits = grams[hits > 1], hits[hits > 1]
             k = len(grams)
             return pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-                                    pa.nulls(k, pa.binary()), pa.array(grams.view(np.int64)),
+                                    pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(grams.view(np.int64)),
                                     pa.array(hits.astype(np.int64))], schema=schema)
 
         for batch in slices(batches):
@@ -58,8 +72,9 @@ def _describe(size: int):
             names = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             k = len(sets)
             yield pa.record_batch([batch["doc_id"], batch["row_key"], pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array(names, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
-                                  schema=schema)
+                                   pa.array(names, pa.binary()),
+                                   pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+                                   pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
             for s, name in zip(sets, names):
                 if name is not None and name not in seen:
                     seen.add(name)
@@ -70,7 +85,7 @@ def _describe(size: int):
                         pending, held, seen = [], 0, set()
         if pending:
             yield repeated()
-    return run, "doc_id long, row_key long, n long, cls binary, gram long, hits long"
+    return run, "doc_id long, row_key long, n long, cls binary, sketch binary, gram long, hits long"
 
 
 def _heavy(grams: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,7 +194,7 @@ def _may_link(n: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _groups(percent: int):
-    schema = pa.schema([("grp", pa.binary()), ("cls", pa.binary()), ("n", pa.int64()), ("members", pa.int64())])
+    schema = pa.schema([("grp", pa.binary()), ("cls", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab, bounds in whole_groups(batches, ["gram", "block"]):
@@ -199,13 +214,71 @@ def _groups(percent: int):
                 kept = np.flatnonzero(_may_link(n, at, percent)).tolist()
                 if kept:
                     name = xxhash.xxh3_128_digest(b"".join(own[k] for k in kept))
-                    out += [(name, own[k], int(n[k]), len(kept)) for k in kept]
+                    out += [(name, own[k], int(n[k])) for k in kept]
             if out:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-    return run, "grp binary, cls binary, n long, members long"
+    return run, "grp binary, cls binary, n long"
+
 
+# --- pass 3: sketches rule out most members ------------------------------------------------
 
-# --- pass 3: the sets meet in prefix trees -------------------------------------------------
+def alike(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """Label of each set: sets joined by pairs whose sketches still allow a link have the same one.
+
+    A link allows few different n-grams, and sketches differ in no more bits than sets do in n-grams,
+    so two linked sets always have the same label.
+    """
+    label = np.arange(len(n))
+    lengths = np.array([len(x) for x in sketches])
+    for length in np.unique(lengths).tolist():
+        own = np.flatnonzero(lengths == length)
+        double = np.flatnonzero(lengths == 2 * length)
+        bits = np.frombuffer(b"".join(sketches[k] for k in own.tolist()), np.uint64).reshape(len(own), -1)
+        other, other_bits = own, bits
+        if len(double):
+            halves = np.frombuffer(b"".join(sketches[k] for k in double.tolist()), np.uint64)
+            halves = halves.reshape(len(double), 2, -1)
+            other, other_bits = np.concatenate((own, double)), np.concatenate((bits, halves[:, 0] ^ halves[:, 1]))
+        step = max(1, SKETCH_WORDS // other_bits.size)
+        for start in range(0, len(own), step):
+            rows = own[start:start + step]
+            differ = np.bitwise_count(bits[start:start + step, None, :] ^ other_bits[None, :, :]).sum(axis=2, dtype=np.int64)
+            a, b = n[rows, None], n[None, other]
+            fits = differ <= a + b - 2 * needed_overlap(a, b, percent)
+            fits &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+            for k, row in enumerate(rows.tolist()):
+                joined = np.unique(label[other[fits[k]]])  # holds the label of the row itself
+                if len(joined) > 1:
+                    label[np.isin(label, joined)] = joined[0]
+    return label
+
+
+def _candidates(percent: int):
+    schema = pa.schema([("grp", pa.binary()), ("cls", pa.binary()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tab, bounds in whole_groups(batches, ["grp", "block"]):
+            names, sizes = tab["cls"].combine_chunks(), tab["n"].to_numpy()
+            bits = tab["sketch"].combine_chunks()
+            out: list[tuple] = []
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                own = names[start:end].to_pylist()
+                first = [k for k in range(len(own)) if k == 0 or own[k] != own[k - 1]]  # rows are sorted by class
+                own, n = [own[k] for k in first], sizes[start:end][first]
+                label = alike(n, bits[start:end].take(pa.array(first)).to_pylist(), percent)
+                groups: dict[int, list[int]] = {}
+                for k, to in enumerate(label.tolist()):
+                    groups.setdefault(to, []).append(k)
+                for group in groups.values():
+                    if len(group) > 1:
+                        name = xxhash.xxh3_128_digest(b"".join(own[k] for k in group))
+                        out += [(name, own[k], int(n[k])) for k in group]
+            if out:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+    return run, "grp binary, cls binary, n long"
+
+
+# --- pass 4: the sets meet in prefix trees -------------------------------------------------
 
 class PrefixTree:
     """Sets of ordered keys in a compressed trie: children share the path of their parent.
@@ -407,7 +480,14 @@ def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                 .withColumn("other", other)
                 .withColumn("block", F.least("own", "other") * F.coalesce("parts", F.lit(1)) + F.greatest("own", "other")))
 
-    pending, merged = meetings.select("grp", "cls", "n", F.col("cls").alias("root")), None
+    sketches = described.filter("not is_gram").select("row_key", "cls", "sketch")
+    run, kind = _candidates(percent)
+    candidates = stage(blocks(meetings).select("grp", "block", "cls", "n").join(classes.select("cls", "row_key"), "cls")
+                       .join(sketches, ["row_key", "cls"]).select("grp", "block", "cls", "n", "sketch")
+                       .repartition("grp", "block").sortWithinPartitions("grp", "block", "cls")
+                       .mapInArrow(run, kind).distinct(), "ngram-candidates")
+
+    pending, merged = candidates.select("grp", "cls", "n", F.col("cls").alias("root")), None
     for turn in range(VISITS):  # each class visits its fullest meeting
         full = pending.join(pending.groupBy("grp").agg(F.count("*").alias("members")), "grp")
         choice = full.groupBy("cls").agg(F.max_by(F.struct("grp", "n", "root"), F.struct("members", "grp")).alias("m"))
@@ -438,7 +518,9 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
     group of copies of any size is one member from then on. N-grams have one global order, rare
     ones first. Two linked sets share one of their leading n-grams; classes meet by these, keep
     the meetings that length and position allow, and meetings with the same members count once.
-    There the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
+    A short sketch of each set (`sketch`) then splits a meeting into the groups whose members may
+    link; it bounds the overlap from above, so it loses no link, and it is 32 to 64 times smaller
+    than the set. In these groups the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
     meeting only, a few times; a meeting is settled once its members have one component or have
     all made the same visit. Then the members of the others meet, all of them. Frequent n-grams and large meetings are cut into blocks
     of which every two meet, so no task holds an unbounded group and no link is lost.
