@@ -14,7 +14,7 @@ import tiktoken
 from klinark.llm import exact_topk, graph_ann, quality, toxicity
 from klinark.llm.byte_bpe import Codec, decode, encode, read_ranks, round_trip
 from klinark.llm.mixing import Target, find_exponent, mix
-from klinark.llm.ngram_join import PrefixTree, link_components, ngram_components
+from klinark.llm.ngram_join import PrefixTree, alike, link_components, ngram_components, sketch
 from klinark.llm.queries import ORACLES, QUERIES
 from klinark.llm.sharding import jump_shard, shard_documents
 from klinark.llm.token_scan import read_token_files, scan_documents, write_tokens
@@ -88,6 +88,27 @@ def test_components_of_an_empty_table(spark, none):
     assert ngram_components(none).count() == 0
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_keep_every_link_and_part_unlike_sets(percent):
+    rng = np.random.default_rng(percent)
+    sets, families = [], 40
+    for family in range(families):  # sizes on both sides of the powers of two at which sketches double
+        base = rng.integers(0, 1 << 63, int(rng.choice([1, 20, 64, 66, 127, 130, 510, 515, 1030])), dtype=np.uint64)
+        for _ in range(4):
+            kept = base[rng.random(len(base)) > rng.choice([0, 0.02, 0.05, 0.12])]
+            more = rng.integers(0, 1 << 63, int(rng.integers(0, 1 + len(base) // 12)), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate((kept, more))) if len(kept) else np.unique(base))
+    label = alike(np.array([len(s) for s in sets]), [sketch(s) for s in sets], percent)
+    links = 0
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        common = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+            links += 1
+            assert label[a] == label[b]
+    assert links > 20
+    assert len(set(label.tolist())) >= families // 2
+
+
 def test_tree_finds_every_linked_set():
     draw = np.random.default_rng(3)
     base = [np.unique(draw.integers(0, 2 ** 40, 120).astype(np.uint64)) for _ in range(5)]
