@@ -54,15 +54,18 @@ def consultations_cube(visits: DataFrame, specialties: DataFrame, patients: Data
     """Consultations per year, specialty (most frequent ones), sex and chapter.
 
     `visits` has annee, id_prof, id_patient and code_diag; `specialties` maps id_prof
-    to specialite. The chapter is derived before grouping, so that letters sharing a
+    to specialite. Visits without a specialty count under INCONNU, those of unknown patients
+    under unknown sex. The chapter is derived before grouping, so that letters sharing a
     chapter form one row.
     """
-    labelled = lookup(visits, specialties, "id_prof", "inner").withColumn(
-        "chapitre", icd_chapter(F.col("code_diag"), ICD_CHAPTERS_SHORT))
+    labelled = lookup(visits, specialties, "id_prof", "left").withColumns({
+        "specialite": F.coalesce("specialite", F.lit(UNKNOWN_GEO)),
+        "chapitre": icd_chapter(F.col("code_diag"), ICD_CHAPTERS_SHORT)})
     by_specialty = (labelled.groupBy("annee", "specialite", "id_patient", "chapitre")
                     .agg(F.count("*").alias("n")))
     sexes = patients.select("id_patient", sex_code(F.col("sexe")).alias("sexe"))
-    named = (by_specialty.join(sexes, "id_patient").groupBy("annee", "specialite", "sexe", "chapitre")
+    named = (by_specialty.join(sexes, "id_patient", "left")
+             .withColumn("sexe", F.coalesce("sexe", F.lit(UNKNOWN_SEX))).groupBy("annee", "specialite", "sexe", "chapitre")
              .agg(F.sum("n").alias("n")))
     return (lump_other(named, "specialite", kept, weight="n")
             .groupBy("annee", "specialite", "sexe", "chapitre").agg(F.sum("n").cast("long").alias("n")))

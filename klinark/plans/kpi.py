@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klinark.functions.bands import band_rank
+from klinark.functions.fixed_values import UNKNOWN_GEO
 from klinark.functions.values import percent
 from klinark.operators.rankings import top_n, top_n_per_group
 
@@ -68,20 +69,32 @@ def seasonality(events: DataFrame, day: str) -> DataFrame:
 def top_labels_per_year(events: DataFrame, key: str, labels: DataFrame, label: str, n: int) -> DataFrame:
     """B2, B6: most frequent labels of each year.
 
-    Events are counted per year and key, then named through `labels` (key -> label).
+    Events are counted per year and key, then named through `labels` (key -> label). Events
+    whose key has no label count under INCONNU.
     """
     per_key = events.groupBy("annee", key).agg(F.count("*").alias("n"))
-    per_label = (per_key.join(labels, key).groupBy("annee", label)
+    per_label = (per_key.join(labels, key, "left").withColumn(label, F.coalesce(label, F.lit(UNKNOWN_GEO)))
+                 .groupBy("annee", label)
                  .agg(F.sum("n").cast("long").alias("n")))
     return top_n_per_group(per_label, "annee", "n", label, n)
 
 
 def stays_by_establishment(stays: DataFrame, establishments: DataFrame, year: int, n: int = 10) -> DataFrame:
-    """Stays and mean length per known site of one year, top n."""
+    """Stays and mean length per site of one year, top n; sites that are not known count as INCONNU."""
     per_site = one_year(stays, year).groupBy("etab_id").agg(
-        F.sum("nb_hospitalisation").cast("long").alias("nb"), F.avg("duree_sejour").alias("dms"))
-    known = per_site.join(establishments.select("etab_id"), "etab_id", "left_semi")
-    return top_n(known, "nb", "etab_id", n)
+        F.sum("nb_hospitalisation").alias("nb"), F.sum("duree_sejour").alias("jours"),
+        F.count("duree_sejour").alias("n_duree"))
+    named = (_resolved(per_site, establishments.select("etab_id")).groupBy("etab_id")
+             .agg(F.sum("nb").cast("long").alias("nb"), (F.sum("jours") / F.sum("n_duree")).alias("dms")))
+    return top_n(named, "nb", "etab_id", n)
+
+
+def _resolved(per_site: DataFrame, sites: DataFrame) -> DataFrame:
+    """Rows with the columns of their site; where it is not known, these and its id are INCONNU."""
+    unknown = F.lit(UNKNOWN_GEO)
+    found = per_site.join(sites.withColumn("_known", F.lit(True)), "etab_id", "left")
+    found = found.withColumn("etab_id", F.when(F.col("_known"), F.col("etab_id")).otherwise(unknown))
+    return found.withColumns({c: F.coalesce(c, unknown) for c in sites.columns if c != "etab_id"}).drop("_known")
 
 
 def stays_by_sex_and_age(stays: DataFrame, patients: DataFrame, year: int | None) -> DataFrame:
@@ -126,11 +139,12 @@ def bed_occupancy(stays: DataFrame, capacity: DataFrame, year: int, days_in_year
 def drilldown(stays: DataFrame, sites: DataFrame, levels: list[str]) -> DataFrame:
     """Stays and mean length at each level of a hierarchy of sites, and in total.
 
-    `sites` maps etab_id to the levels. Sums per site are rolled up, not the stays.
+    `sites` maps etab_id to the levels; stays of other sites count as INCONNU. Sums per site are
+    rolled up, not the stays.
     """
     per_site = stays.groupBy("etab_id", "annee").agg(
         F.sum("nb_hospitalisation").alias("nb"), F.sum("duree_sejour").alias("jours"),
         F.count("duree_sejour").alias("n_duree"))
-    return (per_site.join(sites, "etab_id").rollup(*levels)
+    return (_resolved(per_site, sites).rollup(*levels)
             .agg(F.grouping_id().cast("int").alias("niveau"), F.sum("nb").cast("long").alias("nb"),
                  (F.sum("jours") / F.sum("n_duree")).alias("dms")))

@@ -85,7 +85,7 @@ def specialty_of(spark, folder, key):
     """Professional -> specialty label."""
     supplier = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias(key), F.col("s_nationkey").cast("string").alias("code_specialite"))
-    return supplier.join(specialties(spark, folder), "code_specialite").select(key, "specialite")
+    return supplier.join(specialties(spark, folder), "code_specialite", "left").select(key, "specialite")
 
 
 @query("kpi_by_sex_year", oracle("v_patient", """

@@ -139,15 +139,15 @@ def professionals(spark, folder) -> DataFrame:
 
 
 def specialties(spark, folder) -> DataFrame:
-    """Specialty labels; one code has none."""
-    return (table(spark, folder, "nation").filter("n_nationkey <> 24")
+    """Specialty labels."""
+    return (table(spark, folder, "nation")
             .select(F.col("n_nationkey").cast("string").alias("code_specialite"),
                     F.col("n_name").alias("specialite")))
 
 
 def sites(spark, folder) -> DataFrame:
-    """Known establishments with their region and country; some sites are missing."""
-    return (table(spark, folder, "supplier").filter("s_suppkey % 11 <> 0")
+    """Establishments with their region and country."""
+    return (table(spark, folder, "supplier")
             .join(table(spark, folder, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
             .join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
             .select(F.col("s_suppkey").cast("string").alias("etab_id"), F.col("r_name").alias("region"),
