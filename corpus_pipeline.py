@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from klinark.llm import quality, toxicity
 from klinark.llm.byte_bpe import read_ranks, round_trip
 from klinark.llm.mixing import Target, mix
-from klinark.llm.ngram_join import ngram_components
+from klinark.llm.ngram_join import repeated_rows, text_key
 from klinark.llm.shared import table
 from klinark.llm.vocabulary import PATTERN, vocabulary_path
 from klinark.session import stage, staging_path
@@ -35,18 +35,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are linked at 0.8: that of the smallest id.
+    """One row of each group whose five-word shingles are linked at 0.8: that of the smallest id.
 
-    Documents without words are in no group and stay, as do rows without an id. Rows that repeat an
-    id count as one document: all go if one of them belongs to the group of a smaller id, else one
-    stays for each of their texts.
+    Each row is judged by its own text, whatever other rows hold its id. Rows without an id are
+    judged among themselves: one of a group stays, beside that of the smallest id. Documents without
+    words are in no group and stay; with an id, one for each text.
     """
-    groups = ngram_components(docs, size=5, percent=80)
-    flags = (groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_flag_id"))
-             .agg(F.bool_or(F.expr("doc_id <> component_id")).alias("_gone"), (F.count("*") > 1).alias("_repeated"))
-             .filter("_gone or _repeated"))
-    flagged = docs.join(flags, docs["doc_id"] == flags["_flag_id"], "left")
-    single = flagged.filter("_flag_id is null").select(*docs.columns)
+    flags = repeated_rows(docs, size=5, percent=80).select(
+        F.col("doc_id").alias("_flag_id"), F.col("text_key").alias("_flag_text"), F.col("gone").alias("_gone"))
+    flagged = docs.join(flags, docs["doc_id"].cast("long").eqNullSafe(flags["_flag_id"])
+                        & (text_key() == flags["_flag_text"]), "left")
+    single = flagged.filter("_flag_text is null").select(*docs.columns)
     repeated = flagged.filter("not _gone").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
     return single.unionByName(repeated)
 

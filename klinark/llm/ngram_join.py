@@ -49,9 +49,10 @@ def sketch(grams: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _describe(size: int):
+def _describe(size: int, keyed: bool):
     fields = [("doc_id", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()),
               ("sketch", pa.binary()), ("gram", pa.int64()), ("hits", pa.int64())]
+    fields += [("text_key", pa.binary())] if keyed else []
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +66,8 @@ def _describe(size: int):
             k = len(grams)
             return pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
                                     pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(grams.view(np.int64)),
-                                    pa.array(hits.astype(np.int64))], schema=schema)
+                                    pa.array(hits.astype(np.int64)), *([pa.nulls(k, pa.binary())] if keyed else [])],
+                                   schema=schema)
 
         for batch in slices(batches):
             sets = shingle_sets(batch["text"], size)
@@ -74,7 +76,8 @@ def _describe(size: int):
             yield pa.record_batch([batch["doc_id"], batch["row_key"], pa.array([len(s) for s in sets], pa.int64()),
                                    pa.array(names, pa.binary()),
                                    pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
-                                   pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
+                                   pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+                                   *([batch["text_key"].cast(pa.binary())] if keyed else [])], schema=schema)
             for s, name in zip(sets, names):
                 if name is not None and name not in seen:
                     seen.add(name)
@@ -85,7 +88,8 @@ def _describe(size: int):
                         pending, held, seen = [], 0, set()
         if pending:
             yield repeated()
-    return run, "doc_id long, row_key long, n long, cls binary, sketch binary, gram long, hits long"
+    kind = "doc_id long, row_key long, n long, cls binary, sketch binary, gram long, hits long"
+    return run, kind + (", text_key binary" if keyed else "")
 
 
 def _heavy(grams: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -443,10 +447,11 @@ def _sets(size: int, heavy):
 def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Described rows, classes of equal sets, and the root of each class that has a link."""
     spark = rows.sparkSession
-    run, kind = _describe(size)
+    keyed = "text_key" in rows.columns
+    run, kind = _describe(size, keyed)
     described = stage(rows.mapInArrow(run, kind), "ngram-described")
     described = described.withColumn("is_gram", F.col("gram").isNotNull())
-    sets = described.filter("not is_gram").select("doc_id", "row_key", "n", "cls")
+    sets = described.filter("not is_gram").select("doc_id", "row_key", "n", "cls", *(["text_key"] if keyed else []))
     heavy = spark.sparkContext.broadcast(_heavy(described.filter("is_gram").select("gram", "hits")))
 
     run, kind = _prefixes(size, percent, heavy)
@@ -507,6 +512,42 @@ def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     return sets, classes, components(merged.union(rest), "ngram-links")
 
 
+def _named_sets(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The set of each row of `rows` (doc_id, text[, text_key]), and (cls, doc_id, root) of each class."""
+    rows = rows.withColumn("row_key", F.coalesce("doc_id", F.xxhash64("text")))
+    with small_batches(rows.sparkSession, BATCH_ROWS):
+        sets, classes, roots = _class_roots(rows, size, percent)
+    named = classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    return sets, named.withColumn("root", F.coalesce("root", "cls"))
+
+
+def text_key(text: str = "text") -> Column:
+    """128 bits that tell texts apart."""
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+
+
+def repeated_rows(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of `docs` that are no document of their own: (doc_id, text_key, gone), a row per id and text.
+
+    Of the rows of a component that have an id, the first by (doc_id, class, text) stays, and so does the
+    first of those that have none; the others are gone. An id and text that stay, or that have an id but
+    no word, are listed with gone = false where several rows hold them.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sets, named = _named_sets(rows.withColumn("text_key", text_key()), size, percent)
+    keys = (sets.groupBy("doc_id", "text_key").agg(F.min("cls").alias("cls"), F.count("*").alias("rows"))
+            .join(named.select("cls", "root"), "cls", "left").withColumn("anonymous", F.col("doc_id").isNull()))
+    keys = stage(keys, "ngram-keys")
+    firsts = (keys.filter("root is not null").groupBy("root", "anonymous")
+              .agg(F.min(F.struct("doc_id", "cls", "text_key")).alias("first"), F.count("*").alias("members"))
+              .filter("members > 1").select("root", "anonymous", "first.text_key", "first.doc_id")
+              .withColumnsRenamed({"text_key": "first_text", "doc_id": "first_id"}))
+    gone = F.coalesce(~(F.col("first_text").eqNullSafe(F.col("text_key")) & F.col("first_id").eqNullSafe(F.col("doc_id")))
+                      & F.col("first_text").isNotNull(), F.lit(False))
+    return (keys.join(firsts, ["root", "anonymous"], "left").withColumn("gone", gone)
+            .filter("gone or (rows > 1 and (root is not null or not anonymous))").select("doc_id", "text_key", "gone"))
+
+
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """Component of each document under "n-gram sets have Jaccard similarity >= percent / 100".
@@ -531,11 +572,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
     sharing a component. Other columns are ignored. N-grams are compared by 63-bit hashes.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("row_key", F.coalesce("doc_id", F.xxhash64("text")))
-    with small_batches(docs.sparkSession, BATCH_ROWS):
-        sets, classes, roots = _class_roots(rows, size, percent)
-    named = classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    named = named.withColumn("root", F.coalesce("root", "cls"))
+    sets, named = _named_sets(rows, size, percent)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "root").select("cls", "component_id")
     return (sets.join(named, "cls", "left")

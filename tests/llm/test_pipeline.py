@@ -63,3 +63,11 @@ def test_stages_on_odd_rows_clashing_columns_and_empty_tables(spark, folder):
             assert out.count() >= 0
     kept = corpus_pipeline.drop_near_copies(spark, odd, folder).collect()
     assert sorted((r.doc_id for r in kept), key=repr) == sorted([1, 2, 3, 4, 6, None, 7, 8, 9], key=repr)
+
+
+def test_near_copies_are_judged_row_by_row(spark, folder):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, b), (5, c), (None, d), (None, d), (None, d), (8, c), (9, ""), (9, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, folder).collect()), key=repr)
+    assert kept == sorted([(3, a), (5, b), (5, c), (None, d), (9, ""), (9, None)], key=repr)
