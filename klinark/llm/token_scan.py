@@ -64,10 +64,9 @@ def write_tokens(encoded: DataFrame, eod: int, width: int, key: str = "doc_id",
 def read_token_files(spark: SparkSession, path: str, width: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Blocks of flat binary token files (file, block, tokens); a file has at most 1 GB, as token shards do.
 
-    Files are numbered in the order of their paths.
+    A file is named by its path.
     """
-    files = spark.read.format("binaryFile").load(path)
-    names = files.select("path").distinct().withColumn("file", F.hash("path").cast("long"))
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
     step = block_tokens * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,11 +75,10 @@ def read_token_files(spark: SparkSession, path: str, width: int, block_tokens: i
                 for k in range(0, len(content), step):
                     yield pa.record_batch([[file], [k // step], [content[k:k + step]]], names=["file", "block", "tokens"])
 
-    keyed = files.join(names, "path").select("file", "content")
-    return keyed.mapInArrow(run, "file long, block long, tokens binary")
+    return files.mapInArrow(run, "file string, block long, tokens binary")
 
 
-def _summaries(eod: int, width: int, with_keys: bool):
+def _summaries(eod: int, width: int, with_keys: bool, file: str):
     """Per block: tokens, tokens before the first separator, after the last one, lengths between."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,14 +98,14 @@ def _summaries(eod: int, width: int, with_keys: bool):
             if with_keys:
                 columns, names = [*columns, batch["keys"]], [*names, "keys"]
             yield pa.record_batch(columns, names=names)
-    kind = "file long, block long, n long, seps long, head long, tail long, between array<long>"
+    kind = f"file {file}, block long, n long, seps long, head long, tail long, between array<long>"
     return run, kind + (", keys array<long>" if with_keys else "")
 
 
 def scan_documents(blocks: DataFrame, eod: int, width: int) -> DataFrame:
     """Documents of flat token files: (file, doc, start, n_tokens[, key]).
 
-    `blocks` has file, block (0, 1, ... without gap) and tokens, the raw bytes of a block; a
+    `blocks` has file (a number or a path), block (0, 1, ... without gap) and tokens, the raw bytes of a block; a
     column `keys` with one key per separator is handed through as `key`. Each block is searched
     by itself. A prefix scan over the block summaries then gives the documents before a block
     and the place of the last separator before it, so that a document across any number of
@@ -119,7 +117,7 @@ def scan_documents(blocks: DataFrame, eod: int, width: int) -> DataFrame:
     null block adds nothing.
     """
     with_keys = "keys" in blocks.columns
-    run, kind = _summaries(eod, width, with_keys)
+    run, kind = _summaries(eod, width, with_keys, blocks.schema["file"].dataType.simpleString())
     found = stage(blocks.select("file", "block", "tokens", *(["keys"] if with_keys else [])).mapInArrow(run, kind)
                   .withColumn("run", F.floor(F.col("block") / RUN_BLOCKS)), "token-blocks")
     past = (Window.unboundedPreceding, -1)

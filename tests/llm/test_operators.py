@@ -244,6 +244,13 @@ def test_flat_files_with_an_unclosed_last_document(spark, tmp_path):
     assert sorted(by_file.values()) == [[0], [1, 0, 2, 3], [2]]
 
 
+def test_token_files_are_named_by_their_paths(spark, tmp_path):
+    for name in "ab":
+        np.array([1, 9], "<u4").tofile(tmp_path / f"{name}.bin")
+    files = {r.file for r in read_token_files(spark, str(tmp_path), 4).collect()}
+    assert {f.rsplit("/", 1)[1] for f in files} == {"a.bin", "b.bin"}
+
+
 # 4: shards ------------------------------------------------------------------------------------------
 
 
