@@ -230,19 +230,22 @@ def alike(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
     """Label of each set: sets joined by pairs whose sketches still allow a link have the same one.
 
     A link allows few different n-grams, and sketches differ in no more bits than sets do in n-grams,
-    so two linked sets always have the same label.
+    so two linked sets always have the same label. A longer sketch is folded to the shorter one's length,
+    over as many doublings as the sizes of linked sets may be apart.
     """
     label = np.arange(len(n))
     lengths = np.array([len(x) for x in sketches])
     for length in np.unique(lengths).tolist():
         own = np.flatnonzero(lengths == length)
-        double = np.flatnonzero(lengths == 2 * length)
         bits = np.frombuffer(b"".join(sketches[k] for k in own.tolist()), np.uint64).reshape(len(own), -1)
         other, other_bits = own, bits
-        if len(double):
-            halves = np.frombuffer(b"".join(sketches[k] for k in double.tolist()), np.uint64)
-            halves = halves.reshape(len(double), 2, -1)
-            other, other_bits = np.concatenate((own, double)), np.concatenate((bits, halves[:, 0] ^ halves[:, 1]))
+        longer = np.flatnonzero((lengths > length) & (percent * n <= 100 * n[own].max()))
+        for size in np.unique(lengths[longer]).tolist():
+            some = longer[lengths[longer] == size]
+            parts = np.frombuffer(b"".join(sketches[k] for k in some.tolist()), np.uint64)
+            parts = parts.reshape(len(some), size // length, -1)
+            other = np.concatenate((other, some))
+            other_bits = np.concatenate((other_bits, np.bitwise_xor.reduce(parts, axis=1)))
         step = max(1, SKETCH_WORDS // other_bits.size)
         for start in range(0, len(own), step):
             rows = own[start:start + step]

@@ -109,6 +109,15 @@ def test_sketches_keep_every_link_and_part_unlike_sets(percent):
     assert len(set(label.tolist())) >= families // 2
 
 
+@pytest.mark.parametrize("percent", [20, 40])
+def test_sketches_more_than_one_doubling_apart_keep_their_link(percent):
+    rng = np.random.default_rng(percent)
+    large = rng.integers(0, 1 << 63, 64 * 100 // percent - 10, dtype=np.uint64)
+    sets = [np.unique(large[:64]), np.unique(large), np.unique(rng.integers(0, 1 << 63, 64, dtype=np.uint64))]
+    label = alike(np.array([len(s) for s in sets]), [sketch(s) for s in sets], percent)
+    assert label[0] == label[1]
+
+
 def test_tree_finds_every_linked_set():
     draw = np.random.default_rng(3)
     base = [np.unique(draw.integers(0, 2 ** 40, 120).astype(np.uint64)) for _ in range(5)]
