@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klinark.llm.shared import slices
+from klinark.session import stage
 
 TRAINING_ROWS = 20_000  # toxic and unlabelled documents that are learnt from, at most so many of each
 WORDS = 2048            # words the classifier looks at, those most typical of toxic texts
@@ -80,7 +81,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
           rows: int = TRAINING_ROWS, words: int = WORDS) -> ToxicModel:
     """Choose words and fit weights from bounded samples of toxic and of unlabelled documents.
 
-    The samples are the ids that hash lowest. The class prior is the share of label 1 among all
+    The samples are the ids that hash lowest, each with one of its texts (the one whose words sort last), so
+    rows that repeat an id neither outweigh others nor come to the driver. The class prior is the share of label 1 among all
     labelled rows. Words are ranked by the z-value of their share of toxic documents against
     their share of unlabelled ones. Without a toxic row every score is the prior.
     """
@@ -94,14 +96,23 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 
     confirmed = lowest(own.filter("y = 1").select("doc_id")).withColumn("toxic", F.lit(True))
     unlabelled = lowest(texts.select("doc_id")).withColumn("toxic", F.lit(False))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = pa.array([word_keys(t) for t in batch["text"].to_pylist()], pa.list_(pa.int64()))
+            yield pa.record_batch([batch["doc_id"], batch["toxic"], keys], names=["doc_id", "toxic", "words"])
+
     # two bounded lists of ids
-    sample = texts.join(F.broadcast(confirmed.union(unlabelled)), "doc_id").select("doc_id", "toxic", "text")
+    chosen = texts.join(F.broadcast(confirmed.union(unlabelled)), "doc_id").select("doc_id", "toxic", "text")
+    sample = stage(chosen.mapInArrow(split, "doc_id long, toxic boolean, words array<long>")
+                   .groupBy("doc_id", "toxic").agg(F.max("words").alias("words")), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys = [word_keys(t) for t in batch["text"].to_pylist()]
-            toxic = np.repeat(batch["toxic"].to_numpy(zero_copy_only=False), [len(k) for k in keys])
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            words = batch["words"]
+            toxic = np.repeat(batch["toxic"].to_numpy(zero_copy_only=False),
+                              words.value_lengths().to_numpy(zero_copy_only=False))
+            flat = words.flatten().to_numpy(zero_copy_only=False)
             for side in (True, False):
                 found, hits = np.unique(flat[toxic == side], return_counts=True)
                 yield pa.record_batch([pa.array(found), pa.array(hits * side), pa.array(hits * (not side))],
@@ -119,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in slices(batches):
-            places = [np.flatnonzero(np.isin(known, word_keys(t))) for t in batch["text"].to_pylist()]
+            places = [np.flatnonzero(np.isin(known, own.values.to_numpy())) for own in batch["words"]]
             yield pa.record_batch([batch["doc_id"], batch["toxic"], pa.array(places, pa.list_(pa.int64()))],
                                   names=["doc_id", "toxic", "places"])
 

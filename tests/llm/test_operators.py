@@ -188,6 +188,15 @@ def test_classifiers_on_odd_rows_and_without_labels(spark, odd, none):
             assert len(toxic) == docs.count() and all(0 <= r.s <= 1 for r in toxic)
 
 
+def test_rows_that_repeat_an_id_do_not_outweigh_the_toxicity_sample(spark, monkeypatch):
+    rows = [(k, f"mild words {k}") for k in range(40)] + [(7, f"loud words {k}") for k in range(300)] + [(7, "loud")] * 50
+    labels = spark.createDataFrame([(k, int(k % 4 == 3)) for k in range(40)], "doc_id long, toxic int")
+    seen, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda r, t, *rest: seen.append(t.tolist()) or fit(r, t, *rest))
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert sorted(seen[0]) == [False] * 40 + [True] * 10
+
+
 # 3 and 7: tokens ----------------------------------------------------------------------------------
 
 
