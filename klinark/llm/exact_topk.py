@@ -43,20 +43,23 @@ def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return cell, np.sqrt(((x - pivots[cell]) ** 2).sum(1))
 
 
-def thresholds(pivots: np.ndarray, near: dict[int, list[float]], reach: np.ndarray, k: int) -> np.ndarray:
+def thresholds(pivots: np.ndarray, near: dict[int, list[tuple[int, float]]], reach: np.ndarray, k: int) -> np.ndarray:
     """Per query group, a score that the k-th best candidate of each of its queries surely has.
 
-    `near` holds the distances of the k + 1 data rows closest to each pivot, `reach` the distance of the
+    `near` holds the k + 1 ids closest to each pivot and their distances, `reach` the distance of the
     farthest query of a group from its pivot. With q = c + d and x = p + e, |d| <= u, |e| = r:
-    q.x >= c.p - u|p| - r(|c| + u). One row more than k counts, since a query is not its own
-    candidate.
+    q.x >= c.p - u|p| - r(|c| + u). One id more than k counts, since the rows of a query's own id are
+    not its candidates.
     """
     norm = np.sqrt((pivots ** 2).sum(1))
     out = np.full(len(pivots), -np.inf)
     for i, u in enumerate(reach):
-        low = [pivots[i] @ pivots[j] - u * norm[j] - r * (norm[i] + u) for j, own in near.items() for r in own]
+        low: dict[int, float] = {}
+        for j, own in near.items():
+            for name, r in own:
+                low[name] = max(low.get(name, -np.inf), pivots[i] @ pivots[j] - u * norm[j] - r * (norm[i] + u))
         if len(low) > k:
-            out[i] = sorted(low, reverse=True)[k]
+            out[i] = sorted(low.values(), reverse=True)[k]
     return out
 
 
@@ -64,15 +67,16 @@ def top_products(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector:
                  scale: int = 256, step: int = QUERY_STEP) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest integer inner products of each query.
 
-    Queries are the rows whose id is divisible by `step`, candidates all rows but the query's own.
+    Queries are the rows whose id is divisible by `step`, candidates all rows but those of the query's id.
     Rows and queries are grouped by their nearest pivot (pivots: 16 rows whose ids hash lowest).
-    Per cell a summary is kept: the k + 1 smallest distances of data to the pivot, the largest
+    Per cell a summary is kept: the k + 1 ids closest to the pivot with their distances, the largest
     distance of a query. They give each query group a score that its k-th best surely reaches; a
     data row goes to the groups where its upper bound c.p + u|p| + r(|c| + u) reaches it. There, in
     blocks of bounded size, products are exact.
 
-    Vectors that are null, empty or hold a null or non-finite component take no part; a repeated id
-    counts once, with its smallest vector; shorter vectors count as padded with zeros; fewer than k
+    Vectors that are null, empty or hold a null or non-finite component take no part; equal rows count
+    once; different vectors of one id are each a candidate and, if the id is a query's, each asked for, the
+    best finds of all counting; shorter vectors count as padded with zeros; fewer than k
     candidates give all; ties go to the smaller id; other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -95,11 +99,12 @@ def top_products(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector:
 
     placed = stage(rows.mapInArrow(assign, "vec_id long, x binary, cell int, far double"), "topk-placed")
     query = F.col("vec_id") % step == 0
-    closest = Window.partitionBy("cell").orderBy("far")
-    near: dict[int, list[float]] = {}
-    for cell, far in (placed.withColumn("n", F.row_number().over(closest)).filter(F.col("n") <= k + 1)
-                      .select("cell", "far").collect()):  # at most PIVOTS * (k + 1) rows
-        near.setdefault(cell, []).append(far)
+    closest = Window.partitionBy("cell").orderBy("far", "vec_id")
+    near: dict[int, list[tuple[int, float]]] = {}
+    for cell, name, far in (placed.groupBy("cell", "vec_id").agg(F.min("far").alias("far"))
+                            .withColumn("n", F.row_number().over(closest)).filter(F.col("n") <= k + 1)
+                            .select("cell", "vec_id", "far").collect()):  # at most PIVOTS * (k + 1) rows
+        near.setdefault(cell, []).append((name, far))
     groups = {r[0]: (r[1], r[2]) for r in placed.filter(query).groupBy("cell").agg(F.max("far"), F.count("*")).collect()}
     reach = np.array([groups.get(i, (0.0, 0))[0] for i in range(len(pivots))])
     floors = thresholds(pivots, near, reach, k)
@@ -123,12 +128,12 @@ def top_products(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector:
                                   names=["vec_id", "x", "grp", "part"])
 
     kind = "vec_id long, x binary, grp int, part int"
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)).cast("int")
     data = placed.mapInArrow(send, kind).withColumn("block", block).withColumn("asks", F.lit(False))
     cuts = F.element_at(F.array(*[F.lit(int(max(c, 1))) for c in parts]), F.col("cell") + 1)
     asking = (placed.filter(query)
               .select("vec_id", "x", F.col("cell").alias("grp"),
-                      F.pmod(F.xxhash64("vec_id"), cuts).cast("int").alias("part"),
+                      F.pmod(F.xxhash64("vec_id", "x"), cuts).cast("int").alias("part"),
                       F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks")))
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -134,8 +134,9 @@ def nearest_cosine(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vecto
     shard is searched for every query, in blocks of queries; the finds of all shards are ranked by
     the cosine in double precision, ties by the smaller id.
 
-    Vectors that are null, empty, zero or hold a null or non-finite component take no part; a
-    repeated id counts once, with its smallest vector; shorter vectors count as padded with zeros;
+    Vectors that are null, empty, zero or hold a null or non-finite component take no part; equal rows
+    count once; different vectors of one id are each a candidate and, if the id is a query's, each asked for,
+    the best finds of all counting; shorter vectors count as padded with zeros;
     fewer than k candidates give all that are found; other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -151,7 +152,7 @@ def nearest_cosine(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vecto
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "q": [_pack(frame, width).astype("<f8").tobytes()],
                              "q_ids": [frame["vec_id"].to_numpy("<i8").tobytes()]})
 
-    packed = (queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    packed = (queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)).cast("int"))
               .groupBy("block").applyInPandas(pack, "block int, q binary, q_ids binary"))
     asked = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
@@ -169,7 +170,7 @@ def nearest_cosine(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vecto
                 for own, v in zip(q_ids.tolist(), q):
                     size = np.sqrt(v @ v)
                     nodes, _ = beam_search(unit, edges, row.start, v / size, beam)
-                    nodes = nodes[:3 * k + 3]
+                    nodes = [n for n in nodes if counts[n] > 1 or ids[n][0] != own][:3 * k + 3]
                     scores = (x[nodes] @ v) / (length[nodes] * size)
                     out += [(own, i, s) for n, s in zip(nodes, scores.tolist()) for i in ids[n].tolist() if i != own]
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])

@@ -13,14 +13,14 @@ QUERY_STEP = 50  # rows whose id is divisible by it are the queries
 def usable(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, x array<double>): rows with an id whose vector has only finite components.
 
-    Null vectors, empty ones and those with a null, NaN or infinite component are left out. A
-    repeated id counts once, with its smallest vector.
+    Null vectors, empty ones and those with a null, NaN or infinite component are left out. Equal
+    rows count once; different vectors of one id are all kept.
     """
     x = F.transform(F.col(vector), lambda v: v.cast("double"))
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"))
     rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("x") > 0) & fine)
-    return rows.groupBy("vec_id").agg(F.min("x").alias("x"))
+    return rows.distinct()
 
 
 def matrix(lists, width: int | None = None) -> np.ndarray:

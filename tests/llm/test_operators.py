@@ -424,3 +424,23 @@ def test_graph_search_finds_nine_of_ten(spark):
     assert graph_ann.nearest_cosine(frame.limit(0)).count() == 0
     few = graph_ann.nearest_cosine(frame.filter("vec_id in (0, 1, 2)")).collect()
     assert len(few) == 2
+
+
+def test_different_vectors_of_one_id_stay_candidates(spark, tmp_path):
+    draw = np.random.default_rng(9)
+    rows = [(k, draw.normal(size=6).tolist()) for k in range(120)]
+    rows += [(i, draw.normal(size=6).tolist()) for i in (7, 50, 100) for _ in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    frame.write.parquet(str(tmp_path / "t"))
+    source = connect(str(tmp_path))
+    source.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/t/*.parquet')")
+    assert compare(exact_topk.top_products(frame), source, ORACLES["op9_exact_topk"]) is None
+    again = frame.union(frame.limit(40))  # equal rows count once
+    assert sorted(exact_topk.top_products(again).collect()) == sorted(exact_topk.top_products(frame).collect())
+    best = {}
+    for r in graph_ann.nearest_cosine(frame).collect():
+        best.setdefault(r.query_id, []).append(r.score)
+    unit = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows]
+    for q in (0, 50, 100):
+        cosine = sorted((float(a @ b) for i, a in unit if i == q for j, b in unit if j != q), reverse=True)[:5]
+        assert np.allclose(sorted(best[q], reverse=True), cosine)
