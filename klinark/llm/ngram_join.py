@@ -567,7 +567,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
     than the set. In these groups the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
     meeting only, a few times; a meeting is settled once its members have one component or have
     all made the same visit. Then the members of the others meet, all of them. Frequent n-grams and large meetings are cut into blocks
-    of which every two meet, so no task holds an unbounded group and no link is lost.
+    of which every two meet, and no link is lost. The list of frequent n-grams is bounded: members of one
+    that is left out of it meet in one task, however many they are.
 
     Nulls and oddities: a null or word-less text has n_shingles 0 and links with nothing (its
     component is its own doc_id); a null doc_id is never a component's name, a component with null
