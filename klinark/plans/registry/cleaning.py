@@ -349,9 +349,13 @@ def reject_reasons(spark, folder):
 
 @query("professional_fk", """
 SELECT CAST(s_suppkey AS VARCHAR) AS identifiant, n_nationkey IS NOT NULL AS connu
-FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 24) ON n_nationkey = s_nationkey""")
+FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 13 = 0 THEN -s_nationkey - 1 ELSE s_nationkey END AS code FROM supplier)
+LEFT JOIN nation ON n_nationkey = code""")
 def professional_fk(spark, folder):
-    known = table(spark, folder, "nation").filter("n_nationkey <> 24").select(
-        F.col("n_nationkey").cast("string").alias("code"))
-    return (resolve_keys(professionals(spark, folder), {"code_specialite": (known, "code")})
+    """Professionals whose specialty is in the reference; one in thirteen asks for one that is not."""
+    known = table(spark, folder, "nation").select(F.col("n_nationkey").cast("string").alias("code"))
+    code = F.col("code_specialite").cast("long")
+    asked = professionals(spark, folder).withColumn("code_specialite", F.when(
+        F.col("identifiant").cast("long") % 13 == 0, -code - 1).otherwise(code).cast("string"))
+    return (resolve_keys(asked, {"code_specialite": (known, "code")})
             .select("identifiant", F.col("code_specialite_connu").alias("connu")))

@@ -73,8 +73,8 @@ def kpi_top_diagnosis_year(spark, folder):
 SELECT annee, specialite, n, CAST(rn AS INTEGER) AS rang FROM (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS annee, n_name AS specialite, count(*) AS n,
          row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY count(*) DESC, n_name) AS rn
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey
-  JOIN nation ON n_nationkey = s_nationkey WHERE n_nationkey <> 24 GROUP BY year(o_orderdate), n_name)
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey
+  LEFT JOIN (SELECT n_nationkey, n_name FROM nation) ON n_nationkey = s_nationkey GROUP BY year(o_orderdate), n_name)
 WHERE rn <= 12""")
 def kpi_top_specialty(spark, folder):
     return kpi.top_labels_per_year(visits(spark, folder, with_code=False), "id_prof_sante",
@@ -350,11 +350,11 @@ SELECT CAST(annee AS INTEGER) AS annee, CASE WHEN rn <= 12 THEN n_name ELSE 'Aut
 FROM (SELECT *, CASE WHEN trim(code) = '' THEN 'Inconnu' ELSE CASE substr(code, 1, 1) WHEN 'S' THEN 'Lésions traumatiques'
         WHEN 'E' THEN 'Endocrinien' WHEN 'P' THEN 'Périnatal' WHEN 'M' THEN 'Ostéo-articulaire' WHEN 'L' THEN 'Peau'
         END END AS chapitre FROM v_line)
-JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey AND n_nationkey <> 24
+JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
 JOIN v_patient ON id_patient = CAST(o_custkey AS VARCHAR)
 JOIN (SELECT n_nationkey AS nk, row_number() OVER (ORDER BY count(*) DESC, n_name) AS rn
       FROM v_line JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-      WHERE n_nationkey <> 24 GROUP BY n_nationkey, n_name) ON nk = n_nationkey
+      GROUP BY n_nationkey, n_name) ON nk = n_nationkey
 GROUP BY 1, 2, 3, 4"""))
 def cube_consultation(spark, folder):
     events = visits(spark, folder).select(

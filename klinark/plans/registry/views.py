@@ -21,7 +21,7 @@ VIEWS = {
     "v_ref": """SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code_departement,
         CASE WHEN n_nationkey >= 20 THEN '00' ELSE lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') END AS code_region,
         CASE WHEN n_nationkey >= 20 THEN n_name ELSE r_name END AS nom_region
-        FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey <> 24""",
+        FROM nation JOIN region ON r_regionkey = n_regionkey""",
     "v_geo": """SELECT code_region AS geo_id, code_region,
         CASE WHEN count(DISTINCT nom_region) > 1 THEN 'Collectivités d''outre-mer' ELSE min(nom_region) END AS region
         FROM v_ref GROUP BY code_region UNION ALL SELECT 'INCONNU', NULL, 'INCONNU'""",
@@ -62,7 +62,7 @@ VIEWS = {
         CASE WHEN o_custkey % 53 = 0 THEN NULL
              ELSE CAST(year(o_orderdate) - o_custkey % 130 AS VARCHAR) || '-01-01' END AS date_naissance,
         CASE WHEN o_orderkey % 101 = 0 THEN 'X' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date_deces,
-        lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '001' AS lieu
+        CASE WHEN o_orderkey % 71 = 0 THEN '99001' ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '001' END AS lieu
         FROM orders JOIN customer ON c_custkey = o_custkey""",
     "v_death_ok": f"""SELECT d.*, CAST(replace(date_deces, '-', '') AS INTEGER) AS date_id,
         coalesce(code_region, 'INCONNU') AS geo_id,
@@ -87,8 +87,7 @@ VIEWS = {
              WHEN site NOT IN (SELECT etab_id FROM v_site) THEN 'ETAB_INCONNU' END AS raison_rejet
         FROM v_survey""",
     "v_site": """SELECT CAST(s_suppkey AS VARCHAR) AS etab_id, s_suppkey, r_name AS region, n_name AS pays
-        FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
-        WHERE s_suppkey % 11 <> 0""",
+        FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "v_survey_ok": """SELECT s.*, coalesce(g.geo_id, 'INCONNU') AS geo_id,
         CAST(floor(score + 0.5) / 10 AS DECIMAL(3, 1)) AS note
         FROM v_survey_reason s LEFT JOIN v_geo g

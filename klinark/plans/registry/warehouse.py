@@ -82,7 +82,7 @@ def dim_patient(spark, folder):
 SELECT CAST(s_suppkey AS VARCHAR) AS prof_id, n_name AS specialite,
        CASE WHEN s_suppkey % 2 = 0 THEN 'Médecin' ELSE 'Infirmier' END AS categorie_prof,
        CAST(s_nationkey AS VARCHAR) AS code_specialite
-FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 24) ON n_nationkey = s_nationkey""")
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey""")
 def dim_professional(spark, folder):
     return dimensions.professional(professionals(spark, folder), specialties(spark, folder))
 

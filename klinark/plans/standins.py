@@ -30,11 +30,10 @@ def _two_digits(number):
 
 
 def departments(spark, folder) -> DataFrame:
-    """Department reference: one code covers four territories, one department is missing."""
+    """Department reference: one code covers five territories."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     overseas = F.col("n_nationkey") >= 20
     return (nation.join(region, F.col("r_regionkey") == F.col("n_regionkey"))
-            .filter("n_nationkey <> 24")
             .select(_two_digits(F.col("n_nationkey")).alias("code_departement"),
                     F.when(overseas, "00").otherwise(_two_digits(F.col("r_regionkey") + 1)).alias("code_region"),
                     F.when(overseas, F.col("n_name")).otherwise(F.col("r_name")).alias("nom_region")))
@@ -99,7 +98,8 @@ def deaths(spark, folder, year: int | None = None) -> DataFrame:
                            F.concat(birth_year.cast("string"), F.lit("-01-01"))).alias("date_naissance"),
                     F.when(F.col("o_orderkey") % 101 == 0, "X")
                     .otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("date_deces"),
-                    F.concat(_two_digits(F.col("c_nationkey")), F.lit("001")).alias("code_lieu_deces")))
+                    F.when(F.col("o_orderkey") % 71 == 0, "99001")
+                    .otherwise(F.concat(_two_digits(F.col("c_nationkey")), F.lit("001"))).alias("code_lieu_deces")))
 
 
 def surveys(spark, folder) -> DataFrame:
