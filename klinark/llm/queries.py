@@ -14,6 +14,7 @@ from klinark.llm.mixing import Target, mix
 from klinark.llm.ngram_join import ngram_components
 from klinark.llm.shared import table
 from klinark.llm.sharding import shard_documents
+from klinark.llm.simhash import simhash_components
 from klinark.llm.token_scan import document_tokens
 from klinark.llm.url_filter import derived_entries, judge_captures, page_captures
 from klinark.llm.vocabulary import EOD, PATTERN, vocabulary_path
@@ -182,6 +183,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return graph_ann.nearest_cosine(table(spark, folder, "embeddings"))
 
 
+@query("op11_simhash_dedup")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents linked by SimHash fingerprints of at most four differing bits."""
+    return simhash_components(table(spark, folder, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
