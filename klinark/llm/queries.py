@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from klinark.llm import exact_topk, graph_ann, quality, toxicity
 from klinark.llm.byte_bpe import encode, read_ranks, round_trip
+from klinark.llm.importance import importance_resample
 from klinark.llm.mixing import Target, mix
 from klinark.llm.ngram_join import ngram_components
+from klinark.llm.prefix_trie import trie_nodes
 from klinark.llm.shared import table
 from klinark.llm.sharding import shard_documents
 from klinark.llm.simhash import simhash_components
@@ -189,6 +191,74 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(table(spark, folder, "documents"))
 
 
+@query("op12_prefix_trie", r"""
+    WITH RECURSIVE bits(n, c, k) AS (
+      SELECT i, i::UBIGINT, 0 FROM range(256) t(i) UNION ALL
+      SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+    u AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT conv_id, list({r: r, x: x} ORDER BY turn NULLS FIRST, substr(sha256(length(r)::VARCHAR || ':' || r || x), 1, 32)) AS turns
+      FROM u GROUP BY conv_id),
+    z AS (SELECT conv_id, hex(encode(conv_id::VARCHAR)) AS z FROM o),
+    h AS (SELECT conv_id, xor(list_reduce(list_transform(range(-1, len(z) // 2),
+          lambda i: CASE WHEN i < 0 THEN 4294967295::UBIGINT ELSE ('0x' || substr(z, 2 * i + 1, 2))::UBIGINT END),
+          lambda a, b: xor(a // 256, t[((xor(a, b) % 256) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT % 4 AS h FROM z, crc),
+    r AS (SELECT o.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+      FROM o JOIN h USING (conv_id) LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 20),
+    p AS (SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS ends,
+        CASE WHEN d > 0 THEN len(regexp_extract_all(turns[d].x, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w
+      FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+    n AS (SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(w) AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM p GROUP BY d, path),
+    m AS (SELECT p.conv_id AS member, d, n.conv_id AS node FROM p JOIN n USING (d, path)),
+    c AS (SELECT m.node AS conv_id, m.d, count(*) AS n_children FROM n JOIN m ON m.member = n.conv_id AND m.d = n.d - 1 GROUP BY ALL),
+    s AS (SELECT m.node AS conv_id, m.d, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+      FROM n LEFT JOIN c USING (conv_id, d) JOIN m ON m.member = n.conv_id AND m.d <= n.d GROUP BY ALL)
+    SELECT n.conv_id, n.d::BIGINT AS depth, m.node AS parent_conv_id, n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+      n_leaves::BIGINT AS n_leaves, saved_tokens, ends_sha256
+    FROM n JOIN s USING (conv_id, d) LEFT JOIN c USING (conv_id, d)
+    LEFT JOIN m ON m.member = n.conv_id AND m.d = n.d - 1""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return trie_nodes(table(spark, folder, "conversations"))
+
+
+@query("op13_importance_resampling", r"""
+    WITH RECURSIVE bits(n, c, k) AS (
+      SELECT i, i::UBIGINT, 0 FROM range(256) t(i) UNION ALL
+      SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+    d AS (SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents),
+    w AS (SELECT side, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+      FROM (SELECT side, r, text FROM d UNION ALL SELECT 'b', 0, text FROM benchmark)),
+    g AS (SELECT side, r, unnest(list_concat(words, CASE WHEN len(words) < 2 THEN [] ELSE
+        list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END)) AS g FROM w),
+    x AS (SELECT g, hex(encode(g)) AS h FROM (SELECT DISTINCT g FROM g)),
+    c AS (SELECT g, (xor(list_reduce(list_transform(range(-1, len(h) // 2),
+          lambda i: CASE WHEN i < 0 THEN 4294967295::UBIGINT ELSE ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT END),
+          lambda a, b: xor(a // 256, t[((xor(a, b) % 256) + 1)::BIGINT])), 4294967295::UBIGINT) % 10000)::BIGINT AS bucket FROM x, crc),
+    f AS (SELECT side, r, bucket, count(*) AS n FROM g JOIN c USING (g) GROUP BY ALL),
+    k AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+      FROM f GROUP BY bucket),
+    y AS (SELECT bucket, floor(1000 * ln(((t + 1) * ((SELECT sum(s) FROM k) + 10000))
+        / ((s + 1) * ((SELECT sum(t) FROM k) + 10000))))::BIGINT AS gain FROM k),
+    v AS (SELECT r, sum(n)::BIGINT AS n, sum(n * gain)::BIGINT AS total FROM f JOIN y USING (bucket) WHERE side = 'd' GROUP BY r),
+    z AS (SELECT doc_id, d.r, coalesce(n, 0)::BIGINT AS n_features,
+        CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END::BIGINT AS weight,
+        (coalesce(n, 0) + 1) // 2 >= 20 AS fit,
+        ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN v USING (r)),
+    q AS (SELECT doc_id, r, n_features, weight, fit,
+        weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM z),
+    o AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST, r) AS place FROM q)
+    SELECT doc_id, n_features, weight, score,
+      CASE WHEN fit AND place <= (SELECT count(*) FROM q WHERE fit) * 25 // 100 THEN place END AS rank FROM o""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark texts."""
+    return importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
