@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from klinark.session import open_writers
 
@@ -53,10 +54,11 @@ def write_table(df: DataFrame, table: str, path: str | None = None,
 
 
 def write_fact(df: DataFrame, table: str, bucket_by: tuple[str, ...] = (), buckets: int = 8,
-               path: str | None = None, year: str = "annee") -> None:
+               path: str | None = None, year: str = "annee", years: list[int] | None = None) -> None:
     """Publish a fact by year: the years of the frame are replaced, the other years stay.
 
-    The first load creates the table with its declared buckets.
+    The first load creates the table with its declared buckets. `years` names the years to replace also
+    where the frame has no row for them.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -69,6 +71,17 @@ def write_fact(df: DataFrame, table: str, bucket_by: tuple[str, ...] = (), bucke
             gather(df.select(*spark.table(table).columns), F.col(year)).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(name, before)
+    if years is not None:
+        filled = {row[0] for row in df.select(year).distinct().collect()}  # one row per year
+        for empty in sorted(set(years) - filled):
+            clear_partition(spark, table, year, empty)
+
+
+def clear_partition(spark: SparkSession, table: str, partition: str, value: int) -> None:
+    """Remove the rows of one partition of a table; the others keep their files."""
+    kinds = T.StructType([f for f in spark.table(table).schema if f.name != partition])
+    nothing = spark.createDataFrame([], kinds)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = {int(value)}) SELECT * FROM {{rows}}", rows=nothing)
 
 
 def replace_batch(df: DataFrame, path: str, batch: dict[str, str]) -> None:

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from klinark.operators import checks
-from klinark.operators.layout import ensure_zones, replace_batch, write_fact, write_table
+from klinark.operators.keymap import stable_keys
+from klinark.operators.layout import analyse, ensure_zones, gather, replace_batch, write_fact, write_table
 from klinark.operators.privacy import build_mapping
 from klinark.operators.rows import REASON, classify
 from klinark.plans import dimensions, facts
-from klinark.schemas import BUCKET_KEYS, BUCKETS, DIMENSION_KEYS, FORBIDDEN, SURROGATES
+from klinark.schemas import BUCKET_KEYS, BUCKETS, DIMENSION_KEYS, FACTS, FORBIDDEN, SURROGATES, enforce_schema
 from klinark.session import stage
 
 
@@ -49,25 +50,35 @@ class Settings:
     consultation_order: tuple[str, ...] = facts.CONSULTATION_ORDER
     stay_order: tuple[str, ...] = ("identifiant_organisation", "code_diagnostic", "jours")
     thresholds: dict[str, tuple[str, float]] = field(default_factory=lambda: {"ecart_pct": ("max", 0.0)})
+    buckets: dict[str, int] = field(default_factory=dict)  # per fact, BUCKETS where it is not named
 
 
-def load_fact(spark: SparkSession, name: str, classified: DataFrame,
-              build: Callable[[DataFrame], DataFrame], keys: list[str], settings: Settings) -> DataFrame:
-    """Load one fact and its rejects from a classified source; return the count per outcome.
+def stage_source(name: str, classified: DataFrame) -> DataFrame:
+    """A classified source, split by outcome and written once: rows, rejects, sites and patients are read from it."""
+    outcome = F.when(F.col(REASON).isNull(), "valide").otherwise("rejete")
+    return stage(classified.withColumn("statut", outcome), name, ("statut",))
+
+
+def load_fact(spark: SparkSession, name: str, staged: DataFrame, build: Callable[[DataFrame], DataFrame],
+              keys: list[str], natural: list[str] | None, settings: Settings,
+              years: list[int] | None = None) -> DataFrame:
+    """Load one fact and its rejects from a staged source; return the count per outcome.
 
-    The classified source is staged once, split by outcome: the source is parsed a
-    single time, and valid rows, rejects and counts are read from columnar files.
-    Rejects overwrite their own batch, so a rerun does not double them.
+    Rejects overwrite their own batch, so a rerun does not double them. `natural` names the columns of `build`
+    whose values, with the year, keep their surrogate key from one load to the next (None: the whole row).
+    `years` are replaced even where no row of them is loaded.
     """
-    outcome = F.when(F.col(REASON).isNull(), "valide").otherwise("rejete")
-    staged = stage(classified.withColumn("statut", outcome), name, ("statut",))
+    columns = [c for c in staged.columns if c not in (REASON, "statut")]
     rejects = (staged.filter("statut = 'rejete'")
-               .select(F.to_json(F.struct(*[c for c in classified.columns if c != REASON])).alias("ligne_source"),
+               .select(F.to_json(F.struct(*columns)).alias("ligne_source"),
                        REASON, F.current_timestamp().alias("ts_rejet")))
     replace_batch(rejects, f"{settings.root}/{settings.staging}/rejets", {"source": name, "lot": settings.batch})
 
     valid = staged.filter("statut = 'valide'").drop("statut", REASON)
-    fact = stage(checks.assert_no_columns(build(valid), FORBIDDEN), f"{name}-pret")
+    shaped = build(valid)
+    keyed = stable_keys(shaped, SURROGATES[name], None if natural is None else [*natural, "annee"],
+                        f"{settings.staging}.cles_{name}", settings.buckets.get(name, BUCKETS))
+    fact = checks.assert_no_columns(enforce_schema(keyed, FACTS[name]), FORBIDDEN)
 
     counts = (checks.reconcile(staged, keys) if keys else
               staged.agg(F.count("*").alias("bronze"), F.count_if(F.col(REASON).isNull()).alias("charge"),
@@ -86,22 +97,14 @@ def load_fact(spark: SparkSession, name: str, classified: DataFrame,
     except Exception:
         checks.audit_row(fact, "build_gold", name, "FAILED").write.mode("append").parquet(audit)
         raise
-    publish(spark, fact, name, settings)
+    publish(spark, fact, name, settings, years)
     checks.audit_row(fact, "build_gold", name, "SUCCESS").write.mode("append").parquet(audit)
     return summary
 
 
-def publish(spark: SparkSession, fact: DataFrame, name: str, settings: Settings) -> None:
-    """Replace the years of a checked fact in the gold zone; the other years keep their rows and keys.
-
-    Keys of the load are moved beyond the keys that stay, so they are unique in the table.
-    """
-    table, key = f"{settings.gold}.{name}", SURROGATES[name]
-    if spark.catalog.tableExists(table):
-        years = fact.select("annee").distinct()
-        kept = spark.table(table).join(years, "annee", "left_anti").agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-        fact = fact.withColumn(key, F.col(key) + F.lit(kept))
-    write_fact(fact, table, BUCKET_KEYS.get(name, ()), BUCKETS)
+def publish(spark: SparkSession, fact: DataFrame, name: str, settings: Settings, years: list[int] | None = None) -> None:
+    """Replace the years of a checked fact (and `years`) in the gold zone; the other years keep their files."""
+    write_fact(fact, f"{settings.gold}.{name}", BUCKET_KEYS.get(name, ()), settings.buckets.get(name, BUCKETS), years=years)
 
 
 def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> DataFrame:
@@ -115,40 +118,46 @@ def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> Dat
     geography = save(dimensions.geography(sources.departments), "dim_geographie")
     surveyed = sources.surveys.select(F.col("finess_geo").alias("etab_id"),
                                       F.col("rs_finess_geo").alias("nom_etab"), "region")
-    admitting = sources.stays.select(F.col("identifiant_organisation").alias("etab_id"))
+    staged = {
+        "fait_consultation": stage_source("fait_consultation", classify(
+            sources.consultations, facts.consultation_rules(settings.first_year, settings.last_year))),
+        "fait_hospitalisation": stage_source("fait_hospitalisation", classify(
+            sources.stays, facts.stay_rules(settings.first_year, settings.last_year)))}
+    admitting = staged["fait_hospitalisation"].select(F.col("identifiant_organisation").alias("etab_id"))
     establishments = save(dimensions.establishment(surveyed, admitting), "dim_etablissement")
 
     key = list(settings.consultation_key)
     results = [
-        load_fact(spark, "fait_consultation",
-                  classify(sources.consultations, facts.consultation_rules(settings.first_year, settings.last_year)),
-                  lambda valid: facts.number_consultations(facts.shape_consultations(
-                      valid, settings.master, settings.seed, key, settings.consultation_order), key),
-                  key, settings),
-        load_fact(spark, "fait_hospitalisation",
-                  classify(sources.stays, facts.stay_rules(settings.first_year, settings.last_year)),
-                  lambda valid: facts.number_stays(facts.shape_stays(
-                      valid, settings.master, settings.seed, settings.stay_order)),
-                  facts.STAY_KEY, settings),
-        load_fact(spark, "fait_satisfaction",
-                  classify(facts.flag_known_sites(sources.surveys, establishments), facts.survey_rules()),
-                  lambda valid: facts.number_surveys(facts.shape_surveys(valid, geography, settings.campaign)),
-                  ["finess_geo"], settings),
-        load_fact(spark, "fait_deces",
-                  classify(sources.deaths, facts.death_rules(settings.first_death_year)),
-                  lambda valid: facts.number_deaths(facts.shape_deaths(valid, sources.departments)),
-                  [], settings),
+        load_fact(spark, "fait_consultation", staged["fait_consultation"],
+                  lambda valid: facts.shape_consultations(valid, settings.master, settings.seed, key, settings.consultation_order),
+                  key, key, settings),
+        load_fact(spark, "fait_hospitalisation", staged["fait_hospitalisation"],
+                  lambda valid: facts.shape_stays(valid, settings.master, settings.seed, settings.stay_order),
+                  facts.STAY_KEY, ["patient_id", "num_hospitalisation", "date_id"], settings),
+        load_fact(spark, "fait_satisfaction", stage_source("fait_satisfaction", classify(
+                      facts.flag_known_sites(sources.surveys, establishments), facts.survey_rules())),
+                  lambda valid: facts.shape_surveys(valid, geography, settings.campaign),
+                  ["finess_geo"], ["etab_id"], settings, [settings.campaign]),
+        load_fact(spark, "fait_deces", stage_source("fait_deces", classify(
+                      sources.deaths, facts.death_rules(settings.first_death_year))),
+                  lambda valid: facts.shape_deaths(valid, sources.departments), [], None, settings),
     ]
+    for name in SURROGATES:
+        analyse(spark, f"{settings.gold}.{name}")
     gold = {name: spark.table(f"{settings.gold}.{name}") for name in SURROGATES}
 
     days = [F.to_date(F.col("date_id").cast("string"), "yyyyMMdd")]
     save(dimensions.calendar(dimensions.calendar_bounds(*[f.select(*days) for f in gold.values()])), "dim_temps")
     save(dimensions.diagnosis(gold["fait_consultation"], gold["fait_hospitalisation"]), "dim_diagnostic")
     save(dimensions.professional(sources.professionals, sources.specialties), "dim_professionnel")
-    # The mapping stays out of the gold zone: only administrators may read it.
+    # The mapping stays out of the gold zone: only administrators may read it. It holds the listed patients and
+    # those of the facts, by the first digits of the pseudonym, so that an erasure rewrites few files.
     secure = f"{settings.root}/secure/patient_mapping"
-    (build_mapping(sources.patients, "id_patient", settings.master, settings.seed)
-     .write.mode("overwrite").parquet(secure))
+    persons = checks.stack([df.select(F.col("id_patient").cast("string").alias("id_patient")).distinct() for df in (
+        sources.patients, *[rows.filter("statut = 'valide'") for rows in staged.values()])])
+    mapping = build_mapping(persons, "id_patient", settings.master, settings.seed)
+    (gather(mapping.withColumn("prefixe", F.substring("id_patient_pseudo", 1, 1)), F.col("prefixe"))
+     .write.mode("overwrite").partitionBy("prefixe").parquet(secure))
     save(dimensions.patient(sources.patients, spark.read.parquet(secure)), "dim_patient")
 
     return stage(checks.stack(results), "reconciliation")

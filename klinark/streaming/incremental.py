@@ -4,45 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from klinark.operators.layout import write_partitions
 from klinark.operators.rows import REASON, accepted, classify, rejected
-
-BATCH = "lot"
-
-
-def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows loaded by other batches, None before the first load."""
-    try:
-        return spark.read.parquet(path).filter(F.col(BATCH) != batch_id)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+from klinark.session import stage
+from klinark.streaming.keyindex import BATCH, KeyIndex, add_keys, keyed, known_keys
 
 
 def incremental_load(spark: SparkSession, path: str, schema: T.StructType, root: str, rules: list,
                      prepare: Callable[[DataFrame], DataFrame],
                      shape: Callable[[DataFrame], DataFrame], keys: list[str],
-                     fmt: str = "parquet", options: dict | None = None) -> None:
+                     fmt: str = "parquet", options: dict | None = None, index: KeyIndex | None = None) -> None:
     """Load the files that arrived since the last call, then stop.
 
     Each micro-batch goes through the batch rules and `shape`; a row whose key another
-    batch already loaded is left out. Valid rows and rejects are written in the
+    batch already loaded is left out. The loaded keys are in an index (`<root>/index` if none is given): the batch
+    reads its filters, of fixed size, and only the buckets that may hold one of its keys, never the loaded rows. Valid rows and rejects are written in the
     partition of their batch, which a replayed batch overwrites: a file counts once even
     after a failure. Progress is kept in `<root>/checkpoint`.
     """
+    seen = index or KeyIndex(f"{root}/index")
+
     def load(batch: DataFrame, batch_id: int) -> None:
         classified = classify(prepare(batch), rules)
-        fresh = shape(accepted(classified))
-        known = _other_batches(spark, f"{root}/valides", batch_id)
+        fresh = stage(keyed(shape(accepted(classified)), seen, keys), "increment")
+        known = known_keys(spark, seen, fresh, batch_id)
         if known is not None:
-            fresh = fresh.join(known.select(*keys), keys, "left_anti")
-        write_partitions(fresh.withColumn(BATCH, F.lit(batch_id)), f"{root}/valides", [BATCH])
+            fresh = fresh.join(known, ["_cle", "seau"], "left_anti")
+        write_partitions(fresh.drop("_cle", "seau").withColumn(BATCH, F.lit(batch_id)), f"{root}/valides", [BATCH])
+        add_keys(spark, seen, fresh, batch_id)
         refused = rejected(classified)
         lines = F.to_json(F.struct(*[c for c in refused.columns if c != REASON]))
         write_partitions(refused.select(lines.alias("ligne_source"), REASON, F.lit(batch_id).alias(BATCH)),
