@@ -125,8 +125,14 @@ def export_cube(cube_df: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def cube_as_json(cube_df: DataFrame) -> DataFrame:
-    """Each cube row as a JSON array, the form dashboards load."""
-    return cube_df.select(F.to_json(F.array(*[F.col(c).cast("string") for c in cube_df.columns])).alias("ligne"))
+    """Each cube row as a JSON array, the form dashboards load: numbers as numbers, texts quoted."""
+    def item(name: str, kind: str) -> Column:
+        if kind in ("int", "bigint", "smallint", "tinyint", "double", "float", "boolean") or kind.startswith("decimal"):
+            return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+        quoted = F.to_json(F.array(F.col(name).cast("string")))
+        return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    items = F.concat_ws(",", *[item(name, kind) for name, kind in cube_df.dtypes])
+    return cube_df.select(F.concat(F.lit("["), items, F.lit("]")).alias("ligne"))
 
 
 def published(surveys: DataFrame) -> Column:
@@ -137,10 +143,12 @@ def satisfaction_summary(surveys: DataFrame) -> DataFrame:
     """Mean score /10 over sites per region and nationally, sites published and total.
 
     `surveys` has region and score (0-100). The national row averages sites, not
-    regions; regions that publish nothing are left out.
+    regions; regions that publish nothing are left out. Sites without a region are only in
+    the national total: they count as published neither there nor in a region.
     """
-    shown = published(surveys)
-    grouped = (surveys.withColumn("region", standard_region(F.col("region")))
+    region = standard_region(F.col("region"))
+    shown = published(surveys) & (F.col("region") != UNKNOWN_GEO)
+    grouped = (surveys.withColumn("region", F.when(F.trim(region) != "", region).otherwise(UNKNOWN_GEO))
                .groupingSets([[F.col("region")], []], F.col("region"))
                .agg(F.grouping("region").alias("_all"),
                     (F.avg(F.when(shown, F.col("score"))) / 10).cast("double").alias("moyenne"),
@@ -159,6 +167,13 @@ def sub_scores(surveys: DataFrame, columns: dict[str, str]) -> DataFrame:
             .agg(F.round((F.avg("valeur") / 10).cast("double"), 6).alias("moyenne"), F.count("*").alias("n")))
 
 
+def sub_score_means(rows: DataFrame) -> DataFrame:
+    """Mean /10 of each sub-score from its rows (sous_score, valeur, score_all_rea_ajust), published sites only."""
+    shown = rows.withColumn("score", decimal_comma(F.col("score_all_rea_ajust"))).filter(published(rows))
+    return (shown.withColumn("valeur", decimal_comma(F.col("valeur"))).filter(F.col("valeur").between(0, 100))
+            .groupBy("sous_score").agg(F.round((F.avg("valeur") / 10).cast("double"), 6).alias("moyenne"), F.count("*").alias("n")))
+
+
 def satisfaction_gaps(summary: DataFrame) -> DataFrame:
     """Gap of each region to the national mean, and which regions are best and worst."""
     national = summary.filter(F.col("region") == ALL_REGIONS).select("moyenne").scalar()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from klinark.functions.bands import band_of_age
@@ -13,6 +13,7 @@ from klinark.functions.fixed_values import MONTHS, OVERSEAS_LABEL, UNKNOWN_GEO,
 from klinark.functions.privacy import canonical_id
 from klinark.functions.values import date_id
 from klinark.operators.joins import lookup
+from klinark.plans.facts import resolve_region
 from klinark.schemas import DIMENSIONS, enforce_schema
 
 
@@ -59,17 +60,31 @@ def geography(departments: DataFrame) -> DataFrame:
     return enforce_schema(built, DIMENSIONS["dim_geographie"])
 
 
-def establishment(surveyed: DataFrame, admitting: DataFrame) -> DataFrame:
-    """`dim_etablissement` merged from survey sites and admitting sites.
+def surviving(column: str, rank: str) -> Column:
+    """Value of a group from its best source: lowest rank, then the smallest value; blanks never count."""
+    filled = F.when(~is_blank(F.col(column)), F.struct(F.col(rank).alias("rank"), F.col(column).alias("value")))
+    return F.min(filled)["value"]
+
+
+def establishment(surveyed: DataFrame, admitting: DataFrame, geographies: DataFrame) -> DataFrame:
+    """`dim_etablissement` merged from survey sites and admitting sites, and one row for unresolved sites.
 
     `surveyed` has etab_id, nom_etab and region; `admitting` has etab_id, on many rows
-    that shrink to one per site before the union.
+    that shrink to one per site before the union. Regions are first resolved to the labels of
+    `geographies`; then each attribute comes from the best source that has it, surveys before stays. A
+    region that no source names, or that is not resolved, is INCONNU.
     """
-    both = (surveyed.select("etab_id", "nom_etab", "region")
-            .unionByName(admitting.select("etab_id").distinct()
-                         .select("etab_id", _no_text().alias("nom_etab"), _no_text().alias("region"))))
-    merged = (both.filter(~is_blank(F.col("etab_id"))).groupBy("etab_id")
-              .agg(F.max("nom_etab").alias("nom_etab"), F.max("region").alias("region"))
+    names = geographies.select("geo_id", F.col("region").alias("_label")).filter(F.col("geo_id") != UNKNOWN_GEO)
+    resolved = (lookup(resolve_region(surveyed.select("etab_id", "nom_etab", "region").distinct(), geographies, "region"), names, "geo_id")
+                .select(F.trim("etab_id").alias("etab_id"), "nom_etab", F.col("_label").alias("region"), F.lit(1).alias("_rank")))
+    unknown = F.lit(UNKNOWN_GEO)
+    member = surveyed.sparkSession.range(1).select(
+        unknown.alias("etab_id"), unknown.alias("nom_etab"), unknown.alias("region"), F.lit(0).alias("_rank"))
+    both = (resolved.unionByName(admitting.select(F.trim("etab_id").alias("etab_id")).distinct()
+                                 .select("etab_id", _no_text().alias("nom_etab"), _no_text().alias("region"), F.lit(2).alias("_rank")))
+            .filter(~is_blank(F.col("etab_id"))).unionByName(member))
+    merged = (both.groupBy("etab_id")
+              .agg(surviving("nom_etab", "_rank").alias("nom_etab"), F.coalesce(surviving("region", "_rank"), unknown).alias("region"))
               .withColumn("type_etab", _no_text()).withColumn("departement", _no_text()))
     return enforce_schema(merged, DIMENSIONS["dim_etablissement"])
 

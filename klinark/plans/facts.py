@@ -149,22 +149,26 @@ def resolve_region(df: DataFrame, geographies: DataFrame, label: str) -> DataFra
 
 
 def clean_surveys(typed: DataFrame, establishments: DataFrame, geographies: DataFrame,
-                  campaign: int, order=("score", "region")) -> DataFrame:
+                  campaign: int | None, order=("score", "region")) -> DataFrame:
     valid = accepted(classify(flag_known_sites(typed, establishments), survey_rules()))
     return shape_surveys(valid, geographies, campaign, order)
 
 
-def shape_surveys(valid: DataFrame, geographies: DataFrame, campaign: int,
+def shape_surveys(valid: DataFrame, geographies: DataFrame, campaign: int | None,
                   order=("score", "region")) -> DataFrame:
-    """Marks of one campaign, one per site; only valid rows compete for a site."""
-    one_per_site = keep_first(valid, ["finess_geo"], list(order))
+    """Marks, one per site and campaign; only valid rows compete for a site.
+
+    Without a `campaign` the rows name their own in the column `annee`.
+    """
+    dated = valid if campaign is None else valid.withColumn("annee", F.lit(campaign))
+    one_per_site = keep_first(dated, ["annee", "finess_geo"], list(order))
     return resolve_region(one_per_site, geographies, "region").select(
-        F.lit(campaign * 10000 + 101).alias("date_id"), F.col("finess_geo").alias("etab_id"), "geo_id",
-        mark_out_of_ten(F.col("score")).alias("note_satisfaction"), F.lit(campaign).alias("annee"))
+        (F.col("annee") * 10000 + 101).cast("int").alias("date_id"), F.col("finess_geo").alias("etab_id"), "geo_id",
+        mark_out_of_ten(F.col("score")).alias("note_satisfaction"), F.col("annee").cast("int").alias("annee"))
 
 
 def number_surveys(clean: DataFrame) -> DataFrame:
-    numbered = surrogate_key(clean, "satisfaction_key", ["etab_id"])
+    numbered = surrogate_key(clean, "satisfaction_key", ["annee", "etab_id"])
     return enforce_schema(numbered, FACTS["fait_satisfaction"])
 
 

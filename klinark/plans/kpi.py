@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klinark.functions.bands import band_rank
-from klinark.functions.fixed_values import UNKNOWN_GEO
+from klinark.functions.fixed_values import UNKNOWN_BAND, UNKNOWN_GEO, UNKNOWN_SEX
 from klinark.functions.values import percent
 from klinark.operators.rankings import top_n, top_n_per_group
 
@@ -98,31 +98,34 @@ def _resolved(per_site: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def stays_by_sex_and_age(stays: DataFrame, patients: DataFrame, year: int | None) -> DataFrame:
-    """B5: stays per sex and age band of the patient."""
+    """B5: stays per sex and age band of the patient; those of unknown patients under unknown sex and band."""
     per_patient = by_axis(stays, "patient_id", "nb_hospitalisation", year)
-    return (per_patient.join(patients.select("patient_id", "sexe", "tranche_age"), "patient_id")
+    return (per_patient.join(patients.select("patient_id", "sexe", "tranche_age"), "patient_id", "left")
+            .withColumns({"sexe": F.coalesce("sexe", F.lit(UNKNOWN_SEX)), "tranche_age": F.coalesce("tranche_age", F.lit(UNKNOWN_BAND))})
             .groupBy("sexe", "tranche_age").agg(F.sum("nb").cast("long").alias("nb")))
 
 
 def mean_mark(marks: DataFrame, axis: str) -> DataFrame:
-    """B8: mean mark and number of sites per axis value."""
-    return marks.groupBy(axis).agg(F.avg("note_satisfaction").cast("double").alias("satisf_moy"),
-                                   F.count("*").alias("n_sites"))
+    """B8: mean mark and number of sites per axis value, over one campaign or several."""
+    per_site = marks.groupBy(axis, "etab_id").agg(F.sum("note_satisfaction").alias("s"), F.count("note_satisfaction").alias("n"))
+    return per_site.groupBy(axis).agg((F.sum("s") / F.sum("n")).cast("double").alias("satisf_moy"),
+                                      F.count("*").alias("n_sites"))
 
 
 def mean_mark_by_region(marks: DataFrame, establishments: DataFrame, year: int) -> DataFrame:
-    """B8: mean mark per region of the establishment, one campaign."""
-    named = one_year(marks, year).join(establishments.select("etab_id", "region"), "etab_id")
-    return mean_mark(named, "region")
+    """B8: mean mark per region of the establishment, one campaign; marks of unknown sites under INCONNU."""
+    named = one_year(marks, year).join(establishments.select("etab_id", "region"), "etab_id", "left")
+    return mean_mark(named.withColumn("region", F.coalesce("region", F.lit(UNKNOWN_GEO))), "region")
 
 
 def rate(df: DataFrame, key: str, labels: DataFrame, axis: str, hits, name: str) -> DataFrame:
     """Share of rows for which a condition holds, per axis value.
 
-    Rows are counted per key before `labels` (key -> axis value) is joined.
+    Rows are counted per key before `labels` (key -> axis value) is joined; rows whose key has no label
+    count under INCONNU.
     """
     per_key = df.groupBy(key).agg(F.count_if(hits).alias("hits"), F.count("*").alias("rows"))
-    return (per_key.join(labels, key).groupBy(axis)
+    return (per_key.join(labels, key, "left").withColumn(axis, F.coalesce(F.col(axis).cast("string"), F.lit(UNKNOWN_GEO))).groupBy(axis)
             .agg(F.sum("hits").alias("numerateur"), F.sum("rows").alias("denominateur"))
             .select(F.lit(name).alias("indicateur"), F.col(axis).cast("string").alias("groupe"),
                     "numerateur", "denominateur",
@@ -130,9 +133,14 @@ def rate(df: DataFrame, key: str, labels: DataFrame, axis: str, hits, name: str)
 
 
 def bed_occupancy(stays: DataFrame, capacity: DataFrame, year: int, days_in_year: int = 365) -> DataFrame:
-    """Days of stay over the bed days a site offers in a year (`capacity`: etab_id, lits)."""
+    """Days of stay over the bed days a site offers in a year (`capacity`: etab_id, lits).
+
+    Days of sites whose capacity is not known are one row INCONNU without a rate.
+    """
     used = one_year(stays, year).groupBy("etab_id").agg(F.sum("duree_sejour").cast("long").alias("jours"))
-    return (used.join(capacity, "etab_id")
+    return (used.join(capacity, "etab_id", "left")
+            .withColumn("etab_id", F.when(F.col("lits").isNotNull(), F.col("etab_id")).otherwise(UNKNOWN_GEO))
+            .groupBy("etab_id", "lits").agg(F.sum("jours").cast("long").alias("jours")).select("etab_id", "jours", "lits")
             .withColumn("taux_pct", percent(F.col("jours"), F.col("lits") * days_in_year, 2)))
 
 

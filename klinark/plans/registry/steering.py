@@ -10,18 +10,19 @@ from klinark.functions.privacy import pseudonym
 from klinark.functions.values import decimal_comma
 from klinark.operators.joins import event_within, readmission
 from klinark.operators.rankings import share_of_total, year_on_year
-from klinark.operators.rows import shift_years
 from klinark.plans import cubes, kpi
 from klinark.plans.dimensions import geography
-from klinark.plans.facts import type_stays
+from klinark.plans.facts import clean_surveys, number_surveys, type_stays, type_surveys
 from klinark.plans.registry.base import query
 from klinark.plans.registry.cleaning import order_stays
 from klinark.plans.registry.quality import death_fact, stay_fact, survey_fact
 from klinark.plans.registry.views import oracle, pseudonym_sql
 from klinark.plans.registry.warehouse import establishment_dim
 from klinark.plans.standins import (
-    MASTER, SEED, YEAR, departments, patients, sites, specialties, stays, surveys, table, visits,
+    MASTER, SEED, WIDE_CAMPAIGNS, YEAR, departments, patients, sites, specialties, stays, survey_files, surveys, table, visits,
 )
+from klinark.session import staging_path
+from klinark.sources.surveys import read_surveys, sub_score_rows
 
 # Consultations -----------------------------------------------------------------------------
 
@@ -242,21 +243,47 @@ def kpi_age_order(spark, folder):
 # Satisfaction ----------------------------------------------------------------------------------
 
 
-@query("kpi_satisfaction_region", oracle("v_survey_ok v_survey", f"""
-SELECT f.region, round(CAST(avg(CAST(note AS DOUBLE)) AS DOUBLE), 5) AS satisf_moy, count(*) AS n_sites
-FROM v_survey_ok f GROUP BY 1"""))
+@query("kpi_satisfaction_region", oracle("v_survey_ok v_site_geo", f"""
+SELECT g.region, round(CAST(avg(CAST(note AS DOUBLE)) AS DOUBLE), 5) AS satisf_moy, count(*) AS n_sites
+FROM v_survey_ok f JOIN v_site_geo g USING (site) GROUP BY 1"""))
 def kpi_satisfaction_region(spark, folder):
     return (kpi.mean_mark_by_region(survey_fact(spark, folder), establishment_dim(spark, folder), YEAR)
             .withColumn("satisf_moy", F.round("satisf_moy", 5)))
 
 
-@query("kpi_satisfaction_all", oracle("v_survey_ok", """
-SELECT geo_id, round(CAST(avg(CAST(note AS DOUBLE)) AS DOUBLE), 5) AS satisf_moy, 5 * count(*) AS n_sites
-FROM v_survey_ok GROUP BY 1"""))
+def campaign_lines(spark, folder):
+    """Lines of the survey files of three campaigns, read by position."""
+    return read_surveys(spark, survey_files(spark, folder, staging_path(spark, "campagnes")))
+
+
+def campaign_fact(spark, folder):
+    good = campaign_lines(spark, folder).filter("motif IS NULL")
+    return clean_surveys(type_surveys(good), sites(spark, folder), geography(departments(spark, folder)), None)
+
+
+@query("survey_layouts", oracle("v_campaign", f"""
+SELECT annee, CAST(CASE WHEN annee IN {WIDE_CAMPAIGNS} THEN 25 ELSE 23 END AS INTEGER) AS largeur, count(*) AS n_lignes,
+       CAST(0 AS BIGINT) AS n_illisibles, count(DISTINCT site) AS n_sites FROM v_campaign GROUP BY 1"""))
+def survey_layouts(spark, folder):
+    return (campaign_lines(spark, folder).withColumn("_w", F.when(F.element_at("champs", 25).isNotNull(), 25).otherwise(23))
+            .groupBy("annee").agg(F.max("_w").alias("largeur"), F.count("*").alias("n_lignes"),
+                                  F.count("motif").alias("n_illisibles"), F.count_distinct("finess_geo").alias("n_sites")))
+
+
+@query("fact_satisfaction_campaigns", oracle("v_campaign v_site_geo", """
+SELECT row_number() OVER (ORDER BY annee, site) AS satisfaction_key, CAST(annee * 10000 + 101 AS INTEGER) AS date_id, site AS etab_id,
+       geo_id, CAST(floor(score + 0.5) / 10 AS DOUBLE) AS note_satisfaction, annee
+FROM v_campaign JOIN v_site_geo USING (site) WHERE score BETWEEN 0 AND 100"""))
+def fact_satisfaction_campaigns(spark, folder):
+    return (number_surveys(campaign_fact(spark, folder))
+            .withColumn("note_satisfaction", F.col("note_satisfaction").cast("double")))
+
+
+@query("kpi_satisfaction_all", oracle("v_campaign v_site_geo", """
+SELECT geo_id, round(CAST(sum(floor(score + 0.5)) AS DOUBLE) / 10 / count(*), 5) AS satisf_moy, count(DISTINCT site) AS n_sites
+FROM v_campaign JOIN v_site_geo USING (site) WHERE score BETWEEN 0 AND 100 GROUP BY 1"""))
 def kpi_satisfaction_all(spark, folder):
-    fact = survey_fact(spark, folder).withColumn("satisfaction_key", F.lit(0).cast("long"))
-    years = shift_years(fact, 5, "satisfaction_key", "date_id", "annee")
-    return kpi.mean_mark(years, "geo_id").withColumn("satisf_moy", F.round("satisf_moy", 5))
+    return kpi.mean_mark(campaign_fact(spark, folder), "geo_id").withColumn("satisf_moy", F.round("satisf_moy", 5))
 
 
 def scored_surveys(spark, folder):
@@ -289,19 +316,14 @@ def satisfaction_gap(spark, folder):
     return cubes.satisfaction_gaps(cubes.satisfaction_summary(official))
 
 
-@query("satisfaction_subscores", """
-WITH s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 OR s_suppkey % 31 = 0 THEN NULL
-                                  ELSE floor(s_acctbal / 100) + 0.5 END AS score FROM supplier),
-u AS (SELECT 'Accueil' AS sous_score, s_suppkey % 120 AS valeur FROM s WHERE score BETWEEN 0 AND 100
-      UNION ALL SELECT 'Chambre', (s_suppkey * 7) % 101 FROM s WHERE score BETWEEN 0 AND 100
-      UNION ALL SELECT 'Repas', (s_suppkey * 13) % 97 FROM s WHERE score BETWEEN 0 AND 100)
+@query("satisfaction_subscores", oracle("v_campaign", """
 SELECT sous_score, round(CAST(sum(valeur) AS DOUBLE) / count(*) / 10, 6) AS moyenne, count(*) AS n
-FROM u WHERE valeur BETWEEN 0 AND 100 GROUP BY 1""")
+FROM (SELECT sous_score, (q * (rang + 3) + k) % 107 AS valeur FROM v_campaign, (VALUES (0, 'Accueil'),
+        (1, 'Prise en charge infirmiers'), (2, 'Prise en charge médecins'), (3, 'Chambre'), (4, 'Repas'),
+        (5, 'Organisation sortie')) v(rang, sous_score) WHERE score BETWEEN 0 AND 100)
+WHERE valeur BETWEEN 0 AND 100 GROUP BY 1"""))
 def satisfaction_subscores(spark, folder):
-    key = F.col("finess_geo").cast("long")
-    wide = (scored_surveys(spark, folder).withColumn("s12", (key % 120).cast("string"))
-            .withColumn("s18", ((key * 7) % 101).cast("string")).withColumn("s20", ((key * 13) % 97).cast("string")))
-    return cubes.sub_scores(wide, {"Accueil": "s12", "Chambre": "s18", "Repas": "s20"})
+    return cubes.sub_score_means(sub_score_rows(campaign_lines(spark, folder)))
 
 
 # Cubes -------------------------------------------------------------------------------------------
@@ -323,7 +345,7 @@ def cube_deaths(spark, folder):
 
 
 @query("cube_deaths_json", oracle("v_death_ok v_geo", f"""
-SELECT '["' || annee || '","' || region || '","' || sexe || '","' || tranche_age || '","' || n || '"]' AS ligne
+SELECT '[' || annee || ',"' || region || '","' || sexe || '","' || tranche_age || '",' || n || ']' AS ligne
 FROM ({CUBE_SQL})"""))
 def cube_deaths_json(spark, folder):
     return cubes.cube_as_json(death_cube(spark, folder))

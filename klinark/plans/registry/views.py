@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from klinark.plans.standins import FIRST_YEAR, LAST_YEAR, MASTER, SEED
+from klinark.plans.standins import CAMPAIGNS, FIRST_YEAR, LAST_YEAR, MASTER, SEED
 
 DATE_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
@@ -93,6 +93,15 @@ VIEWS = {
         FROM v_survey_reason s LEFT JOIN v_geo g
           ON regexp_replace(lower(g.region), '[ .''-]', '', 'g') = regexp_replace(lower(s.region), '[ .''-]', '', 'g')
         WHERE raison_rejet IS NULL""",
+    "v_campaign": f"""SELECT annee, site, k, q, TRY_CAST(replace(texte, ',', '.') AS DOUBLE) AS score FROM (
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS annee, l_suppkey AS k, CAST(l_suppkey AS VARCHAR) AS site,
+               CAST(sum(l_quantity) AS BIGINT) AS q,
+               CASE WHEN l_suppkey % 9 = 0 THEN '' WHEN l_suppkey % 37 = 0 THEN 'n/a'
+                    ELSE CAST(CAST(sum(l_quantity) AS BIGINT) % 104 AS VARCHAR) || ',5' END AS texte
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE year(o_orderdate) IN {CAMPAIGNS} GROUP BY 1, 2)""",
+    "v_site_geo": """SELECT site, nom, coalesce(g.geo_id, 'INCONNU') AS geo_id, coalesce(g.region, 'INCONNU') AS region
+        FROM v_survey s LEFT JOIN v_geo g
+          ON regexp_replace(lower(g.region), '[ .''-]', '', 'g') = regexp_replace(lower(s.region), '[ .''-]', '', 'g')""",
     "v_patient": f"""SELECT CAST(c_custkey AS VARCHAR) AS id_patient, r_name AS region_residence,
         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'M'
              WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN 'F' ELSE '?' END AS sexe,
@@ -103,7 +112,7 @@ VIEWS = {
 NEEDS = {
     "v_geo": ("v_ref",), "v_stay": ("v_line",), "v_stay_reason": ("v_stay",), "v_stay_ok": ("v_stay_reason",),
     "v_visit_ok": ("v_line",), "v_death_ok": ("v_death", "v_ref"), "v_survey_reason": ("v_survey", "v_site"),
-    "v_survey_ok": ("v_survey_reason", "v_geo"),
+    "v_survey_ok": ("v_survey_reason", "v_geo"), "v_site_geo": ("v_survey", "v_geo"),
 }
 
 

@@ -43,14 +43,15 @@ def establishment_dim(spark, folder):
     surveyed = surveys(spark, folder).select(
         F.col("finess_geo").alias("etab_id"), F.col("rs_finess_geo").alias("nom_etab"), "region")
     admitting = stays(spark, folder).select(F.col("identifiant_organisation").alias("etab_id"))
-    return dimensions.establishment(surveyed, admitting)
+    return dimensions.establishment(surveyed, admitting, dimensions.geography(departments(spark, folder)))
 
 
-@query("dim_establishment", oracle("v_survey v_stay", """
-SELECT etab_id, max(nom) AS nom_etab, CAST(NULL AS VARCHAR) AS type_etab, max(region) AS region,
+@query("dim_establishment", oracle("v_site_geo v_stay", """
+SELECT etab_id, min(nom) AS nom_etab, CAST(NULL AS VARCHAR) AS type_etab, coalesce(min(region), 'INCONNU') AS region,
        CAST(NULL AS VARCHAR) AS departement
-FROM (SELECT site AS etab_id, nom, region FROM v_survey WHERE trim(site) <> ''
-      UNION ALL SELECT id_site, NULL, NULL FROM v_stay WHERE id_site IS NOT NULL) GROUP BY etab_id"""))
+FROM (SELECT site AS etab_id, nom, region FROM v_site_geo WHERE trim(site) <> ''
+      UNION ALL SELECT id_site, NULL, NULL FROM v_stay WHERE id_site IS NOT NULL
+      UNION ALL SELECT 'INCONNU', 'INCONNU', 'INCONNU') GROUP BY etab_id"""))
 def dim_establishment(spark, folder):
     return establishment_dim(spark, folder)
 

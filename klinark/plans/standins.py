@@ -117,6 +117,40 @@ def surveys(spark, folder) -> DataFrame:
         .otherwise(score).alias("score_all_rea_ajust"))
 
 
+CAMPAIGNS = (1997, 1998, 1999)
+WIDE_CAMPAIGNS = (1998, 1999)
+
+
+def campaign_scores(spark, folder) -> DataFrame:
+    """Scores of the sites that shipped orders of a campaign year, made from the lines of that year."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("annee"))
+    sums = (table(spark, folder, "lineitem").join(orders.filter(F.col("annee").isin(*CAMPAIGNS)), F.col("o_orderkey") == F.col("l_orderkey"))
+            .groupBy("annee", F.col("l_suppkey").alias("site"))
+            .agg(F.sum("l_quantity").cast("long").alias("q"), F.count("*").alias("n")))
+    return sums.select("annee", "site", F.when(F.col("site") % 9 == 0, "").when(F.col("site") % 37 == 0, "n/a")
+                       .otherwise(F.concat((F.col("q") % 104).cast("string"), F.lit(",5"))).alias("score"), "q", "n")
+
+
+def survey_files(spark, folder, path: str) -> str:
+    """Survey files of three campaigns: 23 columns in one year, 25 in the others, sub-scores by position."""
+    from klinark.functions.fixed_values import SUB_SCORES
+    from klinark.sources.delimited import write_text_export
+    sites = surveys(spark, folder).select(F.col("finess_geo").cast("long").alias("site"), "rs_finess_geo", "region")
+    rows = campaign_scores(spark, folder).join(sites, "site")
+    places = {at: ((F.col("q") * (rank + 3) + F.col("site")) % 107).cast("string")
+              for rank, at in enumerate(SUB_SCORES.values())}
+    names = {0: "finess", 1: "rs_finess", 2: "finess_geo", 3: "rs_finess_geo", 4: "region", 5: "participation",
+             6: "depot", 7: "nb_rep_score_all", 8: "score_all_rea_ajust"}
+    values = {0: F.concat(F.lit("E"), F.col("site")), 2: F.col("site").cast("string"), 3: F.col("rs_finess_geo"),
+              4: F.col("region"), 7: F.col("n").cast("string"), 8: F.col("score"), **places}
+    fields = [values.get(at, F.lit("")).alias(names.get(at, f"s{at}")) for at in range(23)]
+    extra = [F.lit("81").alias("taux_reco_brut"), F.col("n").cast("string").alias("nb_reco_brut")]
+    for year in CAMPAIGNS:
+        own = rows.filter(F.col("annee") == year).select(*fields, *(extra if year in WIDE_CAMPAIGNS else []))
+        write_text_export(own, f"{path}/annee={year}", sep=";")
+    return path
+
+
 def patients(spark, folder) -> DataFrame:
     """Patients with sex and age as text, and the region of residence."""
     segment = F.col("c_mktsegment")

@@ -30,6 +30,7 @@ class Sources:
     patients: DataFrame
     professionals: DataFrame
     specialties: DataFrame
+    sites: DataFrame | None = None  # official list of sites (etab_id); without it every surveyed site is known
 
 
 @dataclass
@@ -124,7 +125,8 @@ def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> Dat
         "fait_hospitalisation": stage_source("fait_hospitalisation", classify(
             sources.stays, facts.stay_rules(settings.first_year, settings.last_year)))}
     admitting = staged["fait_hospitalisation"].select(F.col("identifiant_organisation").alias("etab_id"))
-    establishments = save(dimensions.establishment(surveyed, admitting), "dim_etablissement")
+    establishments = save(dimensions.establishment(surveyed, admitting, geography), "dim_etablissement")
+    official = establishments if sources.sites is None else sources.sites.select("etab_id").distinct()
 
     key = list(settings.consultation_key)
     results = [
@@ -135,7 +137,7 @@ def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> Dat
                   lambda valid: facts.shape_stays(valid, settings.master, settings.seed, settings.stay_order),
                   facts.STAY_KEY, ["patient_id", "num_hospitalisation", "date_id"], settings),
         load_fact(spark, "fait_satisfaction", stage_source("fait_satisfaction", classify(
-                      facts.flag_known_sites(sources.surveys, establishments), facts.survey_rules())),
+                      facts.flag_known_sites(sources.surveys, official), facts.survey_rules())),
                   lambda valid: facts.shape_surveys(valid, geography, settings.campaign),
                   ["finess_geo"], ["etab_id"], settings, [settings.campaign]),
         load_fact(spark, "fait_deces", stage_source("fait_deces", classify(

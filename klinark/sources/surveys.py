@@ -51,8 +51,9 @@ def read_surveys(spark: SparkSession, path: str, sep: str = ";", encoding: str =
     """
     if encoding.upper() not in ("UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16"):
         allow_legacy_encodings(spark)
-    raw = (spark.read.option("encoding", encoding).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-           .select(F.col("value").alias("ligne"), F.col("_metadata.file_path").alias("fichier"), F.col("_metadata.file_block_start").alias("_debut"),
+    text = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    raw = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+           .select(text.alias("ligne"), F.col("_metadata.file_path").alias("fichier"), F.col("_metadata.file_block_start").alias("_debut"),
                    F.monotonically_increasing_id().alias("_rang"))
            .filter(F.trim("ligne") != ""))
     files = layouts(raw, sep)

@@ -50,3 +50,31 @@ def test_totals_hold_every_fact(spark, folder):
     stays = QUERIES["kpi_stays_total_year"](spark, folder).first().nb
     rolled = QUERIES["drilldown_rollup"](spark, folder).filter("annee = 1999").agg({"nb": "sum"}).first()[0]
     assert (cube, rolled) == (lines, stays)
+
+
+def test_marks_stays_and_rates_of_unknown_members_count(spark, stays):
+    patients = spark.createDataFrame([("a", "M", "0-19")], "patient_id string, sexe string, tranche_age string")
+    visited = spark.createDataFrame([("a", 1999, 1), ("b", 1999, 1), (None, 1999, 1)], "patient_id string, annee int, nb_hospitalisation int")
+    found = {(r.sexe, r.tranche_age): r.nb for r in kpi.stays_by_sex_and_age(visited, patients, 1999).collect()}
+    assert found == {("M", "0-19"): 1, ("?", "Inconnu"): 2}
+    marks = spark.createDataFrame([("1", 8.0, 1999), ("7", 4.0, 1999)], "etab_id string, note_satisfaction double, annee int")
+    known = spark.createDataFrame([("1", "R")], "etab_id string, region string")
+    assert {(r.region, r.satisf_moy, r.n_sites) for r in kpi.mean_mark_by_region(marks, known, 1999).collect()} == {
+        ("R", 8.0, 1), ("INCONNU", 4.0, 1)}
+    rates = {r.groupe: (r.numerateur, r.denominateur) for r in
+             kpi.rate(stays, "etab_id", known, "region", stays["duree_sejour"] > 4, "x").collect()}
+    assert rates == {"R": (0, 2), "INCONNU": (2, 2)}
+    beds = spark.createDataFrame([("1", 2)], "etab_id string, lits int")
+    used = {r.etab_id: (r.jours, r.taux_pct) for r in kpi.bed_occupancy(stays, beds, 1999).collect()}
+    assert used == {"1": (6, 0.82), "INCONNU": (12, None)}
+
+
+def test_json_rows_keep_numbers_and_quote_texts(spark):
+    cube = spark.createDataFrame([(1999, 'a "b"', None, 3), (None, "", "é", 4)], "annee int, region string, sexe string, n long")
+    assert {r.ligne for r in cubes.cube_as_json(cube).collect()} == {'[1999,"a \\"b\\"",null,3]', '[null,"","é",4]'}
+
+
+def test_sites_without_a_region_are_only_in_the_national_total(spark):
+    surveys = spark.createDataFrame([("R", 80), ("R", 60), (None, 10), (" ", 20)], "region string, score int")
+    assert {(r.region, r.moyenne, r.diffuses, r.total) for r in cubes.satisfaction_summary(surveys).collect()} == {
+        ("R", 7.0, 2, 2), ("FRANCE", 7.0, 2, 4)}
