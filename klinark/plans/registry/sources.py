@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from klinark.operators.buckets import SALT, bucket_skew, hot_keys, join_salted, salted, write_salted
+from klinark.operators.checks import reconcile
 from klinark.operators.layout import (
     partition_counts, value_skew, write_partitions, write_table,
 )
-from klinark.operators.rows import shift_years
-from klinark.plans.facts import clean_deaths, number_deaths
+from klinark.operators.rows import classify, shift_years
+from klinark.plans.facts import STAY_KEY, clean_deaths, number_deaths, stay_rules
+from klinark.plans.files import TextFile, count_lines, line_rules, read_stays
 from klinark.plans.registry.base import query
 from klinark.plans.registry.views import oracle
 from klinark.plans.standins import (
-    FIRST_YEAR, YEAR, deaths, departments, table, visits,
+    FIRST_YEAR, LAST_YEAR, YEAR, deaths, departments, stays, table, visits,
 )
-from klinark.schemas import CORRUPT, text_schema
-from klinark.session import staging_path
+from klinark.schemas import BUCKET_KEYS, BUCKETS, CORRUPT, RAW_STAYS, text_schema
+from klinark.session import stage, staging_path
 from klinark.sources.delimited import (
     malformed_reason, read_delimited, union_campaigns, write_text_export,
 )
@@ -162,6 +165,60 @@ def layout_bucketed_join(spark, folder):
             .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantite")))
 
 
+@query("layout_salted_join", """
+SELECT l_suppkey, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantite
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS l_suppkey, l_quantity FROM lineitem)
+JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""")
+def layout_salted_join(spark, folder):
+    """A third of all lines on one supplier: its rows are spread over buckets and joined where they lie."""
+    root = staging_path(spark, "salted")
+    name = f"lignes_{root.rsplit('-', 1)[1]}"
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_suppkey"))
+    lines = table(spark, folder, "lineitem").select(key.alias("l_suppkey"), "l_orderkey", "l_linenumber", "l_quantity")
+    write_salted(lines, name, "l_suppkey", ["l_orderkey", "l_linenumber"], BUCKETS, root)
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    return (join_salted(spark, name, suppliers, "l_suppkey").groupBy("l_suppkey")
+            .agg(F.count("*").alias("n"), F.sum("l_quantity").cast("double").alias("quantite")))
+
+
+@query("bucket_layout_skew")
+def bucket_layout_skew(spark, folder):
+    """Rows per bucket of the deaths, bucketed on the region alone, on the declared columns, and with cut hot regions."""
+    fact = stage(clean_deaths(deaths(spark, folder), departments(spark, folder), FIRST_YEAR), "deces-seaux")
+    cut = salted(fact, "geo_id", hot_keys(fact, "geo_id", BUCKETS), ["numero_acte_deces"])
+    return (bucket_skew(fact, ["geo_id"], BUCKETS, "geo_id")
+            .unionAll(bucket_skew(fact, list(BUCKET_KEYS["fait_deces"]), BUCKETS, "geo_id+sexe+tranche_age"))
+            .unionAll(bucket_skew(cut, ["geo_id", SALT], BUCKETS, "geo_id+sel")))
+
+
+@query("files_to_facts", oracle("v_stay_reason", """
+SELECT issue, n FROM (WITH r AS (SELECT *, CASE WHEN CAST(num_stay AS BIGINT) % 83 = 0 THEN 'LIGNE_COURTE'
+    WHEN CAST(num_stay AS BIGINT) % 79 = 0 THEN 'LIGNE_LONGUE' ELSE raison_rejet END AS raison FROM v_stay_reason),
+  c AS (SELECT count(*) AS n, count(DISTINCT (id_patient, num_stay, date_entree)) AS k FROM r WHERE raison IS NULL)
+SELECT raison AS issue, count(*) AS n FROM r WHERE raison IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'CHARGE', k FROM c UNION ALL SELECT 'DOUBLON', n - k FROM c
+UNION ALL SELECT 'LIGNES_LUES', count(*) FROM r)"""))
+def files_to_facts(spark, folder):
+    """Hospital stays written as a file with broken lines: every line of it ends as fact, duplicate or reject."""
+    path = staging_path(spark, "sejours")
+    raw = stays(spark, folder)
+    fields = [F.coalesce(F.col(c) if c in raw.columns else F.lit(""), F.lit("")) for c in RAW_STAYS.fieldNames()]
+    number = F.col("num_hospitalisation").cast("long")
+    line = (F.when(number % 83 == 0, F.concat_ws(";", *fields[:3]))
+            .when(number % 79 == 0, F.concat_ws(";", *fields, F.lit("en trop"))).otherwise(F.concat_ws(";", *fields)))
+    # the CSV writer puts the name of the column, the header, at the top of each file; no character is quoted
+    (raw.select(line.alias(";".join(RAW_STAYS.fieldNames())))
+     .write.options(header=True, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+    file = TextFile(path)
+    source = read_stays(spark, file)
+    staged = stage(classify(source, line_rules(source) + stay_rules(FIRST_YEAR, LAST_YEAR)), "sejours-lus")
+    per_reason = staged.filter("raison_rejet IS NOT NULL").groupBy(F.col("raison_rejet").alias("issue")).agg(F.count("*").alias("n"))
+    counts = reconcile(staged, STAY_KEY).select(F.explode(F.create_map(
+        F.lit("CHARGE"), "charge", F.lit("DOUBLON"), "doublons")).alias("issue", "n"))
+    lines = spark.createDataFrame([("LIGNES_LUES", count_lines(spark, file))], "issue string, n long")
+    return per_reason.unionAll(counts).unionAll(lines)
+
+
 @query("partition_row_counts", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS annee, count(*) AS n FROM orders GROUP BY 1""")
 def partition_row_counts(spark, folder):

@@ -10,6 +10,7 @@ from klinark.functions.privacy import pseudonym
 from klinark.functions.values import decimal_comma
 from klinark.operators.joins import event_within, readmission
 from klinark.operators.rankings import share_of_total, year_on_year
+from klinark.operators.sketches import error_bound, estimates, merge, sketches
 from klinark.plans import cubes, kpi
 from klinark.plans.dimensions import geography
 from klinark.plans.facts import clean_surveys, number_surveys, type_stays, type_surveys
@@ -21,7 +22,7 @@ from klinark.plans.registry.warehouse import establishment_dim
 from klinark.plans.standins import (
     MASTER, SEED, WIDE_CAMPAIGNS, YEAR, departments, patients, sites, specialties, stays, survey_files, surveys, table, visits,
 )
-from klinark.session import staging_path
+from klinark.session import stage, staging_path
 from klinark.sources.surveys import read_surveys, sub_score_rows
 
 # Consultations -----------------------------------------------------------------------------
@@ -51,6 +52,28 @@ def kpi_yearly_overview(spark, folder):
         "diagnostics_distincts": "code_diag"}, "duree_minutes")
 
 
+@query("kpi_distinct_sketches", oracle("v_line", """
+SELECT CAST(annee AS INTEGER) AS annee, axe, n_exact, TRUE AS dans_la_borne FROM (
+  SELECT annee, count(DISTINCT o_custkey) AS patients, count(DISTINCT l_suppkey) AS professionnels, count(DISTINCT code) AS diagnostics
+  FROM v_line GROUP BY GROUPING SETS ((annee), ()))
+UNPIVOT (n_exact FOR axe IN (patients, professionnels, diagnostics))"""))
+def kpi_distinct_sketches(spark, folder):
+    """Distinct counts per year and over all years from mergeable sketches, held against exact ones."""
+    axes = {"patients": "id_patient", "professionnels": "id_prof_sante", "diagnostics": "code_diag"}
+    events = visits(spark, folder)
+    per_year = stage(sketches(events, ["annee"], axes), "esquisses")
+    total = merge(per_year, [], list(axes)).withColumn("annee", F.lit(None).cast("int"))
+    found = (estimates(per_year.unionByName(total), list(axes)).drop("n")
+             .unpivot(["annee"], list(axes), "axe", "estime"))
+    exact = (events.groupingSets([[F.col("annee")], []], F.col("annee"))
+             .agg(*[F.count_distinct(F.col(column)).alias(name) for name, column in axes.items()])
+             .unpivot(["annee"], list(axes), "axe", "n_exact"))
+    near = F.abs(F.col("estime") - F.col("n_exact")) <= F.lit(error_bound()) * F.col("n_exact")
+    return (found.join(exact.withColumnsRenamed({"annee": "_a", "axe": "_x"}),
+                       F.col("annee").eqNullSafe(F.col("_a")) & (F.col("axe") == F.col("_x")))
+            .select("annee", "axe", "n_exact", near.alias("dans_la_borne")))
+
+
 @query("kpi_top_diagnosis", oracle("v_line", f"""
 SELECT CASE WHEN trim(code) = '' THEN 'UNKNOWN' ELSE code END AS diag_id, count(*) AS nb FROM v_line
 WHERE annee = {YEAR} GROUP BY 1 ORDER BY nb DESC, diag_id LIMIT 10"""))

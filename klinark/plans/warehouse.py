@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from klinark.functions.fixed_values import UNKNOWN_GEO
 from klinark.operators import checks
 from klinark.operators.keymap import stable_keys
-from klinark.operators.layout import analyse, ensure_zones, gather, replace_batch, write_fact, write_table
+from klinark.operators.layout import analyse, ensure_zones, gather, replace_batch, write_fact, write_partitions, write_table
 from klinark.operators.privacy import build_mapping
 from klinark.operators.rows import REASON, classify
 from klinark.plans import dimensions, facts
+from klinark.plans.files import line_rules
 from klinark.schemas import BUCKET_KEYS, BUCKETS, DIMENSION_KEYS, FACTS, FORBIDDEN, SURROGATES, enforce_schema
 from klinark.session import stage
 
@@ -50,7 +53,8 @@ class Settings:
     consultation_key: tuple[str, ...] = tuple(facts.CONSULTATION_KEY)
     consultation_order: tuple[str, ...] = facts.CONSULTATION_ORDER
     stay_order: tuple[str, ...] = ("identifiant_organisation", "code_diagnostic", "jours")
-    thresholds: dict[str, tuple[str, float]] = field(default_factory=lambda: {"ecart_pct": ("max", 0.0)})
+    thresholds: dict[str, tuple[str, float]] = field(default_factory=lambda: {
+        "ecart_pct": ("max", 0.0), "variation_pct": ("max", 10.0), "taux_min_pct": ("min", 90.0)})
     buckets: dict[str, int] = field(default_factory=dict)  # per fact, BUCKETS where it is not named
 
 
@@ -60,14 +64,20 @@ def stage_source(name: str, classified: DataFrame) -> DataFrame:
     return stage(classified.withColumn("statut", outcome), name, ("statut",))
 
 
+def classified(source: DataFrame, rules: list) -> DataFrame:
+    """A source with the first reason that rejects each row; malformed lines of files come first."""
+    return classify(source, line_rules(source) + rules)
+
+
 def load_fact(spark: SparkSession, name: str, staged: DataFrame, build: Callable[[DataFrame], DataFrame],
-              keys: list[str], natural: list[str] | None, settings: Settings,
-              years: list[int] | None = None) -> DataFrame:
+              keys: list[str], natural: list[str] | None, settings: Settings, years: list[int] | None = None,
+              dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """Load one fact and its rejects from a staged source; return the count per outcome.
 
     Rejects overwrite their own batch, so a rerun does not double them. `natural` names the columns of `build`
     whose values, with the year, keep their surrogate key from one load to the next (None: the whole row).
-    `years` are replaced even where no row of them is loaded.
+    `years` are replaced even where no row of them is loaded. `dims` maps foreign keys of the fact to frames
+    with their known values, for the gate on match rates.
     """
     columns = [c for c in staged.columns if c not in (REASON, "statut")]
     rejects = (staged.filter("statut = 'rejete'")
@@ -90,8 +100,13 @@ def load_fact(spark: SparkSession, name: str, staged: DataFrame, build: Callable
     summary = stage(counts.select(F.lit(name).alias("fait"), "bronze", "charge", "doublons", "rejets",
                          written.alias("gold"),
                          (F.abs("ecart") + F.abs(written - F.col("charge"))).alias("ecart")), f"{name}-bilan")
+    rates = [checks.match_rate(fact, fk, known, fk, fk).select("taux_pct") for fk, known in (dims or {}).items()]
+    worst = checks.stack(rates).agg(F.min("taux_pct")).first()[0] if rates else None
+    volumes = fact.groupBy("annee").agg(F.count("*").alias("n"))
     line = summary.select((100.0 * F.col("ecart") / F.greatest(F.col("bronze"), F.lit(1))).alias("ecart_pct"),
-                          (100.0 * F.col("gold") / F.greatest(F.col("bronze"), F.lit(1))).alias("part_chargee_pct"))
+                          (100.0 * F.col("gold") / F.greatest(F.col("bronze"), F.lit(1))).alias("part_chargee_pct"),
+                          F.lit(volume_change(spark, name, volumes, years, settings)).alias("variation_pct"),
+                          F.lit(100.0 if worst is None else float(worst)).alias("taux_min_pct"))
     audit = f"{settings.root}/{settings.staging}/audit"
     try:
         checks.enforce(checks.gates(line, settings.thresholds))
@@ -99,10 +114,29 @@ def load_fact(spark: SparkSession, name: str, staged: DataFrame, build: Callable
         checks.audit_row(fact, "build_gold", name, "FAILED").write.mode("append").parquet(audit)
         raise
     publish(spark, fact, name, settings, years)
+    write_partitions(volumes.withColumn("fait", F.lit(name)), f"{settings.root}/{settings.staging}/volumes", ["fait", "annee"])
     checks.audit_row(fact, "build_gold", name, "SUCCESS").write.mode("append").parquet(audit)
     return summary
 
 
+def volume_change(spark: SparkSession, name: str, volumes: DataFrame, years: list[int] | None, settings: Settings) -> float:
+    """Change in percent of the rows of the years loaded now against the last load of these years that was published.
+
+    Years that are new are no change; 0 at the first load.
+    """
+    try:
+        before = spark.read.parquet(f"{settings.root}/{settings.staging}/volumes").filter(F.col("fait") == name)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0.0
+    now = {r.annee: r.n for r in volumes.collect()}  # one row per year
+    now = {**dict.fromkeys(years or [], 0), **now}
+    held = {r.annee: r.n for r in before.filter(F.col("annee").isin(*now)).collect()} if now else {}
+    total = sum(held.values())
+    return 100.0 * abs(sum(now[year] for year in held) - total) / total if total else 0.0
+
+
 def publish(spark: SparkSession, fact: DataFrame, name: str, settings: Settings, years: list[int] | None = None) -> None:
     """Replace the years of a checked fact (and `years`) in the gold zone; the other years keep their files."""
     write_fact(fact, f"{settings.gold}.{name}", BUCKET_KEYS.get(name, ()), settings.buckets.get(name, BUCKETS), years=years)
@@ -120,29 +154,34 @@ def build_gold(spark: SparkSession, sources: Sources, settings: Settings) -> Dat
     surveyed = sources.surveys.select(F.col("finess_geo").alias("etab_id"),
                                       F.col("rs_finess_geo").alias("nom_etab"), "region")
     staged = {
-        "fait_consultation": stage_source("fait_consultation", classify(
+        "fait_consultation": stage_source("fait_consultation", classified(
             sources.consultations, facts.consultation_rules(settings.first_year, settings.last_year))),
-        "fait_hospitalisation": stage_source("fait_hospitalisation", classify(
+        "fait_hospitalisation": stage_source("fait_hospitalisation", classified(
             sources.stays, facts.stay_rules(settings.first_year, settings.last_year)))}
     admitting = staged["fait_hospitalisation"].select(F.col("identifiant_organisation").alias("etab_id"))
     establishments = save(dimensions.establishment(surveyed, admitting, geography), "dim_etablissement")
     official = establishments if sources.sites is None else sources.sites.select("etab_id").distinct()
 
     key = list(settings.consultation_key)
+    located = geography.select("geo_id").filter(F.col("geo_id") != UNKNOWN_GEO)
+    key_values = lambda df, column, name: df.select(F.col(column).cast("string").alias(name)).distinct()
     results = [
         load_fact(spark, "fait_consultation", staged["fait_consultation"],
                   lambda valid: facts.shape_consultations(valid, settings.master, settings.seed, key, settings.consultation_order),
-                  key, key, settings),
+                  key, key, settings, dims={"prof_id": key_values(sources.professionals, "identifiant", "prof_id")}),
         load_fact(spark, "fait_hospitalisation", staged["fait_hospitalisation"],
                   lambda valid: facts.shape_stays(valid, settings.master, settings.seed, settings.stay_order),
-                  facts.STAY_KEY, ["patient_id", "num_hospitalisation", "date_id"], settings),
-        load_fact(spark, "fait_satisfaction", stage_source("fait_satisfaction", classify(
+                  facts.STAY_KEY, ["patient_id", "num_hospitalisation", "date_id"], settings,
+                  dims={"etab_id": establishments.select("etab_id")}),
+        load_fact(spark, "fait_satisfaction", stage_source("fait_satisfaction", classified(
                       facts.flag_known_sites(sources.surveys, official), facts.survey_rules())),
                   lambda valid: facts.shape_surveys(valid, geography, settings.campaign),
-                  ["finess_geo"], ["etab_id"], settings, [settings.campaign]),
-        load_fact(spark, "fait_deces", stage_source("fait_deces", classify(
+                  ["finess_geo"], ["etab_id"], settings, [settings.campaign],
+                  {"etab_id": establishments.select("etab_id"), "geo_id": located}),
+        load_fact(spark, "fait_deces", stage_source("fait_deces", classified(
                       sources.deaths, facts.death_rules(settings.first_death_year))),
-                  lambda valid: facts.shape_deaths(valid, sources.departments), [], None, settings),
+                  lambda valid: facts.shape_deaths(valid, sources.departments), [], None, settings,
+                  dims={"geo_id": located}),
     ]
     for name in SURROGATES:
         analyse(spark, f"{settings.gold}.{name}")
