@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from klinark.functions.values import percent
 from klinark.operators.joins import lookup
-from klinark.operators.rows import REASON
+from klinark.operators.rows import REASON, accepted, duplicates, rejected
 
 
 class GateFailed(ValueError):
@@ -133,6 +133,17 @@ def reconcile(classified: DataFrame, keys: list[str]) -> DataFrame:
         .withColumn("ecart", F.col("bronze") - F.col("charge") - F.col("doublons") - F.col("rejets")))
 
 
+def reconcile_written(source: DataFrame, classified: DataFrame, fact: DataFrame, keys: list[str]) -> DataFrame:
+    """One row as `reconcile`, but each term is counted from its own table: `ecart` shows rows that were lost or doubled."""
+    valid = accepted(classified)
+    total = lambda df, count: df.agg(F.coalesce(count, F.lit(0)).cast("long")).scalar()
+    return (source.agg(F.count("*").alias("bronze"))
+            .select("bronze", total(fact, F.count("*")).alias("charge"),
+                    total(duplicates(valid, keys), F.sum("n_doublons")).alias("doublons"),
+                    total(rejected(classified), F.count("*")).alias("rejets"))
+            .withColumn("ecart", F.col("bronze") - F.col("charge") - F.col("doublons") - F.col("rejets")))
+
+
 def reconcile_stages(stages: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Rows and distinct values of the given columns, stage by stage."""
     return stack([df.agg(F.count("*").alias("n_lignes"),

@@ -13,7 +13,7 @@ from klinark.functions.values import month_start, parse_iso
 from klinark.operators import checks, privacy, profiling
 from klinark.plans.dimensions import geography
 from klinark.plans.facts import (
-    clean_consultations, clean_deaths, clean_stays, clean_surveys, number_deaths, type_stays,
+    STAY_KEY, clean_consultations, clean_deaths, clean_stays, clean_surveys, number_deaths, type_stays,
     type_surveys,
 )
 from klinark.plans.registry.base import query
@@ -24,6 +24,7 @@ from klinark.plans.standins import (
     departments, sites, stays, surveys, table, visits,
 )
 from klinark.schemas import FORBIDDEN
+from klinark.session import stage
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -208,7 +209,10 @@ SELECT bronze, charge, bronze - rejets - charge AS doublons, rejets, CAST(0 AS B
   SELECT (SELECT count(*) FROM v_stay_reason) AS bronze, (SELECT count(*) FROM v_stay_ok) AS charge,
          (SELECT count(*) FROM v_stay_reason WHERE raison_rejet IS NOT NULL) AS rejets)"""))
 def dq_reconcile(spark, folder):
-    return checks.reconcile(classified_stays(spark, folder), ["id_patient", "num_hospitalisation", "date_entree"])
+    """Source, rejects, duplicates and fact are each counted on their own, so a lost row shows."""
+    classified = stage(classified_stays(spark, folder), "sejours-classes")
+    fact = stage(stay_fact(spark, folder), "sejours-fait")
+    return checks.reconcile_written(stays(spark, folder), classified, fact, STAY_KEY)
 
 
 @query("dq_reconcile_stages", oracle("v_stay v_stay_ok", """
