@@ -174,14 +174,16 @@ def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", name: str = "de
 
 
 def round_trip(docs: DataFrame, tokens: list[bytes], pattern: str, doc_id: str = "doc_id",
-               text: str = "text") -> DataFrame:
+               text: str = "text", copies: str | None = None) -> DataFrame:
     """Encode every document, decode the ids, and give digests of both.
 
-    Returns (doc_id, n_tokens, ids_sha256, decoded_sha256). A null text counts as empty: no
+    Returns (doc_id, n_tokens, ids_sha256, decoded_sha256), as often as the column `copies` says, once without it. A null text counts as empty: no
     token, the digests of nothing. Repeated rows and null ids each give their row; other
     columns are ignored.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    often = F.lit(1) if copies is None else F.col(copies)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                       often.cast("long").alias("copies"))
     shared = _shared(docs, tokens, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,12 +191,15 @@ def round_trip(docs: DataFrame, tokens: list[bytes], pattern: str, doc_id: str =
         for batch in slices(batches, 500):
             ids = codec.encode(batch["text"].to_pylist())
             decoded = [codec.decode(own) for own in ids]
-            yield pa.record_batch([batch["doc_id"], _lists(ids), pa.array(decoded, pa.binary())],
-                                  names=["doc_id", "ids", "decoded"])
+            yield pa.record_batch([batch["doc_id"], batch["copies"], _lists(ids), pa.array(decoded, pa.binary())],
+                                  names=["doc_id", "copies", "ids", "decoded"])
 
     # one Python worker per task does both ways
-    both = rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
-    return both.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    both = rows.mapInArrow(run, "doc_id long, copies long, ids array<int>, decoded binary")
+    digests = both.select(
+        "doc_id", "copies", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+    if copies is None:
+        return digests.drop("copies")
+    return digests.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")

@@ -13,6 +13,7 @@ from klinark.session import stage
 
 SECTIONS = 64  # exponents that one pass over the sources tries
 ROUNDS = 6     # passes; each narrows the interval 64-fold
+HOT = 256      # a source with one in so many rows is hot; there are at most as many of these
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -80,7 +81,8 @@ def quotas(docs: DataFrame, target: Target, budget: int | None, source: str, tok
     weights; without one, the budget is the least that gives every source one full block, so that
     no document is left out. A source without tokens has one full block.
     """
-    sources = stage(docs.groupBy(F.col(source).alias("_mix_source")).agg(F.sum(tokens).alias("tokens")), "mix-sources")
+    sources = stage(docs.groupBy(F.col(source).alias("_mix_source"))
+                    .agg(F.sum(tokens).alias("tokens"), F.count("*").alias("_mix_rows")), "mix-sources")
     a = find_exponent(sources, target)
     if budget is None:
         whole = F.pow(F.col("tokens"), a) * F.pow(sources.agg(F.max("tokens")).scalar(), 1 - a)
@@ -104,8 +106,9 @@ def mix(docs: DataFrame, target: Target, budget: int | None = None, seed: str =
     block. A document thus appears once in each block it belongs to.
 
     To find where a partial block ends, tokens are summed per source and 1/4096 of the order; only the
-    part with the end is sorted. The rows themselves are then kept or repeated where they are: the
-    join with the sources moves no text unless there are very many sources.
+    part with the end is sorted. Rows of hot sources (one in HOT rows or more, so at most HOT of them, which are broadcast)
+    are then kept or repeated where they are; those of other sources meet their source in a join in which no
+    source has a large share.
 
     A null source is a source of its own; a null or empty text has no tokens and is in every full
     block; rows with one doc_id stay together; an empty table gives no row. Columns of the names
@@ -133,9 +136,14 @@ def mix(docs: DataFrame, target: Target, budget: int | None = None, seed: str =
             .groupBy("_mix_source").agg(F.min("_key").alias("_mix_cut")))
     cuts = cuts.withColumnRenamed("_mix_source", "_c")
     plan = (plan.join(cuts, F.col("_mix_source").eqNullSafe(F.col("_c")), "left")
-            .select(F.col("_mix_source"), "_mix_full", "_mix_rest", "_mix_cut"))
-
-    joined = rows.join(plan, F.col(source).eqNullSafe(F.col("_mix_source")))
+            .select(F.col("_mix_source"), "_mix_full", "_mix_rest", "_mix_cut", "_mix_rows"))
+    plan = stage(plan.withColumn("_mix_hot", F.col("_mix_rows") * HOT >= plan.agg(F.sum("_mix_rows")).scalar()).drop("_mix_rows"), "mix-plan")
+
+    hot = plan.filter("_mix_hot")
+    same = F.col(source).eqNullSafe(F.col("_mix_source"))
+    found = rows.join(F.broadcast(hot), same, "left")
+    rare = found.filter("_mix_hot is null").drop(*plan.columns).join(plan.filter("not _mix_hot"), same)
+    joined = found.filter("_mix_hot").unionByName(rare).drop("_mix_hot")
     key = order_key(seed, F.col("_mix_full"), F.col(doc_id))
     partly = (F.col("_mix_rest") > 0) & F.coalesce(key < F.col("_mix_cut"), F.lit(True))
     count = F.col("_mix_full") + F.when(partly, F.lit(1)).otherwise(F.lit(0))

@@ -18,6 +18,7 @@ from klinark.session import stage
 TRAINING_ROWS = 20_000  # toxic and unlabelled documents that are learnt from, at most so many of each
 WORDS = 2048            # words the classifier looks at, those most typical of toxic texts
 STEPS = 600             # gradient steps
+SHRINKAGE = 0.02        # penalty on squared weights, shared by the toxic rows: few of them allow small weights only
 WORD = regex.compile(r"\p{L}+")
 
 
@@ -44,13 +45,34 @@ class ToxicModel:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
+def pu_risk(z: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[float, float]:
+    """Risk of logits z on toxic rows as such, and the corrected risk of calling unlabelled rows clean (may be negative)."""
+    p, u = toxic.astype(bool), ~toxic.astype(bool)
+    clean = np.logaddexp(0, z)
+    return prior * np.logaddexp(0, -z)[p].mean(), clean[u].mean() - prior * clean[p].mean()
+
+
+def pu_slope(z: np.ndarray, toxic: np.ndarray, prior: float) -> np.ndarray:
+    """Direction of a step for each logit: down the risk, or up its second part where that fell below 0."""
+    p, u = toxic.astype(bool), ~toxic.astype(bool)
+    s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    sign = 1.0 if pu_risk(z, toxic, prior)[1] >= 0 else -1.0
+    slope = np.zeros(len(z))
+    slope[u] += sign * s[u] / u.sum()
+    slope[p] -= sign * prior * s[p] / p.sum()
+    if sign > 0:
+        slope[p] -= prior * (1 - s[p]) / p.sum()
+    return slope
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, keys: np.ndarray, prior: float) -> ToxicModel:
     """Minimise the non-negative risk by gradient steps (Adam) with numpy.
 
     `rows` has the places of the words of each document in `keys`, `toxic` tells the confirmed
     ones; the others are unlabelled. With l the logistic loss, the risk is
     prior * E_p[l(+)] + max(0, E_u[l(-)] - prior * E_p[l(-)]). Where the second part
-    falls below 0 the step goes up its slope, so unlabelled toxic texts are not learnt as clean.
+    falls below 0 the step goes up its slope, so unlabelled toxic texts are not learnt as clean. Squared
+    weights cost SHRINKAGE divided by the number of toxic rows: scores near 0 or 1 need many of them.
     """
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     word = np.concatenate(rows) if rows else np.zeros(0, np.int64)
@@ -58,19 +80,10 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, keys: np.ndarray, prior: floa
     w, b = np.zeros(len(keys)), float(np.log(prior / (1 - prior)))
     if not p.any() or not u.any():
         return ToxicModel(keys, w, b)
-    m, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
+    m, v, shrink = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1), SHRINKAGE / p.sum()
     for step in range(1, STEPS + 1):
-        z = b + np.bincount(doc, w[word], len(rows))
-        s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss = np.logaddexp(0, z)  # of calling a document clean
-        negative = loss[u].mean() - prior * loss[p].mean()
-        slope = np.zeros(len(rows))
-        sign = 1.0 if negative >= 0 else -1.0
-        slope[u] += sign * s[u] / u.sum()
-        slope[p] -= sign * prior * s[p] / p.sum()
-        if sign > 0:
-            slope[p] -= prior * (1 - s[p]) / p.sum()
-        grad = np.append(np.bincount(word, slope[doc], len(keys)) + 1e-5 * w, slope.sum())
+        slope = pu_slope(b + np.bincount(doc, w[word], len(rows)), p, prior)
+        grad = np.append(np.bincount(word, slope[doc], len(keys)) + shrink * w, slope.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         move = 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -146,7 +159,7 @@ def add_scores(docs: DataFrame, model: ToxicModel, text: str = "text", name: str
     shared, columns = docs.sparkSession.sparkContext.broadcast(model), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 200):
             scores = pa.array([shared.value.score(t) for t in batch["_own_text"].to_pylist()], pa.float64())
             yield pa.record_batch([*batch.select(columns).columns, scores], names=[*columns, name])
     kind = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{name}` double"])
