@@ -56,8 +56,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of the mixture."""
-    return round_trip(docs, read_ranks(vocabulary_path()), PATTERN)
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of the mixture.
+
+    Equal rows are counted before they are encoded, which also deals the texts out evenly; each is written as often
+    as it was met.
+    """
+    counted = docs.groupBy("doc_id", "text").agg(F.count("*").alias("_copies"))
+    return round_trip(counted, read_ranks(vocabulary_path()), PATTERN, copies="_copies")
 
 
 STAGES = [("quality classifier", keep_good), ("toxicity", drop_toxic), ("n-gram Jaccard join", drop_near_copies),
