@@ -88,8 +88,9 @@ def main() -> None:
              "fait_hospitalisation": ("hosp_key", "nb_hospitalisation"), "fait_satisfaction": ("satisfaction_key", None)}
     for name, (key, _) in facts.items():  # five shifted years, as in the baseline
         five = shift_years(table(name), 5, key, "date_id", "annee")
-        five.write.parquet(f"{root}/flat/{name}")
-        five.repartition("annee").write.partitionBy("annee").parquet(f"{root}/part/{name}")
+        spread = five.repartition(int(cpus), key)  # both copies from one frame, in one order
+        spread.sortWithinPartitions("date_id").write.parquet(f"{root}/flat/{name}")
+        spread.repartition("annee").sortWithinPartitions("date_id").write.partitionBy("annee").parquet(f"{root}/part/{name}")
     layouts = {layout: (lambda name, layout=layout: spark.read.parquet(f"{root}/{layout}/{name}"))
                for layout in ("flat", "part")}
     for layout, fact in layouts.items():

@@ -31,10 +31,12 @@ CONSULTATION_ORDER = ("jour", "heure_debut", "heure_fin", "id_patient", "id_prof
 
 
 def type_consultations(raw: DataFrame) -> DataFrame:
-    """Typed date and duration of raw consultations (clock texts HH:mm:ss)."""
+    """Typed date and duration of raw consultations (clock texts HH:mm:ss), and one spelling per key before any comparison."""
     seconds = clock_seconds(F.col("heure_fin")) - clock_seconds(F.col("heure_debut"))
-    return (raw.withColumn("jour", parse_iso(F.col("date_consultation")))
-            .withColumn("duree_minutes", duration_minutes(seconds)))
+    return raw.withColumns({
+        "jour": parse_iso(F.col("date_consultation")), "duree_minutes": duration_minutes(seconds),
+        "num_consultation": F.trim("num_consultation"), "id_patient": canonical_id(F.col("id_patient")),
+        "id_prof_sante": F.trim("id_prof_sante"), "code_diag": F.trim("code_diag")})
 
 
 def consultation_rules(first_year: int, last_year: int):

@@ -35,9 +35,10 @@ def top_by_axis(fact: DataFrame, axis: str, measure: str, year: int | None, n: i
 
 
 def deaths_by_region(deaths: DataFrame, geography: DataFrame, year: int, n: int = 5) -> DataFrame:
-    """B7: deaths per region name of one year, top n."""
+    """B7: deaths per region name of one year, top n; keys that the dimension lacks count as INCONNU."""
     per_key = by_axis(deaths, "geo_id", "nb_deces", year)
-    named = per_key.join(geography.select("geo_id", "region"), "geo_id")
+    named = (per_key.join(geography.select("geo_id", "region"), "geo_id", "left")
+             .withColumn("region", F.coalesce("region", F.lit(UNKNOWN_GEO))))
     per_region = named.groupBy("region").agg(F.sum("nb").cast("long").alias("nb_deces"))
     return top_n(per_region, "nb_deces", "region", n)
 

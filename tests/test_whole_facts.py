@@ -78,3 +78,18 @@ def test_sites_without_a_region_are_only_in_the_national_total(spark):
     surveys = spark.createDataFrame([("R", 80), ("R", 60), (None, 10), (" ", 20)], "region string, score int")
     assert {(r.region, r.moyenne, r.diffuses, r.total) for r in cubes.satisfaction_summary(surveys).collect()} == {
         ("R", 7.0, 2, 2), ("FRANCE", 7.0, 2, 4)}
+
+
+def test_spellings_of_one_consultation_are_one_row(spark):
+    from klinark.plans import facts
+    from klinark.schemas import RAW_CONSULTATIONS
+    visit = lambda number, patient: (number, "m", patient, " d1", "S52", "", "1999-01-01", "08:00:00", "08:30:00")
+    raw = spark.createDataFrame([visit("1", "p1"), visit(" 1 ", "P1 "), visit("2", "p1")], RAW_CONSULTATIONS)
+    fact = facts.clean_consultations(facts.type_consultations(raw), "m", "s", 1990, 2000)
+    assert sorted((r.num_consultation, r.prof_id) for r in fact.collect()) == [("1", "d1"), ("2", "d1")]
+
+
+def test_deaths_outside_the_dimension_count(spark):
+    deaths = spark.createDataFrame([("01", 2, 1999), ("77", 1, 1999)], "geo_id string, nb_deces int, annee int")
+    geography = spark.createDataFrame([("01", "R")], "geo_id string, region string")
+    assert {(r.region, r.nb_deces) for r in kpi.deaths_by_region(deaths, geography, 1999).collect()} == {("R", 2), ("INCONNU", 1)}
