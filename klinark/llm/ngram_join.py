@@ -434,11 +434,16 @@ def _sets(size: int, heavy):
                         ("root", pa.binary()), ("cls", pa.binary()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = heavy.value
+        order, sent = heavy.value, set()  # a row that is repeated very often sends its class once per task
         for batch in slices(batches):
-            sets = shingle_sets(batch["text"], size)
             names = batch["cls"].to_pylist()
-            real = [k for k, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == names[k]]
+            new = [k for k, name in enumerate(names) if name not in sent]
+            batch = batch.take(pa.array(new, pa.int64()))
+            sets, names, real = shingle_sets(batch["text"], size), batch["cls"].to_pylist(), []
+            for k, s in enumerate(sets):
+                if names[k] not in sent and xxhash.xxh3_128_digest(s.tobytes()) == names[k]:
+                    real.append(k)
+                    sent.add(names[k])
             if real:
                 rows = batch.take(pa.array(real))
                 grams = pa.array([_ordered(sets[k], order).tobytes() for k in real], pa.binary())
@@ -488,7 +493,9 @@ def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                 .withColumn("other", other)
                 .withColumn("block", F.least("own", "other") * F.coalesce("parts", F.lit(1)) + F.greatest("own", "other")))
 
-    sketches = described.filter("not is_gram").select("row_key", "cls", "sketch")
+    # one row for each set of an id, however often its row is repeated
+    sketches = (described.filter("not is_gram and cls is not null").groupBy("row_key", "cls")
+                .agg(F.first("sketch").alias("sketch")))
     run, kind = _candidates(percent)
     candidates = stage(blocks(meetings).select("grp", "block", "cls", "n").join(classes.select("cls", "row_key"), "cls")
                        .join(sketches, ["row_key", "cls"]).select("grp", "block", "cls", "n", "sketch")
