@@ -74,13 +74,13 @@ def top_products(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector:
     data row goes to the groups where its upper bound c.p + u|p| + r(|c| + u) reaches it. There, in
     blocks of bounded size, products are exact.
 
-    Vectors that are null, empty or hold a null or non-finite component take no part; equal rows count
-    once; different vectors of one id are each a candidate and, if the id is a query's, each asked for, the
+    Vectors that are null, empty or hold a null or non-finite component take no part; equal rows are each a
+    candidate and each a query; different vectors of one id are each a candidate and, if the id is a query's, each asked for, the
     best finds of all counting; shorter vectors count as padded with zeros; fewer than k
     candidates give all; ties go to the smaller id; other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = stage(quantised(usable(vectors, vec_id, vector), scale), "topk-vectors")
+    rows = stage(quantised(usable(vectors, k, vec_id, vector), scale), "topk-vectors")
     total, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
     if not picked:

@@ -101,14 +101,14 @@ def _pack(frame: pd.DataFrame, width: int) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, width: int, k: int, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """One row per shard: its distinct vectors, their smallest k + 1 ids, and the graph.
+    """One row per shard: its distinct vectors, their smallest k + 1 ids (as often as they are held), and the graph.
 
     Equal vectors are one node, so a vector that very many rows hold neither fills a shard nor
     closes the graph; the ids beyond the k + 1 smallest can be in no result. Shards are a hash of the
     vector, as many as keep them at about `shard_rows` nodes.
     """
     least = Window.partitionBy("x").orderBy("vec_id")
-    nodes = stage(vectors.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1)
+    nodes = stage(vectors.withColumn("n", F.dense_rank().over(least)).filter(F.col("n") <= k + 1)
                   .groupBy("x").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "ann-nodes")
     shards = max(1, -(-nodes.count() // shard_rows))
 
@@ -135,12 +135,12 @@ def nearest_cosine(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vecto
     the cosine in double precision, ties by the smaller id.
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part; equal rows
-    count once; different vectors of one id are each a candidate and, if the id is a query's, each asked for,
+    are each a candidate and each a query; different vectors of one id are each a candidate and, if the id is a query's, each asked for,
     the best finds of all counting; shorter vectors count as padded with zeros;
     fewer than k candidates give all that are found; other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = stage(usable(vectors, vec_id, vector).filter(F.exists("x", lambda v: v != 0)), "ann-vectors")
+    rows = stage(usable(vectors, k, vec_id, vector).filter(F.exists("x", lambda v: v != 0)), "ann-vectors")
     width = rows.agg(F.coalesce(F.max(F.size("x")), F.lit(0))).first()[0]
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -170,7 +170,7 @@ def nearest_cosine(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vecto
                 for own, v in zip(q_ids.tolist(), q):
                     size = np.sqrt(v @ v)
                     nodes, _ = beam_search(unit, edges, row.start, v / size, beam)
-                    nodes = [n for n in nodes if counts[n] > 1 or ids[n][0] != own][:3 * k + 3]
+                    nodes = [n for n in nodes if ids[n][0] != own or ids[n][-1] != own][:3 * k + 3]
                     scores = (x[nodes] @ v) / (length[nodes] * size)
                     out += [(own, i, s) for n, s in zip(nodes, scores.tolist()) for i in ids[n].tolist() if i != own]
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
