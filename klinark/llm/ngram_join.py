@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from klinark.llm.shared import components, shingle_sets, slices, small_batches, whole_groups
+from klinark.llm.shared import bounded_groups, components, shingle_sets, slices, small_batches, whole_groups
 from klinark.session import stage
 
 HEAVY_GRAMS = 1 << 18       # most frequent n-grams that are placed last, by frequency (size of a broadcast)
@@ -198,10 +198,19 @@ def _may_link(n: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _groups(percent: int):
-    schema = pa.schema([("grp", pa.binary()), ("cls", pa.binary()), ("n", pa.int64())])
+    """Meetings of the members of each n-gram and block; of a block that outgrows the limit, its members.
+
+    The members come back with gram, block and at, for another cut; in meetings these are null.
+    """
+    schema = pa.schema([("grp", pa.binary()), ("cls", pa.binary()), ("n", pa.int64()), ("gram", pa.int64()),
+                        ("block", pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tab, bounds in whole_groups(batches, ["gram", "block"]):
+        for tab, bounds in bounded_groups(batches, ["gram", "block"], 5 * GROUP_ROWS // 2):
+            if bounds is None:
+                yield pa.record_batch([pa.nulls(tab.num_rows, pa.binary()),
+                                       *[tab[f.name].combine_chunks().cast(f.type) for f in list(schema)[1:]]], schema=schema)
+                continue
             sizes, places = tab["n"].to_numpy(), tab["at"].to_numpy()
             names = tab["cls"].combine_chunks()
             out: list[tuple] = []
@@ -220,8 +229,35 @@ def _groups(percent: int):
                     name = xxhash.xxh3_128_digest(b"".join(own[k] for k in kept))
                     out += [(name, own[k], int(n[k])) for k in kept]
             if out:
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-    return run, "grp binary, cls binary, n long"
+                found = [pa.array(c, f.type) for c, f in zip(zip(*out), schema)]
+                yield pa.record_batch([*found, *[pa.nulls(len(out), pa.int64())] * 3], schema=schema)
+    return run, "grp binary, cls binary, n long, gram long, block long, at long"
+
+
+def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
+    """(grp, cls, n) of all meetings; n-grams with many members are cut into blocks of which every two meet.
+
+    Frequent n-grams of the list come cut already. Any other n-gram with many members is read through as a
+    stream, and its members, counted now, are cut in the same way; nothing depends on the list being complete.
+    """
+    run, kind = _groups(percent)
+
+    def meet(members: DataFrame, label: str) -> DataFrame:
+        return stage(members.repartition("gram", "block").sortWithinPartitions("gram", "block", "cls")
+                     .mapInArrow(run, kind).distinct(), label)
+
+    found = meet(prefixes, "ngram-meetings")
+    meetings, level = found.filter("grp is not null"), 0
+    while not found.filter("grp is null").isEmpty():
+        crowded, level = found.filter("grp is null"), level + 1
+        parts = (crowded.groupBy("gram", "block").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts")))
+        own = F.pmod(F.xxhash64("cls", "gram", F.lit(level)), F.col("parts"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+        cut = (crowded.join(parts, ["gram", "block"]).withColumn("own", own).withColumn("other", other)
+               .withColumn("block", F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"))))
+        found = meet(cut.select("gram", "block", "cls", "n", "at"), f"ngram-crowded-{level}")
+        meetings = meetings.unionByName(found.filter("grp is not null"))
+    return meetings.select("grp", "cls", "n")
 
 
 # --- pass 3: sketches rule out most members ------------------------------------------------
@@ -464,9 +500,7 @@ def _class_roots(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
 
     run, kind = _prefixes(size, percent, heavy)
     prefixes = rows.select("text").mapInArrow(run, kind)
-    run, kind = _groups(percent)
-    meetings = stage(prefixes.repartition("gram", "block").sortWithinPartitions("gram", "block", "cls")
-                     .mapInArrow(run, kind).distinct(), "ngram-meetings")
+    meetings = _meetings(prefixes, percent)
     classes = sets.filter("cls is not null").groupBy("cls").agg(F.min("row_key").alias("row_key"),
                                                                F.min("doc_id").alias("doc_id"))
 
@@ -574,8 +608,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
     than the set. In these groups the whole sets meet in a prefix tree (`PrefixTree`). First each class visits its fullest
     meeting only, a few times; a meeting is settled once its members have one component or have
     all made the same visit. Then the members of the others meet, all of them. Frequent n-grams and large meetings are cut into blocks
-    of which every two meet, and no link is lost. The list of frequent n-grams is bounded: members of one
-    that is left out of it meet in one task, however many they are.
+    of which every two meet, and no link is lost. An n-gram that the bounded list of frequent ones leaves
+    out is cut once its members turn out to be many (`_meetings`).
 
     Nulls and oddities: a null or word-less text has n_shingles 0 and links with nothing (its
     component is its own doc_id); a null doc_id is never a component's name, a component with null

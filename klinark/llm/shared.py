@@ -94,23 +94,24 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.R
             yield batch.take(pa.array(range(start, min(start + rows, batch.num_rows))))
 
 
+def group_starts(tab: pa.Table, keys: list[str]) -> np.ndarray:
+    """Rows of a sorted table at which a group begins."""
+    changed = np.zeros(tab.num_rows, bool)
+    changed[:1] = True
+    for key in keys:
+        column = tab[key].combine_chunks()
+        changed[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(changed)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Cut sorted batches into tables that hold only whole groups, with the group bounds."""
     waiting: list[pa.Table] = []
-
-    def starts(tab: pa.Table) -> np.ndarray:
-        changed = np.zeros(tab.num_rows, bool)
-        changed[:1] = True
-        for key in keys:
-            column = tab[key].combine_chunks()
-            changed[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-        return np.flatnonzero(changed)
-
     for batch in batches:
         if not batch.num_rows:
             continue
         tab = pa.Table.from_batches([batch])
-        cut = int(starts(tab)[-1])
+        cut = int(group_starts(tab, keys)[-1])
         same = waiting and all(waiting[-1][k][-1].as_py() == tab[k][0].as_py() for k in keys)
         if cut == 0 and (same or not waiting):
             waiting.append(tab)
@@ -118,10 +119,38 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         ready = pa.concat_tables([*waiting, tab.slice(0, cut)])
         waiting = [tab.slice(cut)]
         if ready.num_rows:
-            yield ready, np.append(starts(ready), ready.num_rows)
+            yield ready, np.append(group_starts(ready, keys), ready.num_rows)
     if waiting:
         ready = pa.concat_tables(waiting)
-        yield ready, np.append(starts(ready), ready.num_rows)
+        yield ready, np.append(group_starts(ready, keys), ready.num_rows)
+
+
+def bounded_groups(batches: Iterator[pa.RecordBatch], keys: list[str],
+                   limit: int) -> Iterator[tuple[pa.Table, np.ndarray | None]]:
+    """Like `whole_groups`, but a group that outgrows `limit` rows comes in pieces, with None for the bounds.
+
+    Whatever the size of a group, a task holds about `limit` rows and one batch.
+    """
+    waiting, in_pieces = None, False  # the rows of the last group so far; of one in pieces only the last row
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tab = pa.Table.from_batches([batch])
+        tab = tab if waiting is None else pa.concat_tables([waiting, tab])
+        at = group_starts(tab, keys)
+        if in_pieces and len(at) > 1:
+            yield tab.slice(0, int(at[1])), None
+            tab, at, in_pieces = tab.slice(int(at[1])), at[1:] - at[1], False
+        last = int(at[-1])
+        if last:
+            yield tab.slice(0, last), at
+        waiting = tab.slice(last)
+        if in_pieces or waiting.num_rows > limit:
+            if waiting.num_rows > 1:
+                yield waiting.slice(0, waiting.num_rows - 1), None
+            waiting, in_pieces = waiting.slice(waiting.num_rows - 1), True
+    if waiting is not None:
+        yield waiting, None if in_pieces else np.array([0, waiting.num_rows])
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
