@@ -63,23 +63,34 @@ def number_slots(digests: DataFrame, shard: str, key: str, name: str = "slot") -
     """Number the rows of each shard 0, 1, 2, ... by (bucket of the key, all columns).
 
     Equal rows are counted before the shuffle and written out again at the end, so a group
-    of them is never sorted. Each shard is cut into 4,096 buckets by the key; a bucket is
-    numbered by itself and starts where the ones before it end. The starts are one row per
-    shard and bucket.
+    of them is never sorted. Each shard is cut into 4,096 buckets by the key, each bucket into runs
+    of rows with the same values in the first two columns. A run is numbered by itself and starts
+    where the ones before it end; so rows of one key with many different texts are sorted
+    by many tasks. The starts are one row per run.
     """
     columns = digests.columns
+    leading = columns[:2]
     bucket = _high_bits(_next_state(_unsigned(F.col(key))), 12)
     counted = stage(digests.withColumn("_bucket", bucket).groupBy("_bucket", *columns)
                     .agg(F.count("*").alias("_count")), "slots")
-    before = Window.partitionBy(shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (counted.groupBy(shard, "_bucket").agg(F.sum("_count").alias("_total"))
-              .select(shard, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start")))
-    inside = (Window.partitionBy(shard, "_bucket").orderBy(*[F.col(c) for c in columns])
-              .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (counted.withColumn("_inside", F.coalesce(F.sum("_count").over(inside), F.lit(0)))
-              .join(starts, [shard, "_bucket"]))
+    past = (Window.unboundedPreceding, -1)
+
+    def before(total: str, window) -> Column:
+        return F.coalesce(F.sum(total).over(window.rowsBetween(*past)), F.lit(0))
+
+    runs = counted.groupBy(shard, "_bucket", *leading).agg(F.sum("_count").alias("_total"))
+    buckets = runs.groupBy(shard, "_bucket").agg(F.sum("_total").alias("_all"))
+    buckets = buckets.select(shard, "_bucket", before("_all", Window.partitionBy(shard).orderBy("_bucket")).alias("_first"))
+    in_bucket = Window.partitionBy(shard, "_bucket").orderBy(*leading)
+    starts = (runs.withColumn("_past", before("_total", in_bucket)).join(buckets, [shard, "_bucket"])
+              .select((F.col("_first") + F.col("_past")).alias("_start"),
+                      *[F.col(c).alias(f"_own_{k}") for k, c in enumerate([shard, "_bucket", *leading])]))
+    in_run = Window.partitionBy(shard, "_bucket", *leading).orderBy(*[F.col(c) for c in columns])
+    placed = counted.withColumn("_inside", before("_count", in_run))
+    same = [placed[c].eqNullSafe(starts[f"_own_{k}"]) for k, c in enumerate([shard, "_bucket", *leading])]
     first = F.col("_start") + F.col("_inside")
-    return placed.select(*columns, F.explode(F.sequence(first, first + F.col("_count") - 1)).alias(name))
+    return (placed.join(starts, same)
+            .select(*[placed[c] for c in columns], F.explode(F.sequence(first, first + F.col("_count") - 1)).alias(name)))
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
