@@ -1,14 +1,16 @@
-"""Where the public vocabulary lies, and the fixed values that go with it."""
+"""Where the public vocabulary lies, and the pattern that goes with it."""
 
 from __future__ import annotations
 
 import os
 
-# Fixed value: the pattern that splits text before the merges of the rank file.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+import public_tokenizers
+
+PATTERN = public_tokenizers.PATTERN  # splits text before the merges of the rank file
 EOD = 50256  # free id that closes a document
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken", folder: str | None = None) -> str:
     """Path of a vocabulary file; it is read on the driver only."""
-    return os.path.join(folder or os.environ.get("TOKENIZERS", "/opt/tokenizers"), name)
+    folder = folder or os.environ.get("TOKENIZERS")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
