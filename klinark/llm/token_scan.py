@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from klinark.llm.shared import small_batches
-from klinark.session import stage
+from klinark.session import stage, staging_path
 
 BLOCK_TOKENS = 1 << 18  # tokens of a block
+TASK_BYTES = 1 << 27    # bytes of token files that one task reads
 BATCH_ROWS = 1000       # documents of an Arrow batch
 RUN_BLOCKS = 1024       # blocks that one window of the prefix scan holds
 
@@ -61,21 +65,85 @@ def write_tokens(encoded: DataFrame, eod: int, width: int, key: str = "doc_id",
     return encoded.select(key, ids).mapInArrow(run, "file long, block long, tokens binary, keys array<long>")
 
 
+def _flat(lists: pa.Array, eod: int, width: int) -> bytes:
+    """Documents one after the other, each closed by `eod`, as little-endian numbers of `width` bytes."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = pc.list_flatten(lists)
+    values = ids.to_numpy(zero_copy_only=False)
+    if ids.null_count or (len(values) and (values.min() < 0 or values.max() >= 1 << 8 * width or (values == eod).any())):
+        raise ValueError(f"token ids are numbers of {width} bytes other than {eod}")
+    out = np.full(len(values) + len(lengths), eod, f"<u{width}")
+    own = np.ones(len(out), bool)
+    own[np.cumsum(lengths + 1) - 1] = False
+    out[own] = values
+    return out.tobytes()
+
+
+def _located(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def write_token_files(encoded: DataFrame, folder: str, eod: int, width: int, key: str = "doc_id",
+                      ids: str = "ids") -> DataFrame:
+    """Write flat binary token files below `folder`; rows (file, doc, key) name the documents of each, in order.
+
+    Each task writes one file of nothing but tokens: no offset, no length. A repeated attempt of a task
+    writes a file of its own, and only the files that the rows name count, so stage the rows
+    before use. A null list is a document without tokens; ids that are null, equal to `eod` or too large for
+    `width` bytes are an error. `folder` is a URI that pyarrow opens (local, hdfs, s3, gs).
+    """
+    place, root = _located(folder)
+    place.create_dir(root, recursive=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.bin"
+        file, doc = None, 0
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                if file is None:
+                    place, root = _located(folder)
+                    file = place.open_output_stream(f"{root.rstrip('/')}/{name}")
+                file.write(_flat(batch[ids], eod, width))
+                k = batch.num_rows
+                yield pa.record_batch([pa.array([name] * k), pa.array(range(doc, doc + k), pa.int64()), batch[key]],
+                                      names=["file", "doc", "key"])
+                doc += k
+        finally:
+            if file is not None:
+                file.close()
+
+    kind = encoded.schema[key].dataType.simpleString()
+    return encoded.select(key, ids).mapInArrow(run, f"file string, doc long, key {kind}")
+
+
 def read_token_files(spark: SparkSession, path: str, width: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of flat binary token files (file, block, tokens); a file has at most 1 GB, as token shards do.
+    """Blocks of flat binary token files (file, block, tokens), read by byte ranges; a file may have any size.
 
-    A file is named by its path.
+    A file is named by its path. Spark lists the files; each task then opens its ranges, which are dealt out evenly,
+    so neither a file nor the list of ranges is held whole anywhere.
     """
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
+    files = (spark.read.format("binaryFile").load(path)
+             .select(F.col("path").alias("file"), "length").filter("length > 0"))  # contents stay unread
     step = block_tokens * width
+    total = files.agg(F.sum("length")).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    last = F.floor((F.col("length") - 1) / step)
+    ranges = files.select("file", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch["file"].to_pylist(), batch["content"].to_pylist()):
-                for k in range(0, len(content), step):
-                    yield pa.record_batch([[file], [k // step], [content[k:k + step]]], names=["file", "block", "tokens"])
+            for file, block in zip(batch["file"].to_pylist(), batch["block"].to_pylist()):
+                place, at = _located(file)
+                with place.open_input_file(at) as opened:
+                    content = opened.read_at(min(step, opened.size() - block * step), block * step)
+                yield pa.record_batch([[file], [block], [content]], names=["file", "block", "tokens"])
 
-    return files.mapInArrow(run, "file string, block long, tokens binary")
+    return ranges.repartition(parts, "file", "block").mapInArrow(run, "file string, block long, tokens binary")
 
 
 def _summaries(eod: int, width: int, with_keys: bool, file: str):
@@ -156,7 +224,15 @@ def scan_documents(blocks: DataFrame, eod: int, width: int) -> DataFrame:
 
 
 def document_tokens(encoded: DataFrame, eod: int, width: int, doc_id: str = "doc_id") -> DataFrame:
-    """Write documents as token files in the shared folder, then count each one's tokens from the files."""
-    with small_batches(encoded.sparkSession, BATCH_ROWS):
-        files = stage(write_tokens(encoded, eod, width, doc_id), "token-files")
-    return scan_documents(files, eod, width).select(F.col("key").alias(doc_id), "n_tokens")
+    """Write documents as flat token files in the shared folder, then count each one's tokens from the files.
+
+    The scan sees nothing but the bytes of the files. Which document is the n-th of a file is in a table
+    beside them, joined at the end. Repeated ids each keep their row; an empty table gives none.
+    """
+    spark = encoded.sparkSession
+    folder = staging_path(spark, "token-files")
+    with small_batches(spark, BATCH_ROWS):
+        names = stage(write_token_files(encoded, folder, eod, width, doc_id), "token-names")
+        blocks = read_token_files(spark, folder, width)
+        counted = scan_documents(blocks, eod, width).withColumn("file", F.substring_index("file", "/", -1))
+    return names.join(counted, ["file", "doc"], "left").select(F.col("key").alias(doc_id), "n_tokens")
