@@ -62,15 +62,17 @@ def kpi_distinct_sketches(spark, folder):
     axes = {"patients": "id_patient", "professionnels": "id_prof_sante", "diagnostics": "code_diag"}
     events = visits(spark, folder)
     per_year = stage(sketches(events, ["annee"], axes), "esquisses")
-    total = merge(per_year, [], list(axes)).withColumn("annee", F.lit(None).cast("int"))
-    found = (estimates(per_year.unionByName(total), list(axes)).drop("n")
-             .unpivot(["annee"], list(axes), "axe", "estime"))
+    total = merge(per_year, [], list(axes)).withColumns({"annee": F.lit(None).cast("int"), "_total": F.lit(True)})
+    found = (estimates(per_year.withColumn("_total", F.lit(False)).unionByName(total), list(axes)).drop("n")
+             .unpivot(["annee", "_total"], list(axes), "axe", "estime"))
+    # events without a date make a year that is null, as the total has it: `_total` keeps them apart
     exact = (events.groupingSets([[F.col("annee")], []], F.col("annee"))
-             .agg(*[F.count_distinct(F.col(column)).alias(name) for name, column in axes.items()])
-             .unpivot(["annee"], list(axes), "axe", "n_exact"))
+             .agg((F.grouping("annee") == 1).alias("_t"),
+                  *[F.count_distinct(F.col(column)).alias(name) for name, column in axes.items()])
+             .unpivot(["annee", "_t"], list(axes), "axe", "n_exact"))
     near = F.abs(F.col("estime") - F.col("n_exact")) <= F.lit(error_bound()) * F.col("n_exact")
     return (found.join(exact.withColumnsRenamed({"annee": "_a", "axe": "_x"}),
-                       F.col("annee").eqNullSafe(F.col("_a")) & (F.col("axe") == F.col("_x")))
+                       F.col("annee").eqNullSafe(F.col("_a")) & (F.col("_total") == F.col("_t")) & (F.col("axe") == F.col("_x")))
             .select("annee", "axe", "n_exact", near.alias("dans_la_borne")))
 
 
