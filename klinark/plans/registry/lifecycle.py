@@ -67,7 +67,7 @@ SELECT CAST(annee AS INTEGER) AS annee, count(*) AS n, CAST(sum(jours) AS BIGINT
 UNION ALL SELECT NULL, count(*), NULL FROM v_stay_reason WHERE raison_rejet IS NOT NULL"""))
 def incremental_with_index(spark, folder):
     """Stays that arrive in three files, one of them twice: loaded rows per year, and rejects, are those of one batch load."""
-    raw, root = stays(spark, folder), staging_path(spark, "increments")
+    raw, root = stage(stays(spark, folder), "sejours-recus"), staging_path(spark, "increments")  # joined once for all files
     part, rules = F.pmod(F.hash("num_hospitalisation"), F.lit(3)), stay_rules(FIRST_YEAR, LAST_YEAR)
     # the file that comes again holds valid rows only, so that no reject is counted twice
     again = accepted(classify(type_stays(raw), rules)).select(raw.columns).filter(part == 1)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,17 +57,22 @@ def keyed(df: DataFrame, index: KeyIndex, keys: list[str]) -> DataFrame:
             .withColumn(BUCKET, F.pmod(F.xxhash64("_cle"), F.lit(index.buckets)).cast("int")))
 
 
-def probes(index: KeyIndex) -> Column:
+def places(index: KeyIndex) -> list[Column]:
     """Places of a key in the filter of its bucket: page and bit, one for each probe."""
     def place(number: int) -> Column:
         at = F.pmod(F.xxhash64(F.lit(number), F.col("_cle")), F.lit(index.pages * PAGE_BITS))
         return F.struct(F.floor(at / PAGE_BITS).cast("int").alias("page"), (at % PAGE_BITS).cast("int").alias("bit"))
-    return F.explode(F.array(*[place(i) for i in range(index.probes)]))
+    return [place(i) for i in range(index.probes)]
+
+
+def probes(index: KeyIndex) -> Column:
+    """One row for each probe of a key."""
+    return F.explode(F.array(*places(index)))
 
 
 def _bit(bitmap: Column, bit: Column) -> Column:
     byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.expr("shiftleft(1, bit % 8)")) != 0
+    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << n) for n in range(8)]), bit % 8 + 1)) != 0
 
 
 def hit_buckets(spark: SparkSession, index: KeyIndex, batch: DataFrame) -> list[int]:
@@ -76,11 +83,12 @@ def hit_buckets(spark: SparkSession, index: KeyIndex, batch: DataFrame) -> list[
     filters = _read(spark, index.filters)
     if filters is None:
         return []
-    asked = batch.select("_cle", BUCKET).distinct().select("_cle", BUCKET, probes(index).alias("p")).select("_cle", BUCKET, "p.*")
-    met = asked.join(filters, [BUCKET, "page"], "left").withColumn(
-        "_set", F.coalesce(_bit(F.col("bitmap"), F.col("bit")), F.lit(False)))
-    held = met.groupBy("_cle", BUCKET).agg(F.bool_and("_set").alias("_held")).filter("_held")
-    return sorted(r[0] for r in held.select(BUCKET).distinct().collect())
+    # One row per bucket, with the bitmaps of its pages: never more than the fixed size of the filters. Each key is
+    # tested where it lies, so nothing of the batch is shuffled.
+    pages = filters.groupBy(BUCKET).agg(F.map_from_entries(F.collect_list(F.struct("page", "bitmap"))).alias("_pages"))
+    met = batch.select("_cle", BUCKET).join(F.broadcast(pages), BUCKET)
+    held = reduce(and_, [F.coalesce(_bit(F.try_element_at("_pages", p["page"]), p["bit"]), F.lit(False)) for p in places(index)])
+    return sorted(r[0] for r in met.filter(held).select(BUCKET).distinct().collect())
 
 
 def known_keys(spark: SparkSession, index: KeyIndex, batch: DataFrame, batch_id: int) -> DataFrame | None:
@@ -98,9 +106,10 @@ def known_keys(spark: SparkSession, index: KeyIndex, batch: DataFrame, batch_id:
 def add_keys(spark: SparkSession, index: KeyIndex, batch: DataFrame, batch_id: int) -> None:
     """Add the keys of a loaded batch and set their bits; a repeated call replaces its own keys.
 
-    Keys go first: a failure before the filters is followed by a replay of the batch, which adds them again.
+    Keys go first: a failure before the filters is followed by a replay of the batch, which adds them again. A key that
+    the batch holds twice is noted twice, which changes no answer; `compact` leaves one.
     """
-    own = batch.select("_cle", BUCKET).distinct().withColumn(BATCH, F.lit(batch_id))
+    own = batch.select("_cle", BUCKET).withColumn(BATCH, F.lit(batch_id))
     write_partitions(own, index.keys, [BUCKET, BATCH])
     _set_bits(spark, index, batch.select("_cle", BUCKET))
 
