@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from klinark.operators.layout import open_writers, write_table
 from klinark.session import stage
 
 KEY, COPY = "_cle", "_copie"
+BUCKET_ROWS = 250_000  # keys of one bucket when the map is made: some 12 MB
 
 
 def digest(columns: list[str]) -> Column:
@@ -49,14 +49,20 @@ def numbered(df: DataFrame, name: str, start: int) -> DataFrame:
             .withColumn(name, F.lit(start) + F.col("_offset") + F.col("_place") + 1).drop("_task", "_place", "_offset"))
 
 
+def map_buckets(spark: SparkSession, table: str) -> int:
+    """Buckets that a key map was made with."""
+    told = spark.sql(f"DESCRIBE FORMATTED {table}")
+    return int(told.filter("lower(col_name) = 'num buckets'").first().data_type)
+
+
 def stable_keys(df: DataFrame, name: str, natural: list[str] | None, table: str, buckets: int = 8) -> DataFrame:
     """Rows with a surrogate key that the key map `table` remembers.
 
     Rows whose natural key is in the map get the surrogate it had; the others get new numbers after the
     largest one and are added to the map before they are returned. `natural` must be unique in `df`;
     None stands for rows without a key, whose copies are numbered one by one. The map holds digests only and is
-    bucketed on them, so a reload joins it without moving it. After a failure numbers may be missing,
-    but none is given twice.
+    bucketed on them, so a reload joins it without moving it. One task reads one bucket: the first load makes as many
+    as its rows ask for, `buckets` at least, each one file. After a failure numbers may be missing, but none is given twice.
     """
     spark = df.sparkSession
     keyed = distinct_keys(df, natural)
@@ -72,9 +78,11 @@ def stable_keys(df: DataFrame, name: str, natural: list[str] | None, table: str,
     added = numbered(fresh, name, start)
     entries = added.select(KEY, COPY, name)
     if kept is None:
-        write_table(entries, table, bucket_by=(KEY,), buckets=buckets)
+        count = max(buckets, -(-entries.count() // BUCKET_ROWS))  # the numbered rows are staged: no work is repeated
+        (entries.repartition(count, KEY).write.mode("overwrite").format("parquet")
+         .bucketBy(count, KEY).sortBy(KEY).saveAsTable(table))
     else:
-        with open_writers(spark):
-            entries.select(*spark.table(table).columns).write.insertInto(table)
+        (entries.select(*spark.table(table).columns).repartition(map_buckets(spark, table), KEY)
+         .write.insertInto(table))
     added = added.select(name, *df.columns)
     return added if kept is None else kept.select(name, *df.columns).unionByName(added)

@@ -1,6 +1,7 @@
 """Surrogate keys survive reloads."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from klinark.operators.keymap import stable_keys
 from klinark.plans.standins import load_inputs
@@ -59,3 +60,20 @@ def test_reloading_one_year_keeps_every_key(spark, folder, tmp_path, year):
     build_gold(spark, sources, settings).collect()
     spark.catalog.refreshTable(f"{settings.gold}.fait_hospitalisation")
     assert {r.hosp_key: r for r in spark.table(f"{settings.gold}.fait_hospitalisation").collect()} == before
+
+
+def test_buckets_of_the_map_follow_its_rows(spark, monkeypatch):
+    """A reload reads the map bucket by bucket, so a large first load must not be dealt over a fixed number of them."""
+    from klinark.operators import keymap
+    monkeypatch.setattr(keymap, "BUCKET_ROWS", 10)
+    table = "cles_" + staging_path(spark, "t").rsplit("-", 1)[1]
+    first = spark.range(205).select(F.col("id").cast("string").alias("num"))
+    before = keys_of(stable_keys(first, "cle", ["num"], table))
+    assert keymap.map_buckets(spark, table) == 21
+    after = keys_of(stable_keys(spark.range(300).select(F.col("id").cast("string").alias("num")), "cle", ["num"], table))
+    assert {n: after[n] for n in before} == before and sorted(after.values()) == list(range(1, 301))
+    assert spark.table(table).count() == 300 and len(spark.table(table).inputFiles()) <= 2 * 21
+
+
+def keys_of(df):
+    return {r.num: r.cle for r in df.collect()}
