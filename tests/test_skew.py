@@ -150,3 +150,40 @@ def test_change_needs_the_year_before(spark):
     totals = spark.createDataFrame([(2015, 100), (2016, 150), (2018, 10), (2019, 0), (2020, 5)], "a int, n long")
     found = {r.a: r.evolution_pct for r in year_on_year(totals, "a", "n").collect()}
     assert found == {2015: None, 2016: 50, 2018: None, 2019: -100, 2020: None}
+
+
+def test_rows_dealt_by_number_stay_small_parts(spark):
+    """Narrow rows are not merged into parts of many millions by their bytes."""
+    from klinark.operators.layout import ROWS_PER_TASK, deal
+    rows = 4 * ROWS_PER_TASK
+    dealt = deal(spark.range(rows), rows, "id").groupBy("id").agg(F.count("*").alias("n")).filter("n = 1")
+    parts = dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) == 4 and sum(r["count"] for r in parts) == rows and max(r["count"] for r in parts) < 1.1 * ROWS_PER_TASK
+
+
+def test_order_lines_are_dealt_by_their_number(spark, folder, rows, monkeypatch):
+    from klinark.plans import standins
+    before = rows(standins.visits(spark, folder, with_code=False).select("num_consultation", "line_no", "id_patient"))
+    monkeypatch.setattr(standins, "DEALT_FROM", 100)
+    dealt = standins.visits(spark, folder, with_code=False).select("num_consultation", "line_no", "id_patient")
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString() and rows(dealt) == before
+
+
+def test_uniqueness_is_counted_along_the_sort_not_in_a_table_of_all_keys(spark):
+    from klinark.operators.checks import check_fact
+    fact = spark.range(1_000).select((F.col("id") % 990).alias("k"), F.when(F.col("id") % 100 > 0, F.col("id") % 3).alias("v"))
+    checked = check_fact(fact, ["k"], "doublons", {"v_nul": F.col("v").isNull(), "v_un": F.col("v") == 1})
+    assert {tuple(r) for r in checked.collect()} == {("doublons", 10), ("v_nul", 10), ("v_un", 330)}
+    assert "keys=[k" not in checked._jdf.queryExecution().executedPlan().toString()
+    none = check_fact(fact.limit(0), ["k"], "doublons", {"v_nul": F.col("v").isNull()})
+    assert {tuple(r) for r in none.collect()} == {("doublons", 0), ("v_nul", 0)}
+
+
+def test_file_profiles_need_no_sort(spark, tmp_path):
+    from klinark.sources.files import profile_files
+    for name, text in (("a.csv", "x;y;z\n1;2;3\n4;5;6\n"), ("b.csv", "\n1\n"), ("c.csv", "x,y;z\n1\n"), ("d.csv", "a|b\tc|d\n")):
+        (tmp_path / name).write_text(text)
+    found = profile_files(spark, str(tmp_path))
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.file[-5:], r.separator, r.n_columns, r.n_rows) for r in found.collect()} == {
+        ("a.csv", ";", 3, 2), ("b.csv", ";", 1, 0), ("c.csv", ";", 2, 1), ("d.csv", "|", 3, 0)}
