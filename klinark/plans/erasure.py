@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from klinark.functions.privacy import canonical_id, pseudonym
-from klinark.operators.layout import clear_partition, replace_batch, write_fact, write_partitions, write_table
-from klinark.session import stage, staging_path
+from klinark.operators.layout import COMPRESSION, clear_partition, replace_batch, write_fact, write_partitions, write_table
+from klinark.session import small_reads, stage, staging_path
 
 PENDING, DONE = "PRET", "FAIT"
 JOURNAL = "operation string, cible string, genre string, partitions array<string>, copie string, etat string, ts timestamp"
@@ -62,19 +62,27 @@ def _places(target: Target) -> Column:
     return F.concat_ws("/", *parts) if parts else F.lit("")
 
 
+def _digest(person: Column) -> Column:
+    """Eight bytes that stand for a person in a join, so that a million persons are small enough for a broadcast."""
+    return F.xxhash64(person)
+
+
 def swap(spark: SparkSession, target: Target, values: list[str], copy: str) -> None:
-    """Replace the named partitions of a target by the rows of its copy; the others keep their files."""
+    """Replace the named partitions of a target by the rows of its copy; the others keep their files.
+
+    The copy was read file by file from these partitions, so its rows are written where they lie, without a shuffle.
+    """
     rows = spark.read.parquet(copy)
     if target.kind == "table" and target.partitions:
         (year,) = target.partitions
         write_fact(rows, target.name, target.bucket_by, target.buckets, year=year,
-                   years=[int(v.split("=")[1]) for v in values])
+                   years=[int(v.split("=")[1]) for v in values], lying=True)
     elif target.kind == "table":
-        write_table(rows, target.name, bucket_by=target.bucket_by, buckets=target.buckets)
+        write_table(rows, target.name, bucket_by=target.bucket_by, buckets=target.buckets, lying=True)
     else:
         left = {r[0] for r in rows.select(_places(target)).distinct().collect()}  # at most the partitions that are replaced
         if left:
-            write_partitions(rows, target.name, list(target.partitions))
+            write_partitions(rows, target.name, list(target.partitions), lying=True)
         for value in sorted(set(values) - left):
             replace_batch(rows.drop(*target.partitions).limit(0), target.name, dict(p.split("=", 1) for p in value.split("/")))
     if target.kind == "table":
@@ -86,25 +94,32 @@ def erase_from(spark: SparkSession, targets: list[Target], persons: DataFrame, j
 
     Only partitions that hold such rows are read whole and rewritten. Persons that no target holds change
     nothing. Null persons match no row. All copies are written and counted before the first partition is replaced.
+    Rows meet the digests of persons; their texts are compared for the rows found, and for all rows where one that is
+    not wanted shares a digest.
     """
     operation = uuid.uuid4().hex
     wanted = stage(persons.select(F.col("personne").cast("string").alias("_personne"))
                    .filter("_personne is not null").distinct(), "effacement-personnes")
+    digests = stage(wanted.select(_digest(F.col("_personne")).alias("_empreinte")).distinct(), "effacement-empreintes")
     reports, plans = [], []
     for target in targets:
         if not target.exists(spark):
             continue
         rows = target.read(spark)
-        marked = rows.withColumn("_personne", target.person.cast("string")).withColumn("_place", _places(target))
-        hits = marked.select("_personne", "_place").join(wanted, "_personne", "left_semi").groupBy("_place").agg(F.count("*").alias("n"))
-        hits = stage(hits, "effacement-lignes")
+        marked = (rows.withColumn("_personne", target.person.cast("string")).withColumn("_place", _places(target))
+                  .withColumn("_empreinte", _digest(F.col("_personne"))))
+        found = stage(marked.select("_personne", "_place", "_empreinte").join(digests, "_empreinte", "left_semi")
+                      .groupBy("_personne", "_place").agg(F.count("*").alias("n")), "effacement-trouves")
+        hits = stage(found.join(wanted, "_personne", "left_semi").groupBy("_place").agg(F.sum("n").alias("n")), "effacement-lignes")
         values = [r[0] for r in hits.select("_place").collect()]  # one row per partition
         if not values:
             continue
         touched = marked.filter(F.col("_place").isin(values)) if target.partitions else marked
         copy = staging_path(spark, "effacement")
-        kept = touched.join(wanted, "_personne", "left_anti").drop("_personne", "_place")
-        kept.write.parquet(copy)
+        alike = not found.join(wanted, "_personne", "left_anti").isEmpty()
+        kept = touched.join(wanted, "_personne", "left_anti") if alike else touched.join(digests, "_empreinte", "left_anti")
+        with small_reads(spark):
+            kept.drop("_personne", "_place", "_empreinte").write.option("compression", COMPRESSION).parquet(copy)
         before, erased = touched.count(), hits.agg(F.sum("n")).first()[0]
         if spark.read.parquet(copy).count() + erased != before:
             raise RuntimeError(f"{target.name}: the copy is not complete, nothing was replaced")

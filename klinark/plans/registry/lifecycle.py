@@ -10,9 +10,9 @@ from klinark.operators.layout import write_fact, write_partitions
 from klinark.operators.privacy import build_mapping
 from klinark.operators.rows import accepted, classify
 from klinark.plans.erasure import Target, erase_from
-from klinark.plans.facts import number_stays, shape_stays, stay_rules, type_stays
+from klinark.plans.facts import shape_stays, stay_rules, type_stays
 from klinark.plans.registry.base import query
-from klinark.plans.registry.quality import stay_fact
+from klinark.plans.registry.quality import numbered_stays, stay_fact
 from klinark.plans.registry.views import oracle
 from klinark.plans.standins import FIRST_YEAR, LAST_YEAR, MASTER, SEED, STAY_TIE, YEAR, patients, stays
 from klinark.schemas import BUCKET_KEYS, BUCKETS
@@ -31,7 +31,8 @@ def erase_rewrites_tables(spark, folder):
     """Stays by year and the mapping, written, then read again after one patient in twenty was erased from them."""
     root = staging_path(spark, "effacement-tables")
     name = f"sejours_{root.rsplit('-', 1)[1]}"
-    write_fact(number_stays(stay_fact(spark, folder)), name, BUCKET_KEYS["fait_hospitalisation"], BUCKETS, f"{root}/sejours")
+    write_fact(numbered_stays(spark, folder), name, BUCKET_KEYS["fait_hospitalisation"], BUCKETS, f"{root}/sejours",
+               lying=True)  # numbered by day
     mapping = build_mapping(patients(spark, folder), "id_patient", MASTER, SEED)
     write_partitions(mapping.withColumn("prefixe", F.substring("id_patient_pseudo", 1, 1)), f"{root}/mapping", ["prefixe"])
     known = patients(spark, folder).filter(ERASED).select(canonical_id(F.col("id_patient")).alias("personne"))
@@ -39,7 +40,7 @@ def erase_rewrites_tables(spark, folder):
     fact = Target(name, "table", ("annee",), F.col("patient_id"), BUCKET_KEYS["fait_hospitalisation"], BUCKETS)
     erase_from(spark, [fact], secret, f"{root}/journal")
     erase_from(spark, [Target(f"{root}/mapping", "dossier", ("prefixe",), F.col("id_patient_original"))], known, f"{root}/journal")
-    left = (spark.table(name).groupBy("annee").agg(F.count("*").alias("n"), F.count_distinct("patient_id").alias("n_patients"))
+    left = (spark.table(name).groupBy("annee").agg(F.count("*").alias("n"), F.count_distinct(F.unhex("patient_id")).alias("n_patients"))
             .select(F.lit("fait_hospitalisation").alias("cible"), "annee", "n", "n_patients"))
     kept = (spark.read.parquet(f"{root}/mapping").agg(F.count("*").alias("n"), F.count_distinct("id_patient_original").alias("n_patients"))
             .select(F.lit("mapping").alias("cible"), F.lit(None).cast("int").alias("annee"), "n", "n_patients"))

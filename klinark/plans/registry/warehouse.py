@@ -8,7 +8,7 @@ from klinark.functions.fixed_values import MONTHS, WEEKDAYS
 from klinark.operators.privacy import build_mapping
 from klinark.plans import dimensions, facts
 from klinark.plans.registry.base import query
-from klinark.plans.registry.quality import death_fact, stay_fact, survey_fact, visit_fact
+from klinark.plans.registry.quality import death_fact, numbered_stays, stay_fact, survey_fact, visit_fact
 from klinark.plans.registry.views import oracle, pseudonym_sql
 from klinark.plans.standins import (
     MASTER, SEED, VISIT_KEY, YEAR, departments, patients, professionals, sites, specialties, stays,
@@ -101,7 +101,7 @@ SELECT row_number() OVER (ORDER BY entree, id_site, num_stay, patient_id, date_e
        id_site AS etab_id, diag_id, CAST(1 AS INTEGER) AS nb_hospitalisation, jours AS duree_sejour,
        CAST(annee AS INTEGER) AS annee FROM v_stay_ok"""))
 def fact_hospitalisation(spark, folder):
-    return facts.number_stays(stay_fact(spark, folder))
+    return numbered_stays(spark, folder)
 
 
 @query("fact_satisfaction", oracle("v_survey_ok", f"""

@@ -40,6 +40,18 @@ def open_writers(spark: SparkSession, count: int = 32):
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_reads(spark: SparkSession, size: str = "32m"):
+    """Read files in parts of this size: a task that sorts what it read, compressed, then holds some million rows at most."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: `spark.checkpoint.dir` of the session, else one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
