@@ -63,13 +63,13 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/klinark/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), **options) -> DataFrame:
     """Write a frame to the staging folder and read it back.
 
     Cuts the lineage with files that survive the loss of executors. The caller owns
-    the folder: remove it with the retention rule of the staging area.
+    the folder: remove it with the retention rule of the staging area. `options` are those of the writer.
     """
     path = staging_path(df.sparkSession, label)
     with open_writers(df.sparkSession):
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.options(**options).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
