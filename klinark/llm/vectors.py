@@ -10,14 +10,14 @@ from pyspark.sql.window import Window
 QUERY_STEP = 50  # rows whose id is divisible by it are the queries
 
 
-def usable(df: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, x array<double>): rows with an id whose vector has only finite components.
+def usable(df: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "embedding", kind: str = "double") -> DataFrame:
+    """(vec_id, x array of `kind`): rows with an id whose vector has only finite components.
 
     Null vectors, empty ones and those with a null, NaN or infinite component are left out. Equal
     rows are counted, and k of them stay: further copies, of a candidate or of a query, cannot change which k
     results are best. Different vectors of one id are all kept.
     """
-    x = F.transform(F.col(vector), lambda v: v.cast("double"))
+    x = F.transform(F.col(vector), lambda v: v.cast(kind))
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"))
     rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("x") > 0) & fine)
