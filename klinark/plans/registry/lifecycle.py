@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from klinark.functions.privacy import canonical_id, pseudonym
-from klinark.operators.keymap import stable_keys
+from klinark.operators.keymap import digest, stable_keys
 from klinark.operators.layout import write_fact, write_partitions
 from klinark.operators.privacy import build_mapping
 from klinark.operators.rows import accepted, classify
@@ -54,11 +54,13 @@ def stable_surrogates(spark, folder):
     """Stays loaded up to a year, then all of them: earlier rows keep their surrogate key, all keys differ."""
     table = f"cles_{staging_path(spark, 'cles').rsplit('-', 1)[1]}"
     natural = ["patient_id", "num_hospitalisation", "date_id", "annee"]
-    fact = stage(stay_fact(spark, folder), "sejours-cles")
-    first = stage(stable_keys(fact.filter(F.col("annee") <= YEAR), "hosp_key", natural, table), "premier")
-    again = stage(stable_keys(fact, "hosp_key", natural, table), "second")
-    before = first.select(*natural, F.col("hosp_key").alias("_avant"))
-    return (again.join(before, natural, "left").groupBy("annee")
+    # the day of admission is in `date_id`; its text is not part of the fact
+    fact = stage(stay_fact(spark, folder).drop("date_entree", "date_entree_typee"), "sejours-cles", compression="zstd")
+    first = stable_keys(fact.filter(F.col("annee") <= YEAR), "hosp_key", natural, table, hexadecimal=("patient_id",))
+    again = stable_keys(fact, "hosp_key", natural, table, hexadecimal=("patient_id",))
+    stay = F.substring(digest(natural), 1, 16).alias("_sejour")  # 128 bits tell stays apart; equal ones then compare keys
+    before = first.select(stay, F.col("hosp_key").alias("_avant"))
+    return (again.select("annee", "hosp_key", stay).join(before, "_sejour", "left").groupBy("annee")
             .agg(F.count("*").alias("n"), F.count_distinct("hosp_key").alias("n_cles"),
                  F.count_if(F.col("_avant") == F.col("hosp_key")).alias("n_gardees")))
 

@@ -88,7 +88,8 @@ def load_fact(spark: SparkSession, name: str, staged: DataFrame, build: Callable
     valid = staged.filter("statut = 'valide'").drop("statut", REASON)
     shaped = build(valid)
     keyed = stable_keys(shaped, SURROGATES[name], None if natural is None else [*natural, "annee"],
-                        f"{settings.staging}.cles_{name}", settings.buckets.get(name, BUCKETS))
+                        f"{settings.staging}.cles_{name}", settings.buckets.get(name, BUCKETS),
+                        hexadecimal=tuple(c for c in ("patient_id",) if c in shaped.columns))
     fact = checks.assert_no_columns(enforce_schema(keyed, FACTS[name]), FORBIDDEN)
 
     counts = (checks.reconcile(staged, keys) if keys else

@@ -1,12 +1,14 @@
 """Surrogate keys survive reloads."""
 
+from contextlib import contextmanager
+
 import pytest
 from pyspark.sql import functions as F
 
 from klinark.operators.keymap import stable_keys
 from klinark.plans.standins import load_inputs
 from klinark.plans.warehouse import build_gold
-from klinark.session import staging_path
+from klinark.session import stage, staging_path
 
 SCHEMA = "num string, valeur int, annee int"
 
@@ -77,3 +79,48 @@ def test_buckets_of_the_map_follow_its_rows(spark, monkeypatch):
 
 def keys_of(df):
     return {r.num: r.cle for r in df.collect()}
+
+
+def test_rows_travel_without_digests_and_pseudonyms_as_bytes(spark, monkeypatch):
+    """Staged rows hold no digest of their own, a reload moves each row once and the map not at all."""
+    from klinark.operators import keymap
+    seen = {}
+
+    def watched(df, label, *args, **options):
+        seen.setdefault(label, (dict(df.dtypes), df._jdf.queryExecution().executedPlan().toString()))
+        return stage(df, label, *args, **options)
+
+    monkeypatch.setattr(keymap, "stage", watched)
+    table = "cles_" + staging_path(spark, "t").rsplit("-", 1)[1]
+    rows = spark.range(400).select(F.sha2(F.col("id").cast("string"), 256).alias("patient_id"), F.col("id").alias("num"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 7), (None, 8)], rows.schema))
+    natural, known = ["patient_id", "num"], lambda df: {(r.patient_id, r.num): r.cle for r in df.collect()}
+    with conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), conf(spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1"):
+        first = stable_keys(rows.filter("num < 300"), "cle", natural, table, hexadecimal=("patient_id",))
+        again = stable_keys(rows, "cle", natural, table, hexadecimal=("patient_id",))
+        before, after = known(first), known(again)
+        assert known(stable_keys(rows, "cle", natural, table)) == after  # the map holds the digests of the texts
+    assert first.dtypes[0][0] == "cle" and dict(again.dtypes)["patient_id"] == "string"
+    assert set(after) == {(r.patient_id, r.num) for r in rows.collect()}
+    assert all(after[k] == v for k, v in before.items()) and sorted(after.values()) == list(range(1, 403))
+    types, plan = seen["cle-connus"]
+    assert keymap.KEY not in types and keymap.KEY not in seen["cle-places"][0] and types["patient_id"] == "binary"
+    assert plan.count("Exchange") == 1
+
+
+def test_rows_without_a_key_travel_with_bytes_too(spark):
+    table = "cles_" + staging_path(spark, "t").rsplit("-", 1)[1]
+    rows = spark.createDataFrame([("0a" * 32, 1)] * 30 + [("ff" * 32, 1), (None, 1)], "patient_id string, n int")
+    one = stable_keys(rows, "cle", None, table, hexadecimal=("patient_id",)).collect()
+    two = stable_keys(rows, "cle", None, table, hexadecimal=("patient_id",)).collect()
+    assert sorted(r.cle for r in one) == list(range(1, 33)) and sorted(map(tuple, one), key=str) == sorted(map(tuple, two), key=str)
+
+
+@contextmanager
+def conf(spark, name, value):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
